@@ -165,3 +165,49 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
         a, b = at[lo], at[hi]
         out.append(a + (b - a) * frac if frac else a)
     return out
+
+
+def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float],
+                      out_col: str = "cuts", num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles (linear interpolation) of ``value_col`` per group, all in one plan.
+
+    Output: one row per group with ``out_col`` = array of len(probs) doubles. NULL/NaN
+    values are ignored. Steps: global positions in (group, value) order; per-group start
+    and size (partial aggregate, one row per group); the wanted order statistics
+    (groups x probs x 2 rows) joined to the positions; interpolation; one array per group.
+    """
+    g = list(group_cols)
+    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(
+        F.col("_v").isNotNull() & ~F.isnan("_v")
+    )
+    order = [F.col(c).asc() for c in g] + [F.col("_v").asc()]
+    placed = with_positions(vals, order, "_pos", "_nall", num_partitions).drop("_nall")
+    sizes = placed.groupBy(*g).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_gn"))
+    plist = F.array(*[F.lit(float(p)) for p in probs])
+    wanted = sizes.select(
+        *g, "_start", "_gn", F.posexplode(plist).alias("_j", "_p")
+    ).withColumn("_h", (F.col("_gn") - 1) * F.col("_p"))
+    wanted = wanted.withColumns({
+        "_lo": F.floor("_h").cast("long"),
+        "_frac": F.col("_h") - F.floor("_h"),
+    }).withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_gn") - 1))
+    ends = wanted.select(
+        *g, "_j", "_frac",
+        F.explode(F.array(
+            F.struct(F.lit("lo").alias("role"), (F.col("_start") + F.col("_lo")).alias("pos")),
+            F.struct(F.lit("hi").alias("role"), (F.col("_start") + F.col("_hi")).alias("pos")),
+        )).alias("_e"),
+    ).select(*g, "_j", "_frac", F.col("_e.role").alias("_role"), F.col("_e.pos").alias("_pos"))
+    # groups x probs x 2 rows; AQE broadcasts it once its real size is known (no hint:
+    # the number of groups is the caller's)
+    hit = placed.join(ends, [*g, "_pos"])
+    per_j = hit.groupBy(*g, "_j").agg(
+        F.first("_frac").alias("_frac"),
+        F.max(F.when(F.col("_role") == "lo", F.col("_v"))).alias("_a"),
+        F.max(F.when(F.col("_role") == "hi", F.col("_v"))).alias("_b"),
+    ).withColumn(
+        "_q", F.when(F.col("_frac") == 0, F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac"))
+    )
+    return per_j.groupBy(*g).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_j", "_q"))), lambda s: s["_q"]).alias(out_col)
+    )
