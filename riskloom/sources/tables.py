@@ -39,10 +39,14 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
-    )
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _orders_customers(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """orders (batch, or a stream for the streaming decisions) x customer x nation."""
+    if orders is None:
+        orders = read_table(spark, sf_dir, "orders")
+    orders = orders.select(*ORDER_COLS)
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"
     )
@@ -97,9 +101,13 @@ EMPLOYMENT = ["employed", "self_employed", "unemployed", "student", "retired"]
 SEGMENTS = ["low", "med", "high"]
 
 
-def bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bureau snapshot table (contract shape), one row per order with line items."""
-    oc = _orders_customers(spark, sf_dir)
+def bureau(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Bureau snapshot table (contract shape), one row per order with line items.
+
+    ``orders`` may be a streaming DataFrame: the other inputs are static, so every
+    join is a stream-static inner join and the result is a stateless stream.
+    """
+    oc = _orders_customers(spark, sf_dir, orders)
     lines = _order_lines(spark, sf_dir)
     df = oc.join(lines, oc.o_orderkey == lines.l_orderkey)
     key = F.col("o_orderkey")
