@@ -42,10 +42,12 @@ def reason_counts(df: DataFrame, rules: Sequence[tuple] = REASON_RULES) -> DataF
 
 
 def decisions(df: DataFrame, key: str, coefficients: dict[str, float], intercept: float,
-              model_version: str, rules: Sequence[tuple] = REASON_RULES) -> DataFrame:
-    """GOV-4: (key, model_version, score, reason_codes) per applicant; score = PD of a linear model."""
+              model_version: str, rules: Sequence[tuple] = REASON_RULES, keep: Sequence[str] = ()) -> DataFrame:
+    """GOV-4: (key, model_version, score, reason_codes) per applicant; score = PD of a linear model.
+
+    ``keep`` carries extra input columns through (e.g. the request id)."""
     return df.select(
-        F.col(key),
+        F.col(key), *keep,
         F.lit(model_version).alias("model_version"),
         F.round(sigmoid(linear_score(coefficients, intercept)), DIGITS).alias("score"),
         reason_codes(rules).alias("reason_codes"),

@@ -77,16 +77,28 @@ def read_bureau_csv(spark: SparkSession, path: str, date_col: str = "snapshot_da
     return df.withColumn(date_col, parse_date(date_col))
 
 
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """Header CSV with every column as text (input of contract type/format checks)."""
+    return spark.read.csv(path, header=True, inferSchema=False)
+
+
 def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
     """SRC-6: the metrics record(s) read back for gating (any Hadoop file system URI)."""
     return spark.read.schema(METRICS_SCHEMA).json(path)
 
 
-def read_decision_requests(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-7: request documents ``{"records": [...]}`` (one per file, multi-line JSON) -> one
-    row per record with ``request_id`` = source file and the date parsed (ISO date-time too)."""
-    docs = spark.read.schema(REQUEST_SCHEMA).json(path, multiLine=True)
-    rows = docs.select(F.input_file_name().alias("request_id"), F.explode("records").alias("r"))
+def read_decision_requests(spark: SparkSession, path: str, multi_line: bool = True,
+                           id_col: str | None = None) -> DataFrame:
+    """SRC-7: request documents ``{"records": [...]}`` -> one row per record, date parsed
+    (ISO date-time too). ``multi_line``: one pretty-printed document per file (the API
+    sample); otherwise JSON lines, one document per line (splittable). ``request_id`` is
+    the document's ``id_col`` field when given, else the source file."""
+    schema = REQUEST_SCHEMA
+    if id_col:
+        schema = StructType([StructField(id_col, StringType())] + REQUEST_SCHEMA.fields)
+    docs = spark.read.schema(schema).json(path, multiLine=multi_line)
+    rid = F.col(id_col) if id_col else F.input_file_name()
+    rows = docs.select(rid.alias("request_id"), F.explode("records").alias("r"))
     return rows.select("request_id", "r.*").withColumn("snapshot_date", parse_date("snapshot_date"))
 
 
@@ -98,6 +110,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with header, overwrite."""
+    df.write.mode("overwrite").csv(path, header=True)
+
+
 def write_sample_csv(df: DataFrame, path: str, order_by: list[str], n: int = 100) -> None:
     """SNK-2: first ``n`` rows in a stated order, one CSV file with header."""
     df.orderBy(*order_by).limit(n).coalesce(1).write.mode("overwrite").csv(path, header=True)
