@@ -27,6 +27,27 @@ def frequency_index_table(df: DataFrame, col: str, index_col: str = "index") ->
     return counts.withColumn(index_col, (F.row_number().over(order) - 1).cast("int"))
 
 
+class FrequencyIndexer:
+    """FE-2/FE-3: StringIndexer order (frequency desc, label asc); unseen levels -> K ('keep')."""
+
+    def __init__(self, column: str, output: str | None = None):
+        self.column = column
+        self.output = output or f"{column}_index"
+        self.levels: list[str] = []
+
+    def fit(self, df: DataFrame) -> "FrequencyIndexer":
+        table = frequency_index_table(df.where(F.col(self.column).isNotNull()), self.column, "_i")
+        rows = table.orderBy("_i").limit(MAX_LEVELS + 1).collect()
+        if len(rows) > MAX_LEVELS:
+            raise ValueError(f"{self.column} has more than {MAX_LEVELS} levels")
+        self.levels = [r[self.column] for r in rows]
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        pos = F.array_position(F.array(*[F.lit(v) for v in self.levels]), F.col(self.column))
+        return df.withColumn(self.output, F.when(pos > 0, pos - 1).otherwise(F.lit(len(self.levels))).cast("int"))
+
+
 class CategoryEncoder:
     """FE-6: alphabetical level index per column (unseen -> K), one-hot columns on demand."""
 
@@ -35,14 +56,14 @@ class CategoryEncoder:
         self.levels: dict[str, list[str]] = {}
 
     def fit(self, df: DataFrame) -> "CategoryEncoder":
-        row = df.agg(*[
-            F.array_sort(F.collect_set(F.col(c))).alias(c) for c in self.columns
-        ]).first()
+        """Distinct levels per column (a distributed distinct); at most MAX_LEVELS + 1 reach
+        the driver, so an identifier mistaken for a category fails fast instead of OOM."""
         for c in self.columns:
-            levels = [v for v in (row[c] or []) if v is not None]
-            if len(levels) > MAX_LEVELS:
-                raise ValueError(f"{c} has {len(levels)} levels; not a categorical feature")
-            self.levels[c] = levels
+            rows = df.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull()) \
+                .distinct().limit(MAX_LEVELS + 1).collect()
+            if len(rows) > MAX_LEVELS:
+                raise ValueError(f"{c} has more than {MAX_LEVELS} levels; not a categorical feature")
+            self.levels[c] = sorted(r.v for r in rows)
         return self
 
     def index_expr(self, c: str):

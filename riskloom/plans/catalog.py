@@ -154,12 +154,13 @@ def q_class_weights(spark, sf):
 @query("cw1_weighted_sums", f"""WITH {CLEAN_LOANS_SQL},
 c AS (SELECT loan_status_flag, COUNT(*) AS n FROM clean GROUP BY loan_status_flag),
 w AS (SELECT loan_status_flag, MAX(n) OVER () / n AS wt FROM c)
-SELECT clean.loan_status_flag, COUNT(*) AS n, ROUND(SUM(wt), 6) AS weight_sum
+SELECT clean.loan_status_flag, COUNT(*) AS n, ROUND(SUM(wt), 6) AS weight_sum, ROUND(AVG(wt), 9) AS avg_weight
 FROM clean JOIN w ON clean.loan_status_flag = w.loan_status_flag GROUP BY clean.loan_status_flag""", ("loans",))
 def q_weighted_sums(spark, sf):
-    """CW-1 applied to rows: per class, rows and the sum of the row weights (equal after balancing)."""
+    """CW-1 applied to rows + AGG-3: per class, rows, sum and mean of the row weights."""
     w = weights.with_class_weight(clean_loans(spark, sf), "loan_status_flag", "majority", "wt")
-    return w.groupBy("loan_status_flag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("wt"), 6).alias("weight_sum"))
+    return w.groupBy("loan_status_flag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("wt"), 6).alias("weight_sum"),
+                                             F.round(F.avg("wt"), 9).alias("avg_weight"))
 
 
 @query("spl1_hash_split", f"""WITH {CLEAN_LOANS_SQL}
@@ -503,6 +504,18 @@ def q_string_index(spark, sf):
     return features.frequency_index_table(tables.bureau(spark, sf), "state", "state_index")
 
 
+@query("fe3_index_unseen", f"""WITH {BUREAU_SPLIT_SQL},
+lv AS (SELECT employment_status AS level, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, employment_status) - 1 AS INT) AS idx
+       FROM bs WHERE split = 'train' AND employment_status IS NOT NULL GROUP BY employment_status)
+SELECT v.customer_id, CAST(COALESCE(lv.idx, (SELECT COUNT(*) FROM lv)) AS INT) AS employment_status_index
+FROM (SELECT * FROM bs WHERE split = 'valid') v LEFT JOIN lv ON lv.level = v.employment_status""", ("bureau",))
+def q_index_unseen(spark, sf):
+    """FE-3: frequency index fitted on train, applied to valid; unseen levels kept as index K."""
+    bs = bureau_split(spark, sf)
+    idx = features.FrequencyIndexer("employment_status").fit(bs.where(F.col("split") == "train"))
+    return idx.transform(bs.where(F.col("split") == "valid")).select("customer_id", "employment_status_index")
+
+
 @query("fe6_category_index", f"""WITH {BUREAU_SPLIT_SQL},
 lv AS (SELECT feature, level, CAST(ROW_NUMBER() OVER (PARTITION BY feature ORDER BY level) - 1 AS INT) AS idx,
               COUNT(*) OVER (PARTITION BY feature) AS k

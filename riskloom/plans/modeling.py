@@ -8,8 +8,10 @@ an oracle; their metric code is the same code the SQL-checked queries use.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import DataFrame, SparkSession
@@ -44,12 +46,12 @@ def positive_probability(pred: DataFrame, col: str = "p") -> DataFrame:
     return pred.withColumn(col, vector_to_array("probability")[1])
 
 
-def loan_frame(spark: SparkSession, sf: str, scheme: str = "majority") -> DataFrame:
+def loan_frame(spark: SparkSession, sf: str, scheme: str = "majority", assembled: bool = True) -> DataFrame:
     """Cleaned loans with complete features (FLT-3), class weight (CW) and a stable split."""
     df = catalog.clean_loans(spark, sf).dropna(subset=LOAN_FEATURES + [LABEL])
     df = weights.with_class_weight(df, LABEL, scheme, "class_weight")
     df = splits.with_hash_split(df, KEY, 80)
-    return features.assemble(df, LOAN_FEATURES, "features", handle_invalid="error")
+    return features.assemble(df, LOAN_FEATURES, "features", handle_invalid="error") if assembled else df
 
 
 def evaluate(pred: DataFrame, label: str, key: str) -> DataFrame:
@@ -70,12 +72,16 @@ def evaluate(pred: DataFrame, label: str, key: str) -> DataFrame:
 
 @query("ml2_weighted_logreg")
 def q_weighted_logreg(spark, sf):
-    """ML-2 + CW-1 + FE-1 + EV-1..5: majority-ratio weighted L2 logistic regression
-    (regParam 0.1), trained on the hash-split 80 %, evaluated on the 20 %."""
-    df = loan_frame(spark, sf)
-    lr = LogisticRegression(labelCol=LABEL, featuresCol="features", weightCol="class_weight",
-                            regParam=0.1, elasticNetParam=0.0)
-    model = lr.fit(df.where(F.col("split") == "train"))
+    """ML-2 + CW-1 + FE-1 + FE-11 + EV-1..5: majority-ratio weighted L2 logistic regression
+    (regParam 0.1) as an assembler + estimator Pipeline, trained on the hash-split 80 %,
+    evaluated on the 20 %."""
+    df = loan_frame(spark, sf, assembled=False)
+    pipe = Pipeline(stages=[
+        VectorAssembler(inputCols=LOAN_FEATURES, outputCol="features", handleInvalid="error"),
+        LogisticRegression(labelCol=LABEL, featuresCol="features", weightCol="class_weight",
+                           regParam=0.1, elasticNetParam=0.0),
+    ])
+    model = pipe.fit(df.where(F.col("split") == "train"))
     return evaluate(model.transform(df.where(F.col("split") == "test")), LABEL, KEY)
 
 
