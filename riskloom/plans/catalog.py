@@ -481,6 +481,7 @@ mr AS (SELECT bm.best AS best_model, atr.auc AS auc_train, ava.auc AS auc_valid,
 
 @query("ev10_metric_record", f"WITH {_metric_record_ctes()}\nSELECT * FROM mr", ("bureau",))
 def q_metric_record(spark, sf):
+    """EV-10 + SRT-4 + DRF-2: best scorecard by validation AUC, its AUC train/valid, KS and PSI."""
     return metric_record(spark, sf)
 
 
