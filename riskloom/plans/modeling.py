@@ -14,6 +14,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import KolmogorovSmirnovTest
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,7 +182,9 @@ def bureau_estimators(n_train: int) -> dict:
 def q_model_table(spark, sf):
     """ML-4/5/6/8 + EV-10 + SRT-4: train the three candidates on the training window; per model
     AUC train/valid, KS (20 buckets) and PSI of the score on valid; the best by valid AUC."""
-    d = bureau_design(spark, sf)
+    # used by three fits and six scorings: keep it cached (recomputed from lineage if an
+    # executor and its blocks are lost)
+    d = bureau_design(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
     train, valid = d.where(F.col("split") == "train"), d.where(F.col("split") == "valid")
     n_train = train.count()
     rows = None
