@@ -51,8 +51,9 @@ def psi_by_feature(stacked: DataFrame, expected: str = "expected", actual: str =
     base = stacked.where(F.col("period") == expected)
     cuts = ranks.grouped_quantiles(base, ["feature"], "value", probs, "cuts", num_partitions)
     both = stacked.where(F.col("period").isin(expected, actual))
-    # one row per feature; AQE turns this into a broadcast join at run time
-    binned = both.join(cuts, "feature").select(
+    # one row per feature (bounded by the table's columns): broadcast, never a shuffle join
+    # keyed on the few feature names, which would put each feature's rows in one task
+    binned = both.join(F.broadcast(cuts), "feature").select(
         "feature", "period", psi_bin(F.col("value"), F.col("cuts"), bins).alias("bin")
     )
     counts = binned.groupBy("feature").agg(

@@ -29,10 +29,21 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def freeze_ordered(df: DataFrame, order: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition + sort on ``order``; add ``_pid`` and ``_idx`` (index in partition); checkpoint."""
+def freeze_ordered(df: DataFrame, order: Sequence[Column], num_partitions: int | None = None,
+                   spread_ties: bool = False) -> DataFrame:
+    """Range-partition + sort on ``order``; add ``_pid`` and ``_idx`` (index in partition); checkpoint.
+
+    ``spread_ties``: for orders that are not total (quantiles, where the order of equal
+    values does not matter), append a row id so that one value held by a third of the
+    rows is still cut into many ranges instead of landing in one partition.
+    """
     n = _partitions(df, num_partitions)
+    if spread_ties:
+        df = df.withColumn("_tb", F.monotonically_increasing_id())
+        order = [*order, F.col("_tb").asc()]
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    if spread_ties:
+        ordered = ordered.drop("_tb")
     tagged = ordered.withColumns({
         "_pid": F.spark_partition_id(),
         "_mid": F.monotonically_increasing_id(),
@@ -66,14 +77,14 @@ def _broadcast_offsets(frozen: DataFrame, offsets: DataFrame, num_partitions: in
 
 
 def with_positions(df: DataFrame, order: Sequence[Column], pos_col: str = "pos", n_col: str = "n_total",
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, spread_ties: bool = False) -> DataFrame:
     """Add the 0-based position of each row in ``order`` and the total row count.
 
     ``order`` must be a total order (end it with a unique key) for the result to be
-    deterministic.
+    deterministic, unless only the values at positions matter (``spread_ties``).
     """
     n = _partitions(df, num_partitions)
-    frozen = freeze_ordered(df, order, n)
+    frozen = freeze_ordered(df, order, n, spread_ties)
     joined = _broadcast_offsets(frozen, _offsets(frozen), n)
     return joined.withColumn(pos_col, F.col("_off") + F.col("_idx")).withColumnRenamed("_n", n_col).drop(
         "_pid", "_idx", "_off"
@@ -139,7 +150,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
         F.col("v").isNotNull() & ~F.isnan("v")
     )
     n_parts = _partitions(df, num_partitions)
-    frozen = freeze_ordered(vals, [F.col("v")], n_parts)
+    frozen = freeze_ordered(vals, [F.col("v")], n_parts, spread_ties=True)
     offsets = _offsets(frozen)
     n_row = offsets.select("_n").limit(1).collect()
     if not n_row:
@@ -181,7 +192,7 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     order = [F.col(c).asc() for c in g] + [F.col("_v").asc()]
-    placed = with_positions(vals, order, "_pos", "_nall", num_partitions).drop("_nall")
+    placed = with_positions(vals, order, "_pos", "_nall", num_partitions, spread_ties=True).drop("_nall")
     sizes = placed.groupBy(*g).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_gn"))
     plist = F.array(*[F.lit(float(p)) for p in probs])
     wanted = sizes.select(

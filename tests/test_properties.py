@@ -113,3 +113,14 @@ def test_partition_count_does_not_change_results(spark):
         assert out[0] == out[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_value_is_split_across_partitions(spark):
+    # one value holds a third of the rows: the quantile sort must still spread it
+    n = 6000
+    rows = [(float(5.0 if i < n // 3 else i),) for i in range(n)]
+    df = spark.createDataFrame(rows, "v double").repartition(6)
+    frozen = ranks.freeze_ordered(df, [F.col("v")], 6, spread_ties=True)
+    sizes = [r["count"] for r in frozen.groupBy("_pid").count().collect()]
+    assert max(sizes) < n / 4
+    assert ranks.exact_quantiles(df, "v", [0.1, 0.5]) == pytest.approx(list(np.quantile([r[0] for r in rows], [0.1, 0.5])))
