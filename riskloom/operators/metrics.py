@@ -56,6 +56,36 @@ def auc_exact(df: DataFrame, score: str, label: str, num_partitions: int | None
     )
 
 
+def auc_exact_by(df: DataFrame, by: Sequence[str], score: str, label: str,
+                 num_partitions: int | None = None) -> DataFrame:
+    """EV-3 for many groups (e.g. candidate models) in one pass: one row per group.
+
+    Running sums are taken once in (group, score) order over the whole stacked table and
+    rebased per group: the count before a group's first row is subtracted, found with a
+    per-group aggregate (one row per group, broadcast back).
+    """
+    g = list(by)
+    counts = (
+        df.where(F.col(score).isNotNull() & F.col(label).isNotNull() & ~F.isnan(F.col(score)))
+        .groupBy(*g, F.col(score).cast("double").alias("score"))
+        .agg(F.count_if(F.col(label) == 1).cast("long").alias("n1"),
+             F.count_if(F.col(label) != 1).cast("long").alias("n0"))
+    )
+    cum = ranks.with_prefix_sums(counts, [*[F.col(c).asc() for c in g], F.col("score").asc()], ["n0"],
+                                 num_partitions=num_partitions)
+    starts = cum.groupBy(*g).agg(F.min(F.col("cum_n0") - F.col("n0")).alias("_before"))
+    # one row per group: the number of groups is the caller's (models, segments)
+    rebased = cum.join(F.broadcast(starts), g).withColumn("_below", F.col("cum_n0") - F.col("n0") - F.col("_before"))
+    big = "decimal(38,0)"
+    return rebased.groupBy(*g).agg(
+        F.round(F.try_divide(
+            F.sum(F.col("n1").cast(big) * (F.lit(2) * F.col("_below") + F.col("n0")).cast(big)).cast("double"),
+            F.lit(2.0) * F.sum("n1") * F.sum("n0")), DIGITS).alias("auc"),
+        F.sum("n1").alias("n_pos"),
+        F.sum("n0").alias("n_neg"),
+    )
+
+
 def kolmogorov_pvalue(lam: Column) -> Column:
     """Asymptotic two-sided p-value Q_KS(lambda) = 2 sum_k (-1)^(k-1) exp(-2 k^2 lambda^2).
 

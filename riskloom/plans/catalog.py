@@ -411,12 +411,12 @@ def _auc_sql(source: str, score: str, label: str, name_sql: str) -> str:
 
 
 def _scorecard_auc_rows(bs: DataFrame, split: str) -> DataFrame:
-    rows = None
-    for name in S.SCORECARDS:
-        scored = bs.where(F.col("split") == split).select("defaulted", S.z_expr(name).alias("z"))
-        one = metrics.auc_exact(scored, "z", "defaulted").select(F.lit(name).alias("model"), "auc")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    """(model, auc) for every scorecard: one stacked (model, z, label) table, one ranking pass."""
+    rows = bs.where(F.col("split") == split).select(
+        "defaulted",
+        F.explode(F.array(*[F.struct(F.lit(n).alias("model"), S.z_expr(n).alias("z")) for n in S.SCORECARDS])).alias("_m"),
+    ).select(F.col("_m.model").alias("model"), F.col("_m.z").alias("z"), "defaulted")
+    return metrics.auc_exact_by(rows, ["model"], "z", "defaulted").select("model", "auc")
 
 
 @query("ml8_scorecard_auc", f"WITH {BUREAU_SPLIT_SQL}, v AS (SELECT * FROM bs WHERE split = 'valid')\n" + " UNION ALL ".join(

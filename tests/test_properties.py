@@ -124,3 +124,11 @@ def test_hot_value_is_split_across_partitions(spark):
     sizes = [r["count"] for r in frozen.groupBy("_pid").count().collect()]
     assert max(sizes) < n / 4
     assert ranks.exact_quantiles(df, "v", [0.1, 0.5]) == pytest.approx(list(np.quantile([r[0] for r in rows], [0.1, 0.5])))
+
+
+def test_grouped_auc_equals_per_group(scored):
+    stacked = scored.withColumn("g", F.when(F.col("id") % 3 == 0, "a").otherwise("b"))
+    by = {r.g: r.auc for r in metrics.auc_exact_by(stacked, ["g"], "score", "y").collect()}
+    for g in ("a", "b"):
+        one = metrics.auc_exact(stacked.where(F.col("g") == g), "score", "y").first().auc
+        assert by[g] == pytest.approx(one, abs=1e-12)
