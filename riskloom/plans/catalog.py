@@ -444,12 +444,14 @@ def metric_record(spark: SparkSession, sf: str) -> DataFrame:
     best = governance.best_by(_scorecard_auc_rows(bs, "valid"), "model", "auc").first()["best_model"]
     scored = bs.select("split", "defaulted", S.z_expr(best).alias("z"),
                        F.round(C.sigmoid(S.z_expr(best)), 9).alias("pd"))
-    train, valid = scored.where(F.col("split") == "train"), scored.where(F.col("split") == "valid")
+    valid = scored.where(F.col("split") == "valid")
     stacked = scored.select(F.when(F.col("split") == "train", "expected").otherwise("actual").alias("period"),
                             F.lit("pd").alias("feature"), F.col("pd").alias("value"))
+    # train and valid AUC in one ranking pass, grouped by split
+    aucs = metrics.auc_exact_by(scored, ["split"], "z", "defaulted").select(
+        F.concat(F.lit("auc_"), F.col("split")).alias("metric"), F.col("auc").alias("value"))
     parts = [
-        metrics.auc_exact(train, "z", "defaulted").select(F.lit("auc_train").alias("metric"), F.col("auc").alias("value")),
-        metrics.auc_exact(valid, "z", "defaulted").select(F.lit("auc_valid").alias("metric"), F.col("auc").alias("value")),
+        aucs,
         metrics.ks_qcut(valid, "pd", "defaulted", 20).select(F.lit("ks_valid").alias("metric"), F.col("ks_qcut").alias("value")),
         drift.psi_by_feature(stacked).select(F.lit("psi_valid_vs_train").alias("metric"), F.col("psi").alias("value")),
     ]

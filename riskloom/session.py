@@ -11,6 +11,31 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (~100 TB input, ~1000 executors). Shuffle partitions are set
+# high and AQE coalesces them to ~256 MB; skewed join partitions are split; the planner
+# broadcasts only sides its statistics prove small; scans read ~256 MB splits.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.ui.showConsoleProgress": "false",
+    # spark.checkpoint.dir must point at the cluster's shared file system (set by the deployment)
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Set the runtime-modifiable SQL settings of ``CLUSTER_CONF`` on a session."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "riskloom") -> SparkSession:
     """A local-mode session configured like the cluster one (AQE on, UTC, no UI)."""
     spark = (
