@@ -10,21 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators import ranks
+
 MAX_LEVELS = 10_000  # a "category" with more levels is an identifier, not a feature
 
 
 def frequency_index_table(df: DataFrame, col: str, index_col: str = "index") -> DataFrame:
     """FE-2/FE-4: (level, n, index) with index 0 = most frequent, ties by label (StringIndexer order).
 
-    The level table has one row per distinct level; the window over it is one task on
-    that small table (bounded by the category's cardinality).
+    Counting is a partial + final aggregate; the ranking of the distinct levels uses the
+    distributed positions of ``ranks`` (not a one-task window), so a high-cardinality
+    column does not pile into one task.
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    order = Window.orderBy(F.col("n").desc(), F.col(col).asc())
-    return counts.withColumn(index_col, (F.row_number().over(order) - 1).cast("int"))
+    ranked = ranks.with_positions(counts, [F.col("n").desc(), F.col(col).asc_nulls_first()], "_pos", "_n")
+    return ranked.select(col, "n", F.col("_pos").cast("int").alias(index_col))
 
 
 class FrequencyIndexer:
