@@ -60,8 +60,8 @@ BUREAU_SPLIT_SQL = f"""bs AS (
 # --------------------------------------------------------------------------- step 1: loan ETL
 
 @query("agg5_default_rate_by_util_bin", f"""WITH {CLEAN_LOANS_SQL}
-SELECT util_bin, COUNT(*) AS n, COUNT_IF(loan_status_flag = 1) AS n_default,
-       ROUND(COUNT_IF(loan_status_flag = 1) / COUNT(*), 9) AS default_rate
+SELECT util_bin, COUNT(*) AS n, CAST(COUNT_IF(loan_status_flag = 1) AS BIGINT) AS n_default,
+       ROUND(CAST(COUNT_IF(loan_status_flag = 1) AS BIGINT) / COUNT(*), 9) AS default_rate
 FROM clean GROUP BY util_bin""", ("loans",))
 def q_default_rate_by_util_bin(spark, sf):
     """Flagship: loan ETL -> rows, defaults and default rate per utilization bin."""
@@ -113,7 +113,7 @@ _LOAN_COLS = ["loan_id", "customer_id", "fico_score", "loan_amount", "tenure_mon
 
 
 @query("flt5_null_profile", "SELECT COUNT(*) AS n_rows, " + ", ".join(
-    f"COUNT_IF({c} IS NULL{' OR isnan(' + c + ')' if c in ('fico_score', 'loan_amount', 'monthly_income', 'credit_utilization') else ''}) AS null_{c}"
+    f"CAST(COUNT_IF({c} IS NULL{' OR isnan(' + c + ')' if c in ('fico_score', 'loan_amount', 'monthly_income', 'credit_utilization') else ''}) AS BIGINT) AS null_{c}"
     for c in _LOAN_COLS) + " FROM loans", ("loans",))
 def q_null_profile(spark, sf):
     """FLT-5: NULL (and NaN) count of every loan column in one aggregate."""
@@ -174,7 +174,7 @@ def q_hash_split(spark, sf):
 
 
 @query("spl2_time_split", f"""WITH {BUREAU_SPLIT_SQL}
-SELECT split, COUNT(*) AS n, COUNT_IF(defaulted = 1) AS n_default, MIN(snapshot_date) AS first_date,
+SELECT split, COUNT(*) AS n, CAST(COUNT_IF(defaulted = 1) AS BIGINT) AS n_default, MIN(snapshot_date) AS first_date,
        MAX(snapshot_date) AS last_date
 FROM bs GROUP BY split""", ("bureau",))
 def q_time_split(spark, sf):
@@ -189,7 +189,7 @@ def q_time_split(spark, sf):
 
 @query("ev4_ks_decile", f"""WITH {CLEAN_LOANS_SQL},
 t AS (SELECT loan_status_flag AS y, NTILE(10) OVER (ORDER BY fico_score DESC, loan_id) AS decile FROM clean),
-p AS (SELECT CAST(decile AS INT) AS decile, COUNT_IF(y = 1) AS bads, COUNT_IF(y = 0) AS goods FROM t GROUP BY decile),
+p AS (SELECT CAST(decile AS INT) AS decile, CAST(COUNT_IF(y = 1) AS BIGINT) AS bads, CAST(COUNT_IF(y = 0) AS BIGINT) AS goods FROM t GROUP BY decile),
 r AS (SELECT *, CAST(SUM(bads) OVER (ORDER BY decile ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_bads,
               CAST(SUM(goods) OVER (ORDER BY decile ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cum_goods,
               CAST(SUM(bads) OVER () AS DOUBLE) AS tb, CAST(SUM(goods) OVER () AS DOUBLE) AS tg FROM p)
@@ -200,8 +200,8 @@ def q_ks_decile(spark, sf):
     return metrics.decile_table(clean_loans(spark, sf), "fico_score", "loan_status_flag", "loan_id")
 
 
-_SCORE_COUNTS = """per AS (SELECT CAST(fico_score AS DOUBLE) AS s, COUNT_IF(loan_status_flag = 1) AS n1,
-                     COUNT_IF(loan_status_flag <> 1) AS n0 FROM clean GROUP BY 1),
+_SCORE_COUNTS = """per AS (SELECT CAST(fico_score AS DOUBLE) AS s, CAST(COUNT_IF(loan_status_flag = 1) AS BIGINT) AS n1,
+                     CAST(COUNT_IF(loan_status_flag <> 1) AS BIGINT) AS n0 FROM clean GROUP BY 1),
 cum AS (SELECT *, SUM(n1) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS c1,
                   SUM(n0) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS c0,
                   SUM(n1) OVER () AS t1, SUM(n0) OVER () AS t0 FROM per)"""
@@ -253,7 +253,7 @@ def _qcut_ctes(source: str, score: str, label: str, q: int, p: str = "q") -> str
     """CTEs {p}e, {p}b, {p}t, {p}u: edges, buckets, per-bucket table, running sums."""
     probs = ", ".join(repr(i / q) for i in range(q + 1))
     return f"""{p}e AS (SELECT list_sort(list_distinct(quantile_cont({score}, [{probs}]))) AS edges FROM {source}),
-{p}b AS (SELECT {score} AS sc, {label} AS y, len(list_filter(edges[2:len(edges) - 1], lambda c: c < {score})) AS bucket
+{p}b AS (SELECT {score} AS sc, {label} AS y, CAST(len(list_filter(edges[2:len(edges) - 1], lambda c: c < {score})) AS INTEGER) AS bucket
       FROM {source}, {p}e),
 {p}t AS (SELECT bucket, COUNT(*) AS n, CAST(SUM(y) AS BIGINT) AS events, AVG(sc) AS avg_score FROM {p}b GROUP BY bucket),
 {p}u AS (SELECT *, SUM(events) OVER (ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS cum_events,
@@ -295,7 +295,7 @@ def _psi_ctes(stacked: str, bins: int = 10, p: str = "p") -> str:
 {p}binned AS (SELECT s.feature, s.period, len(list_filter(cuts[2:{bins}], lambda c: s.value >= c)) AS bin
            FROM {stacked} s JOIN {p}cuts c ON s.feature = c.feature WHERE s.period IN ('expected', 'actual')),
 {p}grid AS (SELECT feature, bin FROM {p}cuts, range(0, {bins}) r(bin)),
-{p}cnt AS (SELECT g.feature, g.bin, COUNT_IF(b.period = 'expected') AS e, COUNT_IF(b.period = 'actual') AS a
+{p}cnt AS (SELECT g.feature, g.bin, CAST(COUNT_IF(b.period = 'expected') AS BIGINT) AS e, CAST(COUNT_IF(b.period = 'actual') AS BIGINT) AS a
         FROM {p}grid g LEFT JOIN {p}binned b ON g.feature = b.feature AND g.bin = b.bin GROUP BY g.feature, g.bin),
 {p}sh AS (SELECT *, e / (SUM(e) OVER (PARTITION BY feature) + 1e-9) AS ep, a / (SUM(a) OVER (PARTITION BY feature) + 1e-9) AS ap,
               SUM(e) OVER (PARTITION BY feature) AS ne, SUM(a) OVER (PARTITION BY feature) AS na FROM {p}cnt),
@@ -407,7 +407,7 @@ def _auc_sql(source: str, score: str, label: str, name_sql: str) -> str:
         / ({D(2)} * CAST(MAX(t1) AS DOUBLE) * CAST(MAX(t0) AS DOUBLE)), 9) AS auc FROM (
   SELECT *, SUM(n1) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS c1, SUM(n0) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS c0,
             SUM(n1) OVER () AS t1, SUM(n0) OVER () AS t0
-  FROM (SELECT {score} AS s, COUNT_IF({label} = 1) AS n1, COUNT_IF({label} <> 1) AS n0 FROM {source} GROUP BY 1))"""
+  FROM (SELECT {score} AS s, CAST(COUNT_IF({label} = 1) AS BIGINT) AS n1, CAST(COUNT_IF({label} <> 1) AS BIGINT) AS n0 FROM {source} GROUP BY 1))"""
 
 
 def _scorecard_auc_rows(bs: DataFrame, split: str) -> DataFrame:
@@ -602,7 +602,7 @@ def q_quantiles(spark, sf):
 _HIST_CUTS = [0.2, 0.4, 0.6, 0.8]
 
 
-@query("agg10_histogram", f"""SELECT len(list_filter([{", ".join(D(c) for c in _HIST_CUTS)}], lambda c: utilization_rate >= c)) AS bin,
+@query("agg10_histogram", f"""SELECT CAST(len(list_filter([{", ".join(D(c) for c in _HIST_CUTS)}], lambda c: utilization_rate >= c)) AS INTEGER) AS bin,
   COUNT(*) AS n FROM bureau WHERE utilization_rate IS NOT NULL AND NOT isnan(utilization_rate) GROUP BY 1""", ("bureau",))
 def q_histogram(spark, sf):
     """AGG-10: histogram of utilization over given cut points (left-closed bins)."""

@@ -42,7 +42,7 @@ def q_loans_csv_etl(spark, sf):
 
 
 @query("src1_csv_inferred_clean", """SELECT CASE WHEN loan_status = 'Default' THEN 1 ELSE 0 END AS loan_status_flag,
-  COUNT(*) AS n, COUNT_IF(fico_score IS NULL) AS null_fico_before_impute
+  COUNT(*) AS n, CAST(COUNT_IF(fico_score IS NULL) AS BIGINT) AS null_fico_before_impute
 FROM loans WHERE loan_status IS NOT NULL AND credit_utilization IS NOT NULL GROUP BY 1""", ("loans",))
 def q_csv_inferred_clean(spark, sf):
     """SRC-1 + PRJ-1/2 + FLT-1: CSV read with inferred types, impute, label, drop rows with NULLs."""

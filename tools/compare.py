@@ -42,6 +42,21 @@ def duck(sf_dir: str):
     return con
 
 
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+            "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP",
+            "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diffs(sdf, rel):
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for c, t in sdf.dtypes:
+        want = TYPE_MAP.get(t, t.upper())
+        if duck_types.get(c) != want:
+            out.append((c, t, duck_types.get(c)))
+    return out
+
+
 def compare(spark, con, sf_dir, name, fn, sql):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -59,6 +74,10 @@ def compare(spark, con, sf_dir, name, fn, sql):
     drows = [tuple(r[i] for i in idx) for r in drows]
     ok = sorted(srows, key=key) == sorted(drows, key=key)
     msg = f"{name:34s} spark {ts:6.2f}s rows={len(srows)} duck rows={len(drows)} {'OK' if ok else 'MISMATCH'}"
+    td = type_diffs(sdf, rel)
+    if td:
+        ok = False
+        msg += f" TYPES {td}"
     if not ok:
         a, b = sorted(srows, key=key), sorted(drows, key=key)
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
