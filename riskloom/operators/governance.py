@@ -41,6 +41,23 @@ def reason_counts(df: DataFrame, rules: Sequence[tuple] = REASON_RULES) -> DataF
     ])).alias("_x")).select("_x.reason", "_x.n")
 
 
+def reason_counts_from_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """GOV-3 driven by a rule table (SRC-8): (reason, n) of rows at or above each threshold.
+
+    Rows are stacked once per rule feature and joined to the rule rows; the rule table is
+    config (one row per reason), so it is broadcast. Counting is a partial aggregate, so a
+    reason hit by most rows is still one counter per task.
+    """
+    features = [r["feature"] for r in rules.select("feature").distinct().collect()]
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features
+    ])).alias("_fv")).select("_fv.feature", "_fv.value")
+    hits = stacked.join(F.broadcast(rules), "feature").where(F.col("value") >= F.col("threshold"))
+    counts = hits.groupBy("reason").agg(F.count(F.lit(1)).cast("long").alias("n"))
+    # reasons with no hit still get a row
+    return rules.select("reason").join(counts, "reason", "left").select("reason", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def decisions(df: DataFrame, key: str, coefficients: dict[str, float], intercept: float,
               model_version: str, rules: Sequence[tuple] = REASON_RULES, keep: Sequence[str] = ()) -> DataFrame:
     """GOV-4: (key, model_version, score, reason_codes) per applicant; score = PD of a linear model.

@@ -393,6 +393,13 @@ def q_reason_counts(spark, sf):
     return governance.reason_counts(tables.bureau(spark, sf))
 
 
+@query("src8_policy_rule_counts", REGISTRY["gov3_reason_counts"][1])
+def q_policy_rule_counts(spark, sf):
+    """SRC-8 + GOV-3: the policy as rule rows (reason, description, feature, threshold), applied
+    by a broadcast join of stacked feature values; applicants per reason."""
+    return governance.reason_counts_from_rules(tables.bureau(spark, sf), policy.reason_rules(spark))
+
+
 @query("gov4_decisions", f"""SELECT customer_id, '{S.MODEL_VERSION}' AS model_version, ROUND({S.pd_sql()}, 9) AS score,
   array_to_string({_REASON_SQL}, ',') AS reason_codes FROM bureau""", ("bureau",))
 def q_decisions(spark, sf):
@@ -507,6 +514,16 @@ def q_string_index(spark, sf):
     return features.frequency_index_table(tables.bureau(spark, sf), "state", "state_index")
 
 
+@query("fe4_label_index", f"""WITH {CLEAN_LOANS_SQL}
+SELECT loan_status_flag, COUNT(*) AS n,
+  CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, loan_status_flag) - 1 AS INT) AS label_index
+FROM clean GROUP BY loan_status_flag""", ("loans",))
+def q_label_index(spark, sf):
+    """FE-4: StringIndexer-style index of the label (0 = most frequent class); shows the class
+    flip that makes the raw 0/1 label the safer choice."""
+    return features.frequency_index_table(clean_loans(spark, sf), "loan_status_flag", "label_index")
+
+
 @query("fe3_index_unseen", f"""WITH {BUREAU_SPLIT_SQL},
 lv AS (SELECT employment_status AS level, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, employment_status) - 1 AS INT) AS idx
        FROM bs WHERE split = 'train' AND employment_status IS NOT NULL GROUP BY employment_status)
