@@ -42,17 +42,25 @@ def audit_stream(spark: SparkSession, sf_dir: str, orders_stream: DataFrame) ->
     )
 
 
-def run_audit_stream(spark: SparkSession, sf_dir: str, out_dir: str | None = None):
+ORDER_STREAM_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                       "o_orderdate timestamp, o_orderpriority string")
+
+
+def run_audit_stream(spark: SparkSession, sf_dir: str, out_dir: str | None = None, orders_dir: str | None = None):
     """Process every available order file once (availableNow) into a JSON sink.
 
-    Returns (sink path, schema of the events) so the sink is read back without inference.
+    ``orders_dir``: folder that receives order files (default: the ``orders*.parquet``
+    files of the table folder). Running again with the same ``out_dir`` resumes from the
+    checkpoint and processes only files that arrived since. Returns (sink path, schema).
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     run = out_dir or f"{base}/audit-{uuid.uuid4().hex}"
-    orders_schema = tables.read_table(spark, sf_dir, "orders").schema
-    # the table folder holds one file per table; the glob keeps the orders files only
-    stream = (spark.readStream.schema(orders_schema).option("pathGlobFilter", "orders*.parquet")
-              .parquet(sf_dir.rstrip("/")))
+    reader = spark.readStream.schema(ORDER_STREAM_SCHEMA)
+    if orders_dir:
+        stream = reader.parquet(orders_dir)
+    else:
+        # the table folder holds one file per table; the glob keeps the orders files only
+        stream = reader.option("pathGlobFilter", "orders*.parquet").parquet(sf_dir.rstrip("/"))
     events = audit_stream(spark, sf_dir, stream)
     q = (events.writeStream.format("json").outputMode("append")
          .option("checkpointLocation", f"{run}/_checkpoint")
