@@ -56,13 +56,14 @@ def auc_exact(df: DataFrame, score: str, label: str, num_partitions: int | None
     )
 
 
-def auc_exact_by(df: DataFrame, by: Sequence[str], score: str, label: str,
-                 num_partitions: int | None = None) -> DataFrame:
-    """EV-3 for many groups (e.g. candidate models) in one pass: one row per group.
+def cumulative_by(df: DataFrame, by: Sequence[str], score: str, label: str,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Per group and distinct score: n1, n0, running cum_n1 / cum_n0 and group totals t1 / t0.
 
     Running sums are taken once in (group, score) order over the whole stacked table and
-    rebased per group: the count before a group's first row is subtracted, found with a
-    per-group aggregate (one row per group, broadcast back).
+    rebased per group: the sums before a group's first row are subtracted, found with a
+    per-group aggregate (one row per group, broadcast back: the groups are the caller's
+    candidates, splits or segments).
     """
     g = list(by)
     counts = (
@@ -71,21 +72,46 @@ def auc_exact_by(df: DataFrame, by: Sequence[str], score: str, label: str,
         .agg(F.count_if(F.col(label) == 1).cast("long").alias("n1"),
              F.count_if(F.col(label) != 1).cast("long").alias("n0"))
     )
-    cum = ranks.with_prefix_sums(counts, [*[F.col(c).asc() for c in g], F.col("score").asc()], ["n0"],
+    cum = ranks.with_prefix_sums(counts, [*[F.col(c).asc() for c in g], F.col("score").asc()], ["n1", "n0"],
                                  num_partitions=num_partitions)
-    starts = cum.groupBy(*g).agg(F.min(F.col("cum_n0") - F.col("n0")).alias("_before"))
-    # one row per group: the number of groups is the caller's (models, segments)
-    rebased = cum.join(F.broadcast(starts), g).withColumn("_below", F.col("cum_n0") - F.col("n0") - F.col("_before"))
+    starts = cum.groupBy(*g).agg(
+        F.min(F.col("cum_n1") - F.col("n1")).alias("_b1"), F.min(F.col("cum_n0") - F.col("n0")).alias("_b0"),
+        F.sum("n1").alias("t1"), F.sum("n0").alias("t0"))
+    return cum.join(F.broadcast(starts), g).select(
+        *g, "score", "n1", "n0",
+        (F.col("cum_n1") - F.col("_b1")).alias("cum_n1"), (F.col("cum_n0") - F.col("_b0")).alias("cum_n0"),
+        "t1", "t0")
+
+
+def auc_exact_by(df: DataFrame, by: Sequence[str], score: str, label: str,
+                 num_partitions: int | None = None) -> DataFrame:
+    """EV-3 for many groups (candidate models, splits) in one ranking pass: one row per group."""
+    g = list(by)
+    cum = cumulative_by(df, g, score, label, num_partitions)
     big = "decimal(38,0)"
-    return rebased.groupBy(*g).agg(
+    below = F.col("cum_n0") - F.col("n0")
+    return cum.groupBy(*g).agg(
         F.round(F.try_divide(
-            F.sum(F.col("n1").cast(big) * (F.lit(2) * F.col("_below") + F.col("n0")).cast(big)).cast("double"),
-            F.lit(2.0) * F.sum("n1") * F.sum("n0")), DIGITS).alias("auc"),
-        F.sum("n1").alias("n_pos"),
-        F.sum("n0").alias("n_neg"),
+            F.sum(F.col("n1").cast(big) * (F.lit(2) * below + F.col("n0")).cast(big)).cast("double"),
+            F.lit(2.0) * F.first("t1") * F.first("t0")), DIGITS).alias("auc"),
+        F.first("t1").alias("n_pos"),
+        F.first("t0").alias("n_neg"),
     )
 
 
+def ks_exact_by(df: DataFrame, by: Sequence[str], score: str, label: str,
+                num_partitions: int | None = None) -> DataFrame:
+    """EV-5 for many groups in one ranking pass: (group..., ks, p_value, n_pos, n_neg)."""
+    g = list(by)
+    cum = cumulative_by(df, g, score, label, num_partitions)
+    gap = F.abs(F.try_divide(F.col("cum_n1"), F.col("t1").cast("double"))
+                - F.try_divide(F.col("cum_n0"), F.col("t0").cast("double")))
+    stats = cum.groupBy(*g).agg(F.max(gap).alias("d"), F.first("t1").alias("n_pos"), F.first("t0").alias("n_neg"))
+    lam = F.col("d") * F.sqrt(F.col("n_pos") * F.col("n_neg") / (F.col("n_pos") + F.col("n_neg")))
+    return stats.select(*g, F.round("d", DIGITS).alias("ks"), F.round(kolmogorov_pvalue(lam), 6).alias("p_value"),
+                        "n_pos", "n_neg")
+
+
 def kolmogorov_pvalue(lam: Column) -> Column:
     """Asymptotic two-sided p-value Q_KS(lambda) = 2 sum_k (-1)^(k-1) exp(-2 k^2 lambda^2).
 

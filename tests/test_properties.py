@@ -132,3 +132,11 @@ def test_grouped_auc_equals_per_group(scored):
     for g in ("a", "b"):
         one = metrics.auc_exact(stacked.where(F.col("g") == g), "score", "y").first().auc
         assert by[g] == pytest.approx(one, abs=1e-12)
+
+
+def test_grouped_ks_equals_per_group(scored):
+    stacked = scored.withColumn("g", F.when(F.col("id") % 3 == 0, "a").otherwise("b"))
+    by = {r.g: (r.ks, r.p_value) for r in metrics.ks_exact_by(stacked, ["g"], "score", "y").collect()}
+    for g in ("a", "b"):
+        one = metrics.ks_exact(stacked.where(F.col("g") == g), "score", "y").first()
+        assert by[g] == pytest.approx((one.ks, one.p_value), abs=1e-12)
