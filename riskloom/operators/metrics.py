@@ -150,6 +150,23 @@ def ks_exact(df: DataFrame, score: str, label: str, num_partitions: int | None =
     )
 
 
+def auc_ks_exact(df: DataFrame, score: str, label: str, num_partitions: int | None = None) -> DataFrame:
+    """EV-3 + EV-5 from one ranking pass (the running sums are frozen once): one row
+    (auc, ks, p_value, n_pos, n_neg)."""
+    cum = _cumulative(df, score, label, num_partitions)
+    big = "decimal(38,0)"
+    below = F.col("cum_n0") - F.col("n0")
+    gap = F.abs(F.try_divide(F.col("cum_n1"), F.col("total_n1").cast("double"))
+                - F.try_divide(F.col("cum_n0"), F.col("total_n0").cast("double")))
+    stats = cum.agg(
+        F.sum(F.col("n1").cast(big) * (F.lit(2) * below + F.col("n0")).cast(big)).alias("num"),
+        F.max(gap).alias("d"), F.first("total_n1").alias("n_pos"), F.first("total_n0").alias("n_neg"))
+    lam = F.col("d") * F.sqrt(F.col("n_pos") * F.col("n_neg") / (F.col("n_pos") + F.col("n_neg")))
+    return stats.select(
+        F.round(F.try_divide(F.col("num").cast("double"), F.lit(2.0) * F.col("n_pos") * F.col("n_neg")), DIGITS).alias("auc"),
+        F.round("d", DIGITS).alias("ks"), F.round(kolmogorov_pvalue(lam), 6).alias("p_value"), "n_pos", "n_neg")
+
+
 def decile_table(df: DataFrame, score: str, label: str, key: str, k: int = 10, descending: bool = True,
                  method: str = "distributed", num_partitions: int | None = None) -> DataFrame:
     """EV-4 / WIN-1 / AGG-5 / WIN-2: bads and goods per score tile with cumulative shares.

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import drift, features, governance, metrics, splits, weights
 from riskloom.plans import catalog
 from riskloom.plans.catalog import query
+from riskloom.session import ensure_checkpoint_dir
 from riskloom.sources import policy
 
 LABEL = "loan_status_flag"
@@ -58,21 +59,23 @@ def loan_frame(spark: SparkSession, sf: str, scheme: str = "majority", assembled
 def evaluate(pred: DataFrame, label: str, key: str) -> DataFrame:
     """EV-1/2/3/4/5 on a prediction table, one row.
 
-    The scored rows feed five metrics, so they are persisted once (the model is applied
-    once, not per metric job); lost blocks are recomputed from lineage.
+    The scored rows feed five metrics, so they are written once as a reliable checkpoint
+    (the model is applied once, not per metric job; no cache is left behind).
     """
-    pred = pred.select(key, label, "rawPrediction", "probability").persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(pred.sparkSession)
+    pred = pred.select(key, label, "rawPrediction", "probability").checkpoint(eager=True)
     scored = positive_probability(pred)
     binned = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
     prob = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability")
     spark = pred.sparkSession
+    exact = metrics.auc_ks_exact(scored, "p", label)
     return one_row(
-        auc_exact=metrics.auc_exact(scored, "p", label),
+        auc_exact=exact.select("auc"),
         auc_binned=spark.createDataFrame([(float(binned.evaluate(pred)),)], "v double"),
         auc_probability=spark.createDataFrame([(float(prob.evaluate(pred)),)], "v double"),
-        ks_exact=metrics.ks_exact(scored, "p", label),
+        ks_exact=exact.select("ks"),
         ks_decile=metrics.ks_decile(scored, "p", label, key),
-        n_test=scored.agg(F.count(F.lit(1))),
+        n_test=exact.select(F.col("n_pos") + F.col("n_neg")),
     )
 
 
@@ -118,7 +121,8 @@ def q_variant_comparison(spark, sf):
         scored = positive_probability(model.transform(df.where(F.col("split") == "test"))).select(
             F.lit(name).alias("variant"), "p", LABEL)
         stacked = scored if stacked is None else stacked.unionByName(scored)
-    stacked = stacked.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(spark)
+    stacked = stacked.checkpoint(eager=True)  # fitted once, scored once
     auc = metrics.auc_exact_by(stacked, ["variant"], "p", LABEL).select("variant", "auc")
     ks = metrics.ks_exact_by(stacked, ["variant"], "p", LABEL).select("variant", "ks")
     # two tables of one row per variant, combined by one aggregate (no join)
@@ -198,7 +202,7 @@ def q_model_table(spark, sf):
     """ML-4/5/6/8 + EV-10 + SRT-4: train the three candidates on the training window; per model
     AUC train/valid, KS (20 buckets) and PSI of the score on valid; the best by valid AUC.
 
-    Scoring happens once per model (persisted (model, split, label, p) rows); AUC for all
+    Scoring happens once per model (checkpointed (model, split, label, p) rows); AUC for all
     models and both windows is one grouped ranking pass, PSI for all models one stacked pass.
     """
     # used by three fits and three scorings: keep it cached (recomputed from lineage if an
@@ -211,7 +215,9 @@ def q_model_table(spark, sf):
         model = est.fit(train)
         one = positive_probability(model.transform(d)).select(F.lit(name).alias("model"), "split", "defaulted", "p")
         scored = one if scored is None else scored.unionByName(one)
-    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(spark)
+    scored = scored.checkpoint(eager=True)  # every model applied once; the metrics read this
+    d.unpersist()
     aucs = metrics.auc_exact_by(scored, ["model", "split"], "p", "defaulted").select(
         "model", F.concat(F.lit("auc_"), F.col("split")).alias("metric"), F.col("auc").alias("value"))
     stacked = scored.select(F.when(F.col("split") == "train", "expected").otherwise("actual").alias("period"),

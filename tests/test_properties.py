@@ -140,3 +140,9 @@ def test_grouped_ks_equals_per_group(scored):
     for g in ("a", "b"):
         one = metrics.ks_exact(stacked.where(F.col("g") == g), "score", "y").first()
         assert by[g] == pytest.approx((one.ks, one.p_value), abs=1e-12)
+
+
+def test_combined_auc_ks_pass(scored):
+    both = metrics.auc_ks_exact(scored, "score", "y").first()
+    assert both.auc == metrics.auc_exact(scored, "score", "y").first().auc
+    assert (both.ks, both.p_value) == tuple(metrics.ks_exact(scored, "score", "y").first()[:2])
