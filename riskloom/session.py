@@ -65,7 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     a shared file system). Only a local-mode session without one gets a fresh
     scratch folder, as in tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext: use its conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder for this cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -19,11 +19,14 @@ from riskloom.session import local_session  # noqa: E402
 from riskloom.sources.tables import TABLES  # noqa: E402
 
 
+STRICT = os.environ.get("COMPARE_STRICT") == "1"  # exact floats, as a byte-level value hash would see them
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if isinstance(v, (list, tuple)):
         return tuple(norm(x) for x in v)
     if hasattr(v, "asDict"):
