@@ -41,15 +41,33 @@ def stack_features(df: DataFrame, features: Sequence[str], period: Column | str,
     return stacked.where(F.col("value").isNotNull() & ~F.isnan("value") & F.col("period").isNotNull())
 
 
+APPROX_ACCURACY = 100_000  # percentile_approx: rank error <= n / accuracy
+
+
+def feature_cuts(base: DataFrame, probs: list[float], method: str = "exact",
+                 num_partitions: int | None = None) -> DataFrame:
+    """(feature, cuts): quantile cut points of ``value`` per feature.
+
+    ``exact`` (default, numpy/DuckDB parity) sorts the values once (``ranks``);
+    ``approx`` is one aggregate of bounded-size quantile sketches per feature (rank error
+    <= n / APPROX_ACCURACY), the cheaper choice for monitoring very large tables.
+    """
+    if method == "approx":
+        return base.groupBy("feature").agg(
+            F.percentile_approx("value", probs, APPROX_ACCURACY).alias("cuts"))
+    return ranks.grouped_quantiles(base, ["feature"], "value", probs, "cuts", num_partitions)
+
+
 def psi_by_feature(stacked: DataFrame, expected: str = "expected", actual: str = "actual", bins: int = 10,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, method: str = "exact") -> DataFrame:
     """DRF-3: PSI per feature from a stacked (feature, value, period) table, one plan.
 
-    Output (feature, psi, n_expected, n_actual).
+    Output (feature, psi, n_expected, n_actual). ``method``: how the cut points are found
+    (see ``feature_cuts``).
     """
     probs = [i / bins for i in range(bins + 1)]
     base = stacked.where(F.col("period") == expected)
-    cuts = ranks.grouped_quantiles(base, ["feature"], "value", probs, "cuts", num_partitions)
+    cuts = feature_cuts(base, probs, method, num_partitions)
     both = stacked.where(F.col("period").isin(expected, actual))
     # one row per feature (bounded by the table's columns): broadcast, never a shuffle join
     # keyed on the few feature names, which would put each feature's rows in one task
@@ -79,9 +97,9 @@ def psi_by_feature(stacked: DataFrame, expected: str = "expected", actual: str =
 
 
 def psi(expected: DataFrame, actual: DataFrame, column: str, bins: int = 10,
-        num_partitions: int | None = None) -> DataFrame:
+        num_partitions: int | None = None, method: str = "exact") -> DataFrame:
     """DRF-1: PSI of one column between two DataFrames (one row: psi, n_expected, n_actual)."""
     e = expected.select(F.col(column).alias("_x"), F.lit("expected").alias("_p"))
     a = actual.select(F.col(column).alias("_x"), F.lit("actual").alias("_p"))
     stacked = stack_features(e.unionByName(a).withColumnRenamed("_x", column), [column], "_p")
-    return psi_by_feature(stacked, bins=bins, num_partitions=num_partitions).drop("feature")
+    return psi_by_feature(stacked, bins=bins, num_partitions=num_partitions, method=method).drop("feature")

@@ -208,10 +208,19 @@ def ks_decile(df: DataFrame, score: str, label: str, key: str, k: int = 10, **kw
     return decile_table(df, score, label, key, k, **kw).agg(F.max("ks").alias("ks_decile"))
 
 
-def quantile_edges(df: DataFrame, score: str, q: int, num_partitions: int | None = None) -> list[float]:
-    """WIN-4: ``q``-quantile edges (linear interpolation), de-duplicated, in order."""
+def quantile_edges(df: DataFrame, score: str, q: int, num_partitions: int | None = None,
+                   method: str = "exact") -> list[float]:
+    """WIN-4: ``q``-quantile edges, de-duplicated, in order.
+
+    ``exact``: linear interpolation (pandas/numpy parity) from distributed order statistics;
+    ``approx``: one ``percentile_approx`` sketch aggregate (rank error <= n / 100000).
+    """
     probs = [i / q for i in range(q + 1)]
-    edges = ranks.exact_quantiles(df, score, probs, num_partitions)
+    if method == "approx":
+        row = df.agg(F.percentile_approx(F.col(score).cast("double"), probs, 100_000).alias("e")).first()
+        edges = list(row["e"] or [])
+    else:
+        edges = ranks.exact_quantiles(df, score, probs, num_partitions)
     out: list[float] = []
     for e in edges:
         if e is not None and (not out or e != out[-1]):
@@ -227,10 +236,10 @@ def qcut_bucket(x: Column, edges: Sequence[float]) -> Column:
 
 
 def bucket_table(df: DataFrame, score: str, label: str, q: int = 20,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, method: str = "exact") -> DataFrame:
     """Per quantile bucket: rows, events, mean score, event rate, running shares (EV-7, EV-11)."""
     rows = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & F.col(label).isNotNull())
-    edges = quantile_edges(rows, score, q, num_partitions)
+    edges = quantile_edges(rows, score, q, num_partitions, method)
     per = rows.groupBy(qcut_bucket(F.col(score), edges).alias("bucket")).agg(
         F.count(F.lit(1)).cast("long").alias("n"),
         F.sum(F.col(label)).cast("long").alias("events"),
@@ -246,9 +255,10 @@ def bucket_table(df: DataFrame, score: str, label: str, q: int = 20,
     })
 
 
-def ks_qcut(df: DataFrame, score: str, label: str, q: int = 20, num_partitions: int | None = None) -> DataFrame:
+def ks_qcut(df: DataFrame, score: str, label: str, q: int = 20, num_partitions: int | None = None,
+            method: str = "exact") -> DataFrame:
     """EV-7: KS over ``q`` quantile buckets, absolute max, 1e-9 guards on the totals."""
-    t = bucket_table(df, score, label, q, num_partitions)
+    t = bucket_table(df, score, label, q, num_partitions, method)
     gap = F.abs(
         F.col("cum_events") / (F.col("total_events") + F.lit(1e-9))
         - F.col("cum_non_events") / ((F.col("total_rows") - F.col("total_events")) + F.lit(1e-9))
@@ -256,9 +266,10 @@ def ks_qcut(df: DataFrame, score: str, label: str, q: int = 20, num_partitions:
     return t.agg(F.round(F.max(gap), DIGITS).alias("ks_qcut"))
 
 
-def calibration(df: DataFrame, score: str, label: str, q: int = 10, num_partitions: int | None = None) -> DataFrame:
+def calibration(df: DataFrame, score: str, label: str, q: int = 10, num_partitions: int | None = None,
+                method: str = "exact") -> DataFrame:
     """EV-11: mean predicted vs observed event rate per quantile bucket of the score."""
-    t = bucket_table(df, score, label, q, num_partitions)
+    t = bucket_table(df, score, label, q, num_partitions, method)
     return t.select(
         "bucket", "n", "events",
         F.round("avg_score", DIGITS).alias("mean_predicted"),

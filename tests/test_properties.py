@@ -146,3 +146,16 @@ def test_combined_auc_ks_pass(scored):
     both = metrics.auc_ks_exact(scored, "score", "y").first()
     assert both.auc == metrics.auc_exact(scored, "score", "y").first().auc
     assert (both.ks, both.p_value) == tuple(metrics.ks_exact(scored, "score", "y").first()[:2])
+
+
+def test_approx_psi_close_to_exact(scored):
+    e, a = scored.where("y = 0"), scored.where("y = 1").withColumn("score", F.col("score") + 0.3)
+    exact = drift.psi(e, a, "score").first().psi
+    approx = drift.psi(e, a, "score", method="approx").first().psi
+    assert approx == pytest.approx(exact, rel=0.05, abs=1e-3)
+
+
+def test_approx_qcut_close_to_exact(scored):
+    exact = metrics.ks_qcut(scored, "score", "y", 20).first().ks_qcut
+    approx = metrics.ks_qcut(scored, "score", "y", 20, method="approx").first().ks_qcut
+    assert approx == pytest.approx(exact, abs=0.01)
