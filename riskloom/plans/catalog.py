@@ -200,6 +200,17 @@ def q_ks_decile(spark, sf):
     return metrics.decile_table(clean_loans(spark, sf), "fico_score", "loan_status_flag", "loan_id")
 
 
+@query("ev4_ks_decile_max", f"""WITH {CLEAN_LOANS_SQL},
+t AS (SELECT loan_status_flag AS y, NTILE(10) OVER (ORDER BY fico_score DESC, loan_id) AS decile FROM clean),
+p AS (SELECT decile, CAST(COUNT_IF(y = 1) AS BIGINT) AS bads, CAST(COUNT_IF(y = 0) AS BIGINT) AS goods FROM t GROUP BY decile),
+r AS (SELECT SUM(bads) OVER (ORDER BY decile ROWS UNBOUNDED PRECEDING) / CAST(SUM(bads) OVER () AS DOUBLE)
+           - SUM(goods) OVER (ORDER BY decile ROWS UNBOUNDED PRECEDING) / CAST(SUM(goods) OVER () AS DOUBLE) AS ks FROM p)
+SELECT MAX(ROUND(ks, 9)) AS ks_decile FROM r""", ("loans",))
+def q_ks_decile_max(spark, sf):
+    """EV-4 + AGG-7: the signed KS by deciles (max over the decile table)."""
+    return metrics.ks_decile(clean_loans(spark, sf), "fico_score", "loan_status_flag", "loan_id")
+
+
 _SCORE_COUNTS = """per AS (SELECT CAST(fico_score AS DOUBLE) AS s, CAST(COUNT_IF(loan_status_flag = 1) AS BIGINT) AS n1,
                      CAST(COUNT_IF(loan_status_flag <> 1) AS BIGINT) AS n0 FROM clean GROUP BY 1),
 cum AS (SELECT *, SUM(n1) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS c1,
