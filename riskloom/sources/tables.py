@@ -28,6 +28,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-order aggregate of lineitem (max quantity / 50, lines, max discount, max tax, returns)."""
+    return _order_lines(spark, sf_dir)
+
+
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return li.groupBy("l_orderkey").agg(
@@ -101,14 +106,17 @@ EMPLOYMENT = ["employed", "self_employed", "unemployed", "student", "retired"]
 SEGMENTS = ["low", "med", "high"]
 
 
-def bureau(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+def bureau(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None,
+           lines: DataFrame | None = None) -> DataFrame:
     """Bureau snapshot table (contract shape), one row per order with line items.
 
     ``orders`` may be a streaming DataFrame: the other inputs are static, so every
     join is a stream-static inner join and the result is a stateless stream.
+    ``lines``: a precomputed ``order_lines`` table (the stream passes a materialized one so
+    that a micro-batch does not aggregate lineitem again).
     """
     oc = _orders_customers(spark, sf_dir, orders)
-    lines = _order_lines(spark, sf_dir)
+    lines = lines if lines is not None else _order_lines(spark, sf_dir)
     df = oc.join(lines, oc.o_orderkey == lines.l_orderkey)
     key = F.col("o_orderkey")
     cust = F.col("o_custkey")

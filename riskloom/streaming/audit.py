@@ -26,10 +26,11 @@ REQUEST_FIELDS = ["income", "utilization_rate", "num_trades", "delinq_12m", "inq
                   "employment_status", "state", "age", "tenure_months"]
 
 
-def audit_stream(spark: SparkSession, sf_dir: str, orders_stream: DataFrame) -> DataFrame:
+def audit_stream(spark: SparkSession, sf_dir: str, orders_stream: DataFrame,
+                 lines: DataFrame | None = None) -> DataFrame:
     """Streaming audit events for a stream of orders (no state)."""
     coefs, intercept = S.SCORECARDS[S.DEFAULT_SCORECARD]
-    snap = tables.bureau(spark, sf_dir, orders_stream)
+    snap = tables.bureau(spark, sf_dir, orders_stream, lines)
     scored = snap.select(
         "customer_id", "snapshot_date", *REQUEST_FIELDS,
         F.lit(S.MODEL_VERSION).alias("model_version"),
@@ -61,7 +62,11 @@ def run_audit_stream(spark: SparkSession, sf_dir: str, out_dir: str | None = Non
     else:
         # the table folder holds one file per table; the glob keeps the orders files only
         stream = reader.option("pathGlobFilter", "orders*.parquet").parquet(sf_dir.rstrip("/"))
-    events = audit_stream(spark, sf_dir, stream)
+    # the static side of the stream-static join is evaluated again for every micro-batch:
+    # aggregate lineitem once into a compact per-order table and join against that
+    lines_path = f"{run}/_order_lines"
+    tables.order_lines(spark, sf_dir).write.mode("overwrite").parquet(lines_path)
+    events = audit_stream(spark, sf_dir, stream, spark.read.parquet(lines_path))
     q = (events.writeStream.format("json").outputMode("append")
          .option("checkpointLocation", f"{run}/_checkpoint")
          .trigger(availableNow=True).start(f"{run}/events"))
