@@ -37,11 +37,14 @@ def freeze_ordered(df: DataFrame, order: Sequence[Column], num_partitions: int |
     values does not matter), append a row id so that one value held by a third of the
     rows is still cut into many ranges instead of landing in one partition.
     """
-    n = _partitions(df, num_partitions)
     if spread_ties:
         df = df.withColumn("_tb", F.monotonically_increasing_id())
         order = [*order, F.col("_tb").asc()]
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count, AQE coalesces adjacent ranges to its advisory partition
+    # size (contiguous ranges, so the order is kept): few partitions for small inputs,
+    # ~advisory-sized ones at scale; never more than spark.sql.shuffle.partitions.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ordered = ranged.sortWithinPartitions(*order)
     if spread_ties:
         ordered = ordered.drop("_tb")
     tagged = ordered.withColumns({
@@ -83,8 +86,8 @@ def with_positions(df: DataFrame, order: Sequence[Column], pos_col: str = "pos",
     ``order`` must be a total order (end it with a unique key) for the result to be
     deterministic, unless only the values at positions matter (``spread_ties``).
     """
-    n = _partitions(df, num_partitions)
-    frozen = freeze_ordered(df, order, n, spread_ties)
+    n = _partitions(df, num_partitions)  # upper bound of the partition count (offsets rows)
+    frozen = freeze_ordered(df, order, num_partitions, spread_ties)
     joined = _broadcast_offsets(frozen, _offsets(frozen), n)
     return joined.withColumn(pos_col, F.col("_off") + F.col("_idx")).withColumnRenamed("_n", n_col).drop(
         "_pid", "_idx", "_off"
@@ -123,8 +126,8 @@ def with_prefix_sums(df: DataFrame, order: Sequence[Column], value_cols: Sequenc
     Partition totals are prefixed across partitions (tiny table, broadcast); inside a
     partition the running sum is a window partitioned by the partition id.
     """
-    n = _partitions(df, num_partitions)
-    frozen = freeze_ordered(df, order, n)
+    n = _partitions(df, num_partitions)  # upper bound of the partition count (offsets rows)
+    frozen = freeze_ordered(df, order, num_partitions)
     offsets = _offsets(frozen, value_cols)
     inside = Window.partitionBy("_pid").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
     running = frozen.withColumns({f"_run_{c}": F.sum(c).over(inside) for c in value_cols})
@@ -149,8 +152,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
     vals = df.select(F.col(column).cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
-    n_parts = _partitions(df, num_partitions)
-    frozen = freeze_ordered(vals, [F.col("v")], n_parts, spread_ties=True)
+    n_parts = _partitions(df, num_partitions)  # upper bound of the partition count
+    frozen = freeze_ordered(vals, [F.col("v")], num_partitions, spread_ties=True)
     offsets = _offsets(frozen)
     n_row = offsets.select("_n").limit(1).collect()
     if not n_row:
