@@ -455,23 +455,27 @@ def q_best_model(spark, sf):
 def metric_record(spark: SparkSession, sf: str) -> DataFrame:
     """EV-10: best model, AUC train/valid, KS (20 buckets) and PSI of its PD, one row.
 
-    Each metric is a one-row frame; they are stacked as (metric, value) rows and turned
-    into one wide row by a single aggregate (no join between the one-row frames).
+    One grouped ranking pass gives the AUC of every candidate on both windows (the best is
+    picked from the valid rows); KS and PSI are computed for the best one. The metrics are
+    stacked as (metric, value) rows and turned into one wide row by a single aggregate (no
+    join between one-row frames).
     """
     bs = bureau_split(spark, sf).where(F.col("split").isNotNull())
-    best = governance.best_by(_scorecard_auc_rows(bs, "valid"), "model", "auc").first()["best_model"]
-    scored = bs.select("split", "defaulted", S.z_expr(best).alias("z"),
-                       F.round(C.sigmoid(S.z_expr(best)), 9).alias("pd"))
-    valid = scored.where(F.col("split") == "valid")
-    stacked = scored.select(F.when(F.col("split") == "train", "expected").otherwise("actual").alias("period"),
-                            F.lit("pd").alias("feature"), F.col("pd").alias("value"))
-    # train and valid AUC in one ranking pass, grouped by split
-    aucs = metrics.auc_exact_by(scored, ["split"], "z", "defaulted").select(
-        F.concat(F.lit("auc_"), F.col("split")).alias("metric"), F.col("auc").alias("value"))
+    stacked = bs.select(
+        "split", "defaulted",
+        F.explode(F.array(*[F.struct(F.lit(n).alias("model"), S.z_expr(n).alias("z")) for n in S.SCORECARDS])).alias("_m"),
+    ).select(F.col("_m.model").alias("model"), "split", F.col("_m.z").alias("z"), "defaulted")
+    aucs = metrics.auc_exact_by(stacked, ["model", "split"], "z", "defaulted")
+    best = governance.best_by(aucs.where(F.col("split") == "valid"), "model", "auc").first()["best_model"]
+    valid = bs.where(F.col("split") == "valid").select(
+        "defaulted", F.round(C.sigmoid(S.z_expr(best)), 9).alias("pd"))
+    scored = bs.select(F.when(F.col("split") == "train", "expected").otherwise("actual").alias("period"),
+                       F.lit("pd").alias("feature"), F.round(C.sigmoid(S.z_expr(best)), 9).alias("value"))
     parts = [
-        aucs,
+        aucs.where(F.col("model") == best).select(F.concat(F.lit("auc_"), F.col("split")).alias("metric"),
+                                                 F.col("auc").alias("value")),
         metrics.ks_qcut(valid, "pd", "defaulted", 20).select(F.lit("ks_valid").alias("metric"), F.col("ks_qcut").alias("value")),
-        drift.psi_by_feature(stacked).select(F.lit("psi_valid_vs_train").alias("metric"), F.col("psi").alias("value")),
+        drift.psi_by_feature(scored).select(F.lit("psi_valid_vs_train").alias("metric"), F.col("psi").alias("value")),
     ]
     long = parts[0]
     for p in parts[1:]:
