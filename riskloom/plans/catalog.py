@@ -272,8 +272,9 @@ def _qcut_ctes(source: str, score: str, label: str, q: int, p: str = "q") -> str
               SUM(events) OVER () AS total_events, SUM(n) OVER () AS total_rows FROM {p}t)"""
 
 
-def _ks_from_qcut(p: str = "q") -> str:
-    return (f"ROUND(MAX(ABS(cum_events / (total_events + 1e-9) - cum_non_events / ((total_rows - total_events) + 1e-9))), 9)")
+def _ks_from_qcut() -> str:
+    """KS over the running sums of the ``{p}u`` CTE (absolute max, 1e-9 guards)."""
+    return "ROUND(MAX(ABS(cum_events / (total_events + 1e-9) - cum_non_events / ((total_rows - total_events) + 1e-9))), 9)"
 
 
 @query("ev7_ks_qcut", f"""WITH {CLEAN_LOANS_SQL}, {_qcut_ctes('clean', 'fico_score', 'loan_status_flag', 20)}
