@@ -8,6 +8,7 @@ parameters as literals, so fitting on train and applying to validation never ref
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,18 @@ from pyspark.sql import functions as F
 from riskloom.operators import ranks
 
 MAX_LEVELS = 10_000  # a "category" with more levels is an identifier, not a feature
+PARAM_DIGITS = 10  # significant digits kept of fitted means / sds
+
+
+def round_param(x: float | None, digits: int = PARAM_DIGITS) -> float | None:
+    """Fitted parameter to ``digits`` significant digits.
+
+    The last bits of a distributed mean depend on the order of addition (partitioning,
+    engine); keeping 10 significant digits makes the fitted transform reproducible.
+    """
+    if x is None or x == 0 or x != x:
+        return x
+    return round(x, digits - 1 - math.floor(math.log10(abs(x))))
 
 
 def frequency_index_table(df: DataFrame, col: str, index_col: str = "index") -> DataFrame:
@@ -103,8 +116,8 @@ class Standardizer:
             aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
         row = df.agg(*aggs).first()
         for c in self.columns:
-            self.mean[c] = row[f"m_{c}"]
-            sd = row[f"s_{c}"]
+            mean, sd = round_param(row[f"m_{c}"]), round_param(row[f"s_{c}"])
+            self.mean[c] = mean
             self.sd[c] = 1.0 if sd is None or sd == 0 else sd
         return self
 
@@ -156,7 +169,7 @@ class LinearAttribution:
 
     def fit(self, df: DataFrame) -> "LinearAttribution":
         row = df.agg(*[F.avg(c).alias(c) for c in self.coefficients]).first()
-        self.mean = {c: row[c] for c in self.coefficients}
+        self.mean = {c: round_param(row[c]) for c in self.coefficients}
         return self
 
     def contribution(self, c: str):
@@ -183,5 +196,5 @@ class LinearAttribution:
         top = df.select(key, F.slice(F.sort_array(entries), 1, k).alias("_top"))
         return top.select(key, F.posexplode("_top").alias("_r", "_e")).select(
             key, (F.col("_r") + 1).cast("int").alias("rank"), F.col("_e.feature").alias("feature"),
-            F.round("_e.contribution", 9).alias("contribution"),
+            F.col("_e.contribution").alias("contribution"),
         )

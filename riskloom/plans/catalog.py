@@ -25,6 +25,11 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 D = "CAST({} AS DOUBLE)".format  # DuckDB reads 0.5 as DECIMAL: cast every literal used in float math
 
 
+def SIG(x: str) -> str:
+    """SQL twin of ``features.round_param``: 10 significant digits."""
+    return f"(CASE WHEN {x} = 0 THEN {x} ELSE ROUND({x}, CAST(9 - FLOOR(LOG10(ABS({x}))) AS INTEGER)) END)"
+
+
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
     def deco(fn: QueryFn) -> QueryFn:
         REGISTRY[name] = (fn, with_views_sql(sql, *views) if sql else None)
@@ -285,16 +290,17 @@ def q_ks_qcut(spark, sf):
 
 
 _SCORED_VALID_SQL = f"""{BUREAU_SPLIT_SQL},
-sv AS (SELECT customer_id, defaulted, {S.pd_sql()} AS pd FROM bs WHERE split = 'valid')"""
+sv AS (SELECT customer_id, defaulted, ROUND({S.pd_sql()}, 9) AS pd FROM bs WHERE split = 'valid')"""
 
 
 @query("ev11_calibration", f"""WITH {_SCORED_VALID_SQL}, {_qcut_ctes('sv', 'pd', 'defaulted', 10)}
 SELECT bucket, n, events, ROUND(avg_score, 9) AS mean_predicted, ROUND(events / n, 9) AS observed_rate,
        ROUND(avg_score - events / n, 9) AS gap FROM qu""", ("bureau",))
 def q_calibration(spark, sf):
-    """EV-11: predicted PD vs observed default rate per PD decile (validation window)."""
+    """EV-11: reported PD (9 digits, as in the decisions) vs observed default rate per PD decile
+    (validation window)."""
     sv = bureau_split(spark, sf).where(F.col("split") == "valid").select(
-        "customer_id", "defaulted", C.sigmoid(S.z_expr()).alias("pd"))
+        "customer_id", "defaulted", F.round(C.sigmoid(S.z_expr()), 9).alias("pd"))
     return metrics.calibration(sv, "pd", "defaulted", 10)
 
 
@@ -577,16 +583,16 @@ def q_category_index(spark, sf):
 
 
 @query("fe7_standardize", f"""WITH {BUREAU_SPLIT_SQL},
-st AS (SELECT {", ".join(f"AVG({c}) AS m_{c}, CASE WHEN STDDEV_POP({c}) = 0 OR STDDEV_POP({c}) IS NULL THEN {D(1)} ELSE STDDEV_POP({c}) END AS s_{c}" for c in policy.NUMERIC_FEATURES)}
+st AS (SELECT {", ".join(f"{SIG(f'AVG({c})')} AS m_{c}, CASE WHEN STDDEV_POP({c}) = 0 OR STDDEV_POP({c}) IS NULL THEN {D(1)} ELSE {SIG(f'STDDEV_POP({c})')} END AS s_{c}" for c in policy.NUMERIC_FEATURES)}
        FROM bs WHERE split = 'train')
-SELECT customer_id, {", ".join(f"ROUND(({c} - m_{c}) / s_{c}, 9) AS {c}_z" for c in policy.NUMERIC_FEATURES)}
+SELECT customer_id, {", ".join(f"({c} - m_{c}) / s_{c} AS {c}_z" for c in policy.NUMERIC_FEATURES)}
 FROM bs, st WHERE split = 'valid'""", ("bureau",))
 def q_standardize(spark, sf):
     """FE-7/FE-8: z-scores with the population sd (zero sd -> 1), fitted on train, applied to valid."""
     bs = bureau_split(spark, sf)
     sc = features.Standardizer(policy.NUMERIC_FEATURES).fit(bs.where(F.col("split") == "train"))
     out = sc.transform(bs.where(F.col("split") == "valid"))
-    return out.select("customer_id", *[F.round(f"{c}_z", 9).alias(f"{c}_z") for c in policy.NUMERIC_FEATURES])
+    return out.select("customer_id", *[f"{c}_z" for c in policy.NUMERIC_FEATURES])
 
 
 _LEAK_FEATURES = ["fico_score", "loan_amount", "tenure_months", "monthly_income", "credit_utilization",
@@ -650,7 +656,7 @@ _ATTR_COEFS, _ATTR_B = S.SCORECARDS[S.DEFAULT_SCORECARD]
 
 
 @query("gov6_global_importance", f"""WITH {BUREAU_SPLIT_SQL},
-m AS (SELECT {", ".join(f"AVG({c}) AS m_{c}" for c in _ATTR_COEFS)} FROM bs WHERE split = 'train'),
+m AS (SELECT {", ".join(f"{SIG(f'AVG({c})')} AS m_{c}" for c in _ATTR_COEFS)} FROM bs WHERE split = 'train'),
 c AS (SELECT {", ".join(f"{D(repr(w))} * ({c} - m_{c}) AS c_{c}" for c, w in _ATTR_COEFS.items())} FROM bs, m WHERE split = 'valid')
 """ + " UNION ALL ".join(f"SELECT '{c}' AS feature, ROUND(AVG(ABS(c_{c})), 9) AS mean_abs_contribution FROM c" for c in _ATTR_COEFS),
        ("bureau",))
@@ -662,12 +668,12 @@ def q_global_importance(spark, sf):
 
 
 @query("srt5_top_reasons", f"""WITH {BUREAU_SPLIT_SQL},
-m AS (SELECT {", ".join(f"AVG({c}) AS m_{c}" for c in _ATTR_COEFS)} FROM bs WHERE split = 'train'),
+m AS (SELECT {", ".join(f"{SIG(f'AVG({c})')} AS m_{c}" for c in _ATTR_COEFS)} FROM bs WHERE split = 'train'),
 c AS (SELECT customer_id, UNNEST([{", ".join(f"{{'feature': '{c}', 'contribution': {D(repr(w))} * ({c} - m_{c})}}" for c, w in _ATTR_COEFS.items())}]) AS x
       FROM bs, m WHERE split = 'valid'),
 r AS (SELECT customer_id, x.feature AS feature, x.contribution AS contribution,
              ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY x.contribution DESC, x.feature) AS rk FROM c)
-SELECT customer_id, CAST(rk AS INT) AS rank, feature, ROUND(contribution, 9) AS contribution FROM r WHERE rk <= 2""",
+SELECT customer_id, CAST(rk AS INT) AS rank, feature, contribution FROM r WHERE rk <= 2""",
        ("bureau",))
 def q_top_reasons(spark, sf):
     """SRT-5: the two features that push each applicant's score up the most (top-k is the feature)."""
