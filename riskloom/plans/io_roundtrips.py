@@ -106,16 +106,20 @@ def q_metrics_json_gate(spark, sf):
 
 
 def request_documents(bureau: DataFrame) -> DataFrame:
-    """Group applicants into request documents of bounded size: ``REQUEST_ROWS_PER_DOCUMENT``
-    rows on average, spread by a hash of the whole record (a duplicated key does not pile
-    into one document)."""
-    n_docs = max(1, -(-bureau.count() // REQUEST_ROWS_PER_DOCUMENT))
+    """Group applicants into request documents of at most ``REQUEST_ROWS_PER_DOCUMENT`` rows.
+
+    The document id is the row's position inside its partition cut every 500 rows
+    (``monotonically_increasing_id`` holds partition id and position), so no count pass is
+    needed and a document never exceeds the bound, whatever the keys (a duplicated key
+    cannot pile into one document).
+    """
     fields = [f.name for f in files.REQUEST_RECORD.fields]
     rec = bureau.select(
         *[F.col(c).cast(files.REQUEST_RECORD[c].dataType) if c != "snapshot_date"
           else F.date_format("snapshot_date", "yyyy-MM-dd'T'HH:mm:ss").alias(c) for c in fields])
-    rid = F.pmod(F.xxhash64(*[F.col(c) for c in fields]), F.lit(n_docs)).cast("string")
-    return rec.groupBy(rid.alias("request_id")).agg(F.collect_list(F.struct(*fields)).alias("records"))
+    rid = F.floor(F.monotonically_increasing_id() / F.lit(REQUEST_ROWS_PER_DOCUMENT)).cast("string")
+    return rec.withColumn("request_id", rid).groupBy("request_id").agg(
+        F.collect_list(F.struct(*fields)).alias("records"))
 
 
 @query("src7_request_documents", REGISTRY["gov4_decisions"][1])
