@@ -30,7 +30,12 @@ def psi_bin(x: Column, cuts: Column, bins: int) -> Column:
 
 
 def stack_features(df: DataFrame, features: Sequence[str], period: Column | str, key_cols: Sequence[str] = ()) -> DataFrame:
-    """(feature, value, period): one row per input row and feature; NULL/NaN values dropped."""
+    """(feature, value, period): one row per input row and feature; NULL/NaN values dropped.
+
+    Build stacked tables with this (an explode) rather than a literal feature column: with
+    a literal the optimizer folds the feature join key in ``psi_by_feature`` and plans a
+    nested-loop join.
+    """
     per = F.col(period) if isinstance(period, str) else period
     stacked = df.select(
         *key_cols, per.alias("period"),

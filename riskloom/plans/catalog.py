@@ -357,9 +357,11 @@ SELECT * FROM ppsi""", ("bureau",))
 def q_psi_score(spark, sf):
     """DRF-2: PSI of the reported score (PD to 9 digits, as in the decisions), valid vs train window."""
     bs = bureau_split(spark, sf).where(F.col("split").isNotNull())
-    stacked = bs.select(
-        F.when(F.col("split") == "train", "expected").otherwise("actual").alias("period"),
-        F.lit("pd").alias("feature"), F.round(C.sigmoid(S.z_expr()), 9).alias("value"))
+    # stacked through stack_features (explode): a literal feature column would let the
+    # optimizer fold the feature join key and plan a nested-loop join
+    scored = bs.withColumn("pd", F.round(C.sigmoid(S.z_expr()), 9))
+    stacked = drift.stack_features(
+        scored, ["pd"], F.when(F.col("split") == "train", "expected").otherwise("actual"))
     return drift.psi_by_feature(stacked)
 
 
@@ -476,8 +478,9 @@ def metric_record(spark: SparkSession, sf: str) -> DataFrame:
     best = governance.best_by(aucs.where(F.col("split") == "valid"), "model", "auc").first()["best_model"]
     valid = bs.where(F.col("split") == "valid").select(
         "defaulted", F.round(C.sigmoid(S.z_expr(best)), 9).alias("pd"))
-    scored = bs.select(F.when(F.col("split") == "train", "expected").otherwise("actual").alias("period"),
-                       F.lit("pd").alias("feature"), F.round(C.sigmoid(S.z_expr(best)), 9).alias("value"))
+    scored = drift.stack_features(
+        bs.withColumn("pd", F.round(C.sigmoid(S.z_expr(best)), 9)), ["pd"],
+        F.when(F.col("split") == "train", "expected").otherwise("actual"))
     parts = [
         aucs.where(F.col("model") == best).select(F.concat(F.lit("auc_"), F.col("split")).alias("metric"),
                                                  F.col("auc").alias("value")),
