@@ -561,6 +561,23 @@ def q_index_unseen(spark, sf):
     return idx.transform(bs.where(F.col("split") == "valid")).select("customer_id", "employment_status_index")
 
 
+_ONEHOT = {"employment_status": tables.EMPLOYMENT, "risk_segment": tables.SEGMENTS}
+
+
+@query("fe5_onehot", f"""WITH {BUREAU_SPLIT_SQL}
+SELECT customer_id, """ + ", ".join(
+    f"COALESCE(CAST({c} = '{v}' AS DOUBLE), {D(0)}) AS {c}_{v}"
+    for c, levels in _ONEHOT.items() for v in sorted(levels)) + """
+FROM bs WHERE split = 'valid'""", ("bureau",))
+def q_onehot(spark, sf):
+    """FE-5/FE-6: one 0/1 column per level seen in the training window (alphabetical), applied to
+    the validation window; an unseen level is all zeros. (The levels are those the bureau view
+    defines, so the oracle lists them.)"""
+    bs = bureau_split(spark, sf)
+    enc = features.CategoryEncoder(list(_ONEHOT)).fit(bs.where(F.col("split") == "train"))
+    return enc.transform_onehot(bs.where(F.col("split") == "valid")).select("customer_id", *enc.output_names())
+
+
 @query("fe6_category_index", f"""WITH {BUREAU_SPLIT_SQL},
 lv AS (SELECT feature, level, CAST(ROW_NUMBER() OVER (PARTITION BY feature ORDER BY level) - 1 AS INT) AS idx,
               COUNT(*) OVER (PARTITION BY feature) AS k
