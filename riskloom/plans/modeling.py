@@ -84,14 +84,16 @@ def q_weighted_logreg(spark, sf):
     """ML-2 + CW-1 + FE-1 + FE-11 + EV-1..5: majority-ratio weighted L2 logistic regression
     (regParam 0.1) as an assembler + estimator Pipeline, trained on the hash-split 80 %,
     evaluated on the 20 %."""
-    df = loan_frame(spark, sf, assembled=False)
+    df = loan_frame(spark, sf, assembled=False).persist(StorageLevel.MEMORY_AND_DISK)  # fit + score
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=LOAN_FEATURES, outputCol="features", handleInvalid="error"),
         LogisticRegression(labelCol=LABEL, featuresCol="features", weightCol="class_weight",
                            regParam=0.1, elasticNetParam=0.0),
     ])
     model = pipe.fit(df.where(F.col("split") == "train"))
-    return evaluate(model.transform(df.where(F.col("split") == "test")), LABEL, KEY)
+    out = evaluate(model.transform(df.where(F.col("split") == "test")), LABEL, KEY)
+    df.unpersist()  # the metrics read the checkpointed scored rows
+    return out
 
 
 VARIANTS = {
@@ -112,6 +114,8 @@ def q_variant_comparison(spark, sf):
     """
     base = catalog.clean_loans(spark, sf).dropna(subset=LOAN_FEATURES + [LABEL])
     base = features.assemble(splits.with_hash_split(base, KEY, 80), LOAN_FEATURES, "features", "error")
+    # four fits and four scorings read it; released once the scored rows are checkpointed
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     stacked = None
     for name, (scheme, reg, enet, iters) in VARIANTS.items():
         df = weights.with_class_weight(base, LABEL, scheme, "w") if scheme else base
@@ -123,6 +127,7 @@ def q_variant_comparison(spark, sf):
         stacked = scored if stacked is None else stacked.unionByName(scored)
     ensure_checkpoint_dir(spark)
     stacked = stacked.checkpoint(eager=True)  # fitted once, scored once
+    base.unpersist()
     auc = metrics.auc_exact_by(stacked, ["variant"], "p", LABEL).select("variant", "auc")
     ks = metrics.ks_exact_by(stacked, ["variant"], "p", LABEL).select("variant", "ks")
     # two tables of one row per variant, combined by one aggregate (no join)
