@@ -181,47 +181,63 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
     return out
 
 
+def with_group_positions(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+                         pos_col: str = "gpos", n_col: str = "gn", num_partitions: int | None = None,
+                         spread_ties: bool = False) -> DataFrame:
+    """0-based position of each row inside its group (ordered by ``order``) and the group size.
+
+    One freeze in (group, order) order. Groups are contiguous ranges of that order, so the
+    per-(partition, group) table of counts and first indexes has at most partitions + groups
+    rows; it gives every (partition, group) its offset inside the group. It is joined back
+    on (partition id, group): broadcast after a row-count check, else a shuffle join on that
+    pair (the partition id splits a hot group). Groups must be non-NULL.
+    """
+    from riskloom.sources.tables import broadcast_if_small  # shared checked-broadcast helper
+
+    g = list(group_cols)
+    frozen = freeze_ordered(df, [*[F.col(c).asc() for c in g], *order], num_partitions, spread_ties)
+    per = frozen.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_c"), F.min("_idx").alias("_first"))
+    before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(
+        "_pid", *g, "_first",
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).cast("long").alias("_goff"),
+        F.sum("_c").over(Window.partitionBy(*g)).cast("long").alias(n_col),
+    )
+    joined = frozen.join(broadcast_if_small(per), ["_pid", *g])
+    return joined.withColumn(pos_col, F.col("_goff") + F.col("_idx") - F.col("_first")).drop(
+        "_pid", "_idx", "_first", "_goff")
+
+
 def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float],
                       out_col: str = "cuts", num_partitions: int | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation) of ``value_col`` per group, all in one plan.
 
     Output: one row per group with ``out_col`` = array of len(probs) doubles. NULL/NaN
-    values are ignored. Steps: global positions in (group, value) order; per-group start
-    and size (partial aggregate, one row per group); the wanted order statistics
-    (groups x probs x 2 rows) joined to the positions; interpolation; one array per group.
+    values (and NULL groups) are ignored. Positions inside each group come from
+    ``with_group_positions``; the (at most 2 per probability) order statistics needed are
+    picked by a filter, so only those rows leave the scan of the frozen data.
     """
     g = list(group_cols)
-    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
-    )
-    order = [F.col(c).asc() for c in g] + [F.col("_v").asc()]
-    placed = with_positions(vals, order, "_pos", "_nall", num_partitions, spread_ties=True).drop("_nall")
-    sizes = placed.groupBy(*g).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_gn"))
+    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    for c in g:
+        vals = vals.where(F.col(c).isNotNull())
+    placed = with_group_positions(vals, g, [F.col("_v").asc()], "_gpos", "_gn", num_partitions, spread_ties=True)
     plist = F.array(*[F.lit(float(p)) for p in probs])
-    wanted = sizes.select(
-        *g, "_start", "_gn", F.posexplode(plist).alias("_j", "_p")
-    ).withColumn("_h", (F.col("_gn") - 1) * F.col("_p"))
-    wanted = wanted.withColumns({
-        "_lo": F.floor("_h").cast("long"),
-        "_frac": F.col("_h") - F.floor("_h"),
-    }).withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_gn") - 1))
-    ends = wanted.select(
-        *g, "_j", "_frac",
-        F.explode(F.array(
-            F.struct(F.lit("lo").alias("role"), (F.col("_start") + F.col("_lo")).alias("pos")),
-            F.struct(F.lit("hi").alias("role"), (F.col("_start") + F.col("_hi")).alias("pos")),
-        )).alias("_e"),
-    ).select(*g, "_j", "_frac", F.col("_e.role").alias("_role"), F.col("_e.pos").alias("_pos"))
-    # groups x probs x 2 rows; AQE broadcasts it once its real size is known (no hint:
-    # the number of groups is the caller's)
-    hit = placed.join(ends, [*g, "_pos"])
-    per_j = hit.groupBy(*g, "_j").agg(
+    lo = lambda p: F.floor((F.col("_gn") - 1) * p)
+    hits = placed.where(F.exists(plist, lambda p: (F.col("_gpos") == lo(p)) | (F.col("_gpos") == lo(p) + 1)))
+    per_j = hits.select(*g, "_gpos", "_gn", "_v", F.posexplode(plist).alias("_j", "_p")).select(
+        *g, "_j", "_gpos", "_v",
+        F.floor((F.col("_gn") - 1) * F.col("_p")).alias("_lo"),
+        ((F.col("_gn") - 1) * F.col("_p") - F.floor((F.col("_gn") - 1) * F.col("_p"))).alias("_frac"),
+        F.least(F.floor((F.col("_gn") - 1) * F.col("_p")) + 1, F.col("_gn") - 1).alias("_hi"),
+    ).where((F.col("_gpos") == F.col("_lo")) | (F.col("_gpos") == F.col("_hi")))
+    picked = per_j.groupBy(*g, "_j").agg(
         F.first("_frac").alias("_frac"),
-        F.max(F.when(F.col("_role") == "lo", F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("_role") == "hi", F.col("_v"))).alias("_b"),
+        F.max(F.when(F.col("_gpos") == F.col("_lo"), F.col("_v"))).alias("_a"),
+        F.max(F.when(F.col("_gpos") == F.col("_hi"), F.col("_v"))).alias("_b"),
     ).withColumn(
         "_q", F.when(F.col("_frac") == 0, F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac"))
     )
-    return per_j.groupBy(*g).agg(
+    return picked.groupBy(*g).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_j", "_q"))), lambda s: s["_q"]).alias(out_col)
     )

@@ -268,7 +268,7 @@ def q_roc_points(spark, sf):
 def _qcut_ctes(source: str, score: str, label: str, q: int, p: str = "q") -> str:
     """CTEs {p}e, {p}b, {p}t, {p}u: edges, buckets, per-bucket table, running sums."""
     probs = ", ".join(repr(i / q) for i in range(q + 1))
-    return f"""{p}e AS (SELECT list_sort(list_distinct(quantile_cont({score}, [{probs}]))) AS edges FROM {source}),
+    return f"""{p}e AS (SELECT list_sort(list_distinct(quantile_cont({score}, [{probs}]::DOUBLE[]))) AS edges FROM {source}),
 {p}b AS (SELECT {score} AS sc, {label} AS y, CAST(len(list_filter(edges[2:len(edges) - 1], lambda c: c < {score})) AS INTEGER) AS bucket
       FROM {source}, {p}e),
 {p}t AS (SELECT bucket, COUNT(*) AS n, CAST(SUM(y) AS BIGINT) AS events, AVG(sc) AS avg_score FROM {p}b GROUP BY bucket),
@@ -309,7 +309,7 @@ def q_calibration(spark, sf):
 def _psi_ctes(stacked: str, bins: int = 10, p: str = "p") -> str:
     """CTEs ending in {p}psi (feature, psi, n_expected, n_actual)."""
     probs = ", ".join(repr(i / bins) for i in range(bins + 1))
-    return f"""{p}cuts AS (SELECT feature, quantile_cont(value, [{probs}]) AS cuts FROM {stacked} WHERE period = 'expected' GROUP BY feature),
+    return f"""{p}cuts AS (SELECT feature, quantile_cont(value, [{probs}]::DOUBLE[]) AS cuts FROM {stacked} WHERE period = 'expected' GROUP BY feature),
 {p}binned AS (SELECT s.feature, s.period, len(list_filter(cuts[2:{bins}], lambda c: s.value >= c)) AS bin
            FROM {stacked} s JOIN {p}cuts c ON s.feature = c.feature WHERE s.period IN ('expected', 'actual')),
 {p}grid AS (SELECT feature, bin FROM {p}cuts, range(0, {bins}) r(bin)),
@@ -646,7 +646,7 @@ def q_feature_manifest(spark, sf):
 
 @query("agg9_quantiles", """SELECT risk_segment, CAST(UNNEST(range(0, 7)) AS INT) AS q_index,
   UNNEST([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]::DOUBLE[]) AS prob,
-  UNNEST(quantile_cont(income, [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0])) AS value
+  ROUND(UNNEST(quantile_cont(income, [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]::DOUBLE[])), 9) AS value
 FROM bureau GROUP BY risk_segment""", ("bureau",))
 def q_quantiles(spark, sf):
     """AGG-9: exact quantiles (linear interpolation) of income per risk segment."""
@@ -655,7 +655,10 @@ def q_quantiles(spark, sf):
     return cuts.select(
         "risk_segment",
         F.posexplode(F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("prob"), F.col("cuts").alias("value"))).alias("q_index", "pv"),
-    ).select("risk_segment", F.col("q_index").cast("int"), F.col("pv.prob").alias("prob"), F.col("pv.value").alias("value"))
+    ).select("risk_segment", F.col("q_index").cast("int"), F.col("pv.prob").alias("prob"),
+             # 9 decimals: DuckDB interpolates with a more precise position than numpy / Spark,
+             # which can move the last bit of an interpolated value
+             F.round("pv.value", 9).alias("value"))
 
 
 _HIST_CUTS = [0.2, 0.4, 0.6, 0.8]
