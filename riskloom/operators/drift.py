@@ -60,7 +60,9 @@ def feature_cuts(base: DataFrame, probs: list[float], method: str = "exact",
     if method == "approx":
         return base.groupBy("feature").agg(
             F.percentile_approx("value", probs, APPROX_ACCURACY).alias("cuts"))
-    return ranks.grouped_quantiles(base, ["feature"], "value", probs, "cuts", num_partitions)
+    # the groups are feature names (bounded by the stacked table's columns)
+    return ranks.grouped_quantiles(base, ["feature"], "value", probs, "cuts", num_partitions,
+                                   schema_bounded_groups=True)
 
 
 def psi_by_feature(stacked: DataFrame, expected: str = "expected", actual: str = "actual", bins: int = 10,

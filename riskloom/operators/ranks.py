@@ -183,7 +183,7 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
 
 def with_group_positions(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
                          pos_col: str = "gpos", n_col: str = "gn", num_partitions: int | None = None,
-                         spread_ties: bool = False) -> DataFrame:
+                         spread_ties: bool = False, schema_bounded_groups: bool = False) -> DataFrame:
     """0-based position of each row inside its group (ordered by ``order``) and the group size.
 
     One freeze in (group, order) order. Groups are contiguous ranges of that order, so the
@@ -191,6 +191,8 @@ def with_group_positions(df: DataFrame, group_cols: Sequence[str], order: Sequen
     rows; it gives every (partition, group) its offset inside the group. It is joined back
     on (partition id, group): broadcast after a row-count check, else a shuffle join on that
     pair (the partition id splits a hot group). Groups must be non-NULL.
+    ``schema_bounded_groups``: the groups are names from the schema (e.g. stacked feature
+    names), so the table is bounded by partitions + columns and is broadcast without a check.
     """
     from riskloom.sources.tables import broadcast_if_small  # shared checked-broadcast helper
 
@@ -203,13 +205,14 @@ def with_group_positions(df: DataFrame, group_cols: Sequence[str], order: Sequen
         F.coalesce(F.sum("_c").over(before), F.lit(0)).cast("long").alias("_goff"),
         F.sum("_c").over(Window.partitionBy(*g)).cast("long").alias(n_col),
     )
-    joined = frozen.join(broadcast_if_small(per), ["_pid", *g])
+    joined = frozen.join(F.broadcast(per) if schema_bounded_groups else broadcast_if_small(per), ["_pid", *g])
     return joined.withColumn(pos_col, F.col("_goff") + F.col("_idx") - F.col("_first")).drop(
         "_pid", "_idx", "_first", "_goff")
 
 
 def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float],
-                      out_col: str = "cuts", num_partitions: int | None = None) -> DataFrame:
+                      out_col: str = "cuts", num_partitions: int | None = None,
+                      schema_bounded_groups: bool = False) -> DataFrame:
     """Exact quantiles (linear interpolation) of ``value_col`` per group, all in one plan.
 
     Output: one row per group with ``out_col`` = array of len(probs) doubles. NULL/NaN
@@ -221,7 +224,8 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     for c in g:
         vals = vals.where(F.col(c).isNotNull())
-    placed = with_group_positions(vals, g, [F.col("_v").asc()], "_gpos", "_gn", num_partitions, spread_ties=True)
+    placed = with_group_positions(vals, g, [F.col("_v").asc()], "_gpos", "_gn", num_partitions, spread_ties=True,
+                                  schema_bounded_groups=schema_bounded_groups)
     plist = F.array(*[F.lit(float(p)) for p in probs])
     lo = lambda p: F.floor((F.col("_gn") - 1) * p)
     hits = placed.where(F.exists(plist, lambda p: (F.col("_gpos") == lo(p)) | (F.col("_gpos") == lo(p) + 1)))
