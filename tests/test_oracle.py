@@ -7,12 +7,14 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
+import compare as compare_tool  # noqa: E402
 from compare import compare, duck  # noqa: E402
 from riskloom.plans.registry import all_oracles, all_queries  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
 ORACLES = all_oracles()
+compare_tool.STRICT = True  # floats must be bit-identical, as a value hash would see them
 
 
 @pytest.fixture(scope="module")
