@@ -140,11 +140,13 @@ def q_variant_comparison(spark, sf):
 @query("ev6_ks_sample")
 def q_ks_sample(spark, sf):
     """SPL-3 + EV-6: exact KS on a 20 % Bernoulli sample (seed 42) of the scored test rows."""
-    df = loan_frame(spark, sf)
+    df = loan_frame(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)  # fit + score
     model = LogisticRegression(labelCol=LABEL, weightCol="class_weight", regParam=0.1).fit(
         df.where(F.col("split") == "train"))
     scored = positive_probability(model.transform(df.where(F.col("split") == "test")))
-    return metrics.ks_exact(splits.bernoulli_sample(scored, 0.2, SEED), "p", LABEL)
+    out = metrics.ks_exact(splits.bernoulli_sample(scored, 0.2, SEED), "p", LABEL)
+    df.unpersist()  # the KS reads its frozen (checkpointed) running sums
+    return out
 
 
 @query("ev8_ks_normal")
