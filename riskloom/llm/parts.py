@@ -139,7 +139,13 @@ def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carr
     blocks = docs.select(*[F.col(c) for c in carry]).mapInArrow(
         partial(_deal, items, id_col, text_col, bounds, n_null), BLOCK_SCHEMA
     )
-    table = blocks.repartition(partitions, "part").checkpoint()
+    # a plan that AQE may change again does not tell its partitioning; the checkpoint is to keep it
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        table = blocks.repartition(partitions, "part").checkpoint()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     buckets = 1 << max(0, math.ceil(math.log2(max(n, 1))))
     return Parts(table, bounds, n_null, buckets, partitions)
 

@@ -7,11 +7,11 @@ symbols in their interior wherever they occur, whichever task reads them: names
 and need no exchange of dictionaries. After one run round and two pair rounds a symbol can differ
 between two occurrences of a window only within four run symbols of either end.
 
-1. Every part sends its distinct top-level symbols; a bucket marks those of two or more documents
-   (one bit per symbol comes back).
-2. Windows that hold a marked symbol are candidates: a window with at least nine run symbols
-   that occurs twice has an interior symbol in common. Windows with fewer run symbols (long runs of
-   one word) have no such guarantee and are candidates always.
+1. Every part sends its distinct top-level symbols, each with the one that follows it; a bucket
+   marks those of two or more documents (one bit per symbol comes back).
+2. A window that occurs twice shares every interior symbol, so windows with an unmarked one are out.
+   Which symbols are interior follows from the classes at the window's ends. Windows with fewer than two
+   interior symbols (long runs of one word) give no evidence and stay in.
 3. The candidates are verified as windows: parts send their names (96 bits of two independent
    hashes of the whole word sequence); a bucket finds which occur in a part before. Parts are ranges of
    ascending ids, so no ids are sent. Repeats inside a part are found there.
@@ -33,8 +33,8 @@ from riskloom.llm import parts as P
 from riskloom.llm.words import Rolling, Words, chunks, mix, text_buffer
 
 WINDOW = 13
-#: Fewer run symbols than this in a window: no common interior symbol is certain (4 lost at either end).
-SURE_RUNS = 9
+#: Salts of the pair rounds; each decides the classes of its round.
+PAIR_ROUNDS = (0x51, 0xA7)
 #: Bits of a symbol's name in round 1. Equal names of different symbols only add candidates.
 SYMBOL_BITS = 48
 
@@ -57,8 +57,8 @@ def run_round(names: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, at
 
 
-def pair_round(names: np.ndarray, heads: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge each left-class symbol with a right-class one that follows it -> (names, first index of each)."""
+def pair_round(names: np.ndarray, heads: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merge each left-class symbol with a right-class one that follows it -> (names, first index of each, class)."""
     left = (mix(names + np.uint64(salt)) >> np.uint64(63)).astype(bool)
     merged = np.flatnonzero(left[:-1] & ~left[1:] & ~heads[1:])
     out = names.copy()
@@ -66,7 +66,7 @@ def pair_round(names: np.ndarray, heads: np.ndarray, salt: int) -> tuple[np.ndar
     kept = np.ones(len(names), bool)
     kept[merged + 1] = False
     at = np.flatnonzero(kept)
-    return out[at], at
+    return out[at], at, left
 
 
 class Parsed:
@@ -76,35 +76,40 @@ class Parsed:
         self.words, self.window = words, window
         self.name_a = words.names(_WORD_A)
         heads, n = words.heads(), len(words)
-        if n:
-            names, at = run_round(self.name_a, heads)
-            self.run_heads = np.zeros(n, bool)
-            self.run_heads[at] = True
-            for salt in (0x51, 0xA7):
-                names, keep = pair_round(names, heads[at], salt)
-                at = at[keep]
-        else:
-            names, at, self.run_heads = np.zeros(0, np.uint64), np.zeros(0, np.int64), heads
-        self.symbols, self.begin = names >> np.uint64(64 - SYMBOL_BITS), at
-        self.end = np.append(at[1:], n) if len(at) else at
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # class, and index one level up, of each symbol
+        if not n:
+            self.run_of, self.begin = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.symbols = np.zeros(0, np.uint64)
+            return
+        names, at = run_round(self.name_a, heads)
+        self.run_of = np.cumsum(np.bincount(at, minlength=n)) - 1
+        for salt in PAIR_ROUNDS:
+            size = len(names)
+            names, keep, left = pair_round(names, heads[at], salt)
+            self.levels.append((left, np.cumsum(np.bincount(keep, minlength=size)) - 1))
+            at = at[keep]
+        following = np.append(names[1:], np.uint64(0))
+        self.begin = at  # first word of each symbol
+        self.symbols = mix(names * np.uint64(5) + following) >> np.uint64(64 - SYMBOL_BITS)
 
     def candidates(self, shared: np.ndarray) -> np.ndarray:
-        """Starts of windows that may occur elsewhere; shared: a truth value for each symbol."""
-        n, w, of_text = len(self.words), self.window, self.words.of_text
+        """Starts of windows that may occur elsewhere; shared: a truth value for each symbol with its follower."""
+        n, w = len(self.words), self.window
         if n < w:
             return np.zeros(0, np.int64)
-        text_end = np.repeat(of_text[1:], self.words.counts())
-        text_begin = np.repeat(of_text[:-1], self.words.counts())
-        start = np.arange(n)
-        fits = start + w <= text_end
-        b, e = self.begin[shared], self.end[shared]
-        lo = np.maximum(e - w, text_begin[b])
-        ok = lo <= b
-        cover = np.bincount(lo[ok], minlength=n + 1) - np.bincount(b[ok] + 1, minlength=n + 1)
-        runs = np.cumsum(self.run_heads)
-        few = np.zeros(n, bool)
-        few[: n - w + 1] = runs[w - 1 :] - runs[: n - w + 1] + 1 < min(SURE_RUNS, w)
-        return np.flatnonzero(fits & ((np.cumsum(cover)[:n] > 0) | few))
+        text_end = np.repeat(self.words.of_text[1:], self.words.counts())[: n - w + 1]
+        start = np.flatnonzero(np.arange(w, n + 1) <= text_end)
+        lo, hi = self.run_of[start] + 1, self.run_of[start + w - 1]  # without the runs at the ends
+        some = lo < hi
+        for left, above in self.levels:
+            # the first may be merged into one before it, the last with one after it
+            lo = np.where(some, lo + ~left[np.where(some, lo, 0)], 0)
+            hi = np.where(some, hi - left[np.where(some, hi - 1, 0)], 0)
+            some &= lo < hi
+            lo, hi = np.where(some, above[np.where(some, lo, 0)], 0), np.where(some, above[np.where(some, hi, 0)], 0)
+        missing = np.append(0, np.cumsum(~shared))
+        last = np.maximum(hi - 1, lo)
+        return start[~some | (missing[last] == missing[lo])]
 
     def window_names(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         a = _WINDOW_A.ranges(self.name_a, at, at + self.window)
