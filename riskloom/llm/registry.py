@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from riskloom.llm.simhash_dedup import op10_simhash
 from riskloom.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 
 QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
