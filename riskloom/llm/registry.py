@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from riskloom.llm.quality_rules import op5_quality_rules
 from riskloom.llm.simhash_dedup import op10_simhash
 from riskloom.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 
 QUERIES = {
+    "op5_quality_rules": op5_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_simhash": op10_simhash,
 }
