@@ -50,7 +50,8 @@ class Parts:
 
     def visit_with(self, other: DataFrame, f: Callable, schema: str) -> DataFrame:
         """f(part, its blocks, rows of ``other`` with that part) -> Arrow table."""
-        return self.table.groupBy("part").cogroup(other.groupBy("part")).applyInArrow(partial(_two, f), schema)
+        other = other.withColumn("_part", F.col("part").cast("int")).drop("part")  # may descend from this very table
+        return self.table.groupBy("part").cogroup(other.groupBy("_part")).applyInArrow(partial(_two, f), schema)
 
 
 def _one(f, key, table):
@@ -176,3 +177,18 @@ def bucket_edges(keys: np.ndarray, buckets: int, bits: int) -> np.ndarray:
     """Where each of ``buckets`` (a power of two) equal ranges of ``bits``-bit keys begins in sorted keys."""
     step = bits - int(math.log2(buckets))
     return np.append(np.searchsorted(keys, np.arange(buckets, dtype=np.uint64) << np.uint64(step)), len(keys))
+
+
+def running_totals(table: DataFrame, key: str, value: str, run: int = 4096) -> DataFrame:
+    """(key, value, before): the sum of ``value`` over all smaller keys. Keys are distinct whole numbers.
+
+    In two steps, so that no task sees more than ``run`` keys or one sum per ``run`` keys.
+    """
+    from pyspark.sql import Window as W
+
+    rows = table.select(key, value, F.floor(F.col(key) / run).alias("_run"))
+    sums = rows.groupBy("_run").agg(F.sum(value).alias("_sum"))
+    earlier = F.sum("_sum").over(W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1))
+    within = F.sum(value).over(W.partitionBy("_run").orderBy(key).rowsBetween(W.unboundedPreceding, -1))
+    out = rows.withColumn("_in", F.coalesce(within, F.lit(0))).join(sums.select("_run", F.coalesce(earlier, F.lit(0)).alias("_out")), "_run")
+    return out.select(key, value, (F.col("_in") + F.col("_out")).cast("long").alias("before"))

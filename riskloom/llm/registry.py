@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from riskloom.llm.packing import op9_concat_and_cut
 from riskloom.llm.quality_rules import op5_quality_rules
+from riskloom.llm.sharding import op3_rendezvous
 from riskloom.llm.simhash_dedup import op10_simhash
 from riskloom.llm.substring_dedup import OP8_SQL, op8_substring_dedup
+from riskloom.llm.token_files import op1_token_files
+from riskloom.llm.warc import OP4_SQL, op4_arc_to_warc
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op3_rendezvous": op3_rendezvous,
+    "op4_arc_to_warc": op4_arc_to_warc,
     "op5_quality_rules": op5_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_concat_and_cut": op9_concat_and_cut,
     "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
+    "op4_arc_to_warc": OP4_SQL,
     "op8_substring_dedup": OP8_SQL,
 }
