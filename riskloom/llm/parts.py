@@ -29,6 +29,8 @@ from riskloom.session import ensure_checkpoint_dir
 
 #: Text bytes of a part; a task holds one part at a time.
 PART_BYTES = 8 << 20
+#: Rows dealt at a time, and bytes that a map task holds before it packs them.
+DEAL_ROWS, HELD_BYTES = 1024, 24 << 20
 BLOCK_SCHEMA = "part int, n_rows long, n_items long, block binary"
 _TEXT_NAME = Rolling(97)
 
@@ -90,7 +92,7 @@ def _deal(items: Callable | None, id_col: str, text_col: str, bounds: list[int],
             )
         held.clear()
 
-    for batch in batches:
+    for batch in (b.slice(i, DEAL_ROWS) for b in batches for i in range(0, b.num_rows, DEAL_ROWS)):
         ids = batch.column(batch.schema.names.index(id_col)).cast(pa.int64())
         raw, offsets = text_buffer(batch.column(batch.schema.names.index(text_col)))
         name = np.zeros(len(ids), np.uint64)
@@ -109,7 +111,7 @@ def _deal(items: Callable | None, id_col: str, text_col: str, bounds: list[int],
             piece = table.take(pa.array(np.flatnonzero(part == p)))
             held.setdefault(int(p), []).append(piece)
         size += table.nbytes
-        if size > 48 << 20:
+        if size > HELD_BYTES:
             yield from flush()
             size = 0
     yield from flush()
@@ -192,3 +194,55 @@ def running_totals(table: DataFrame, key: str, value: str, run: int = 4096) -> D
     within = F.sum(value).over(W.partitionBy("_run").orderBy(key).rowsBetween(W.unboundedPreceding, -1))
     out = rows.withColumn("_in", F.coalesce(within, F.lit(0))).join(sums.select("_run", F.coalesce(earlier, F.lit(0)).alias("_out")), "_run")
     return out.select(key, value, (F.col("_in") + F.col("_out")).cast("long").alias("before"))
+
+
+# --- counts of keys over all parts ------------------------------------------------------------
+
+_COUNT_ASK = "part int, bucket int, n long, keys binary, counts binary"
+_COUNT_ANSWER = "part int, bucket int, n long, counts binary, known long, total long"
+_COUNT_ASK_ARROW = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+_COUNT_ANSWER_ARROW = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64()), ("counts", pa.binary()), ("known", pa.int64()), ("total", pa.int64())])
+
+
+def _ask_counts(keys_of, buckets, part, blocks):
+    keys, counts = keys_of(unpack(blocks))
+    edges, rows = bucket_edges(keys, buckets, 64), []
+    for k in range(buckets):
+        i, j = int(edges[k]), int(edges[k + 1])
+        if i < j:
+            rows.append({"part": part, "bucket": k, "n": j - i, "keys": pack_sorted(keys[i:j]), "counts": pack_numbers(counts[i:j])})
+    return pa.Table.from_pylist(rows, schema=_COUNT_ASK_ARROW)
+
+
+def _answer_counts(key, table):
+    rows = table.to_pylist()
+    keys = np.concatenate([unpack_sorted(r["keys"], r["n"]) for r in rows])
+    counts = np.concatenate([unpack_numbers(r["counts"], np.int64, r["n"]) for r in rows])
+    order = np.argsort(keys, kind="stable")
+    new = np.append(True, keys[order][1:] != keys[order][:-1])
+    sums = np.add.reduceat(counts[order], np.flatnonzero(new))
+    back = np.zeros(len(keys), np.int64)
+    back[order] = sums[np.cumsum(new) - 1]
+    out, at = [], 0
+    for r in rows:
+        out.append({"part": r["part"], "bucket": r["bucket"], "n": r["n"], "counts": pack_numbers(back[at : at + r["n"]]), "known": int((sums > 0).sum()), "total": int(sums.sum())})
+        at += r["n"]
+    return pa.Table.from_pylist(out, schema=_COUNT_ANSWER_ARROW)
+
+
+def count_keys(dealt: Parts, keys_of: Callable) -> tuple[DataFrame, int, int]:
+    """Sum counts of 64-bit keys over all parts, and tell every part the sums of its own keys.
+
+    keys_of(table of a part) -> (ascending distinct keys, int64 counts). Returns the answers (for ``visit_with`` and
+    ``read_counts``), the number of keys with a sum over 0, and the sum over all.
+    """
+    answers = dealt.visit(partial(_ask_counts, keys_of, dealt.buckets), _COUNT_ASK).groupBy("bucket").applyInArrow(_answer_counts, _COUNT_ANSWER).checkpoint()
+    per_bucket = answers.groupBy("bucket").agg(F.max("known").alias("known"), F.max("total").alias("total"))
+    r = per_bucket.agg(F.sum("known").alias("known"), F.sum("total").alias("total")).first()
+    return answers, r["known"] or 0, r["total"] or 0
+
+
+def read_counts(answers: pa.Table) -> np.ndarray:
+    """The sums of a part's keys, in the order of its keys."""
+    rows = sorted(answers.select(["bucket", "n", "counts"]).to_pylist(), key=lambda r: r["bucket"])
+    return np.concatenate([unpack_numbers(r["counts"], np.int64, r["n"]) for r in rows]) if rows else np.zeros(0, np.int64)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import pyarrow as pa
 from riskloom.llm.words import text_buffer
 
 #: Entries of a worker's cache (it starts anew beyond them), and text bytes looked up at a time.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 900_000
 STEP_BYTES = 1 << 20
 
 _PIECES = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
@@ -38,7 +39,7 @@ class Encoder:
         self.cache: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id last."""

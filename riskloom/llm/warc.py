@@ -198,7 +198,8 @@ def _read(batches: Iterator[pa.RecordBatch]):
                     fields["WARC-Type"], int(fields["X-Refers-To-Key"]) if "X-Refers-To-Key" in fields else None,
                     fields["WARC-Record-ID"], fields["WARC-Date"], fields["WARC-Target-URI"], payload if whole else None,
                 ))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _READ_TYPES)], names=[x.split()[0] for x in _READ.split(", ")])
+            if rows:  # the sink may leave a file without records
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _READ_TYPES)], names=[x.split()[0] for x in _READ.split(", ")])
 
 
 _READ = "key long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, date string, url string, payload binary"
