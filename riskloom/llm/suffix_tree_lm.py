@@ -29,11 +29,11 @@ from riskloom.llm.words import Rolling, Words, chunks, text_buffer
 
 DEPTH = 5
 #: Least share of all positions that a context must fill.
-P_MIN = 2e-5
+P_MIN = 5e-6
 #: Least count times divergence (in bits) of a kept context.
-MIN_DIVERGENCE = 64.0
+MIN_DIVERGENCE = 16.0
 #: Counts that the parent's prediction is worth.
-PARENT_WEIGHT = 16.0
+PARENT_WEIGHT = 4.0
 #: Folds by crc32 of the id; this one is held out.
 FOLDS, HELD_OUT = 7, 2
 
@@ -152,7 +152,7 @@ class SuffixTree:
             number.append(np.where(x, first + np.cumsum(x) - 1, 0))
             first += int(x.sum())
         self.child = np.zeros((first, k), np.int32)
-        self.log10p = np.log10(np.concatenate([x[1][y] for x, y in zip(levels, keep)])).astype(np.float64)
+        self.log10p = np.log10(np.concatenate([x[1][y] for x, y in zip(levels, keep)])).astype(np.float32)
         for d in range(1, len(levels)):
             names, _, _, up = levels[d]
             oldest = self.class_of[names >> (_BITS * (d - 1))]
@@ -171,7 +171,7 @@ class SuffixTree:
             further = self.child[node[alive], symbols[at[alive] - d]]
             alive, further = alive[further > 0], further[further > 0]
             node[alive] = further
-        return self.log10p[node, symbols[at]]
+        return self.log10p[node, symbols[at]].astype(np.float64)
 
 
 def grow_tree(grams: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, weight: float = PARENT_WEIGHT, min_divergence: float = MIN_DIVERGENCE) -> SuffixTree:
@@ -218,7 +218,7 @@ def _score(tree, n_train_texts, known, total, part, blocks, answers):
 _SCORE = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p_min: float = P_MIN, part_bytes: int = P.PART_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p_min: float = P_MIN, part_bytes: int = 2 * P.PART_BYTES) -> DataFrame:
     """Per row: held_out, n_tokens, n_known, train_tokens, base_score (word unigram) and score (suffix tree), both log10.
 
     A row is held out if crc32 of its id as text leaves 2 modulo 7; all others train.
