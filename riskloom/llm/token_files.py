@@ -120,7 +120,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokens = np.zeros(len(ranks), np.uint32)
     for r in ranks:
         tokens[r["rank"]] = r["token"]
-    frames = spark.read.parquet(f"{folder}/frames").select("first", "n_ids", "doc_ids", "counts", "control", "data")
+    frames = spark.read.schema(_FRAME).parquet(f"{folder}/frames").select("first", "n_ids", "doc_ids", "counts", "control", "data")
     return frames.mapInArrow(partial(_decode, tokens.tobytes()), "doc_id long, start long, n_tokens long, ids binary")
 
 
