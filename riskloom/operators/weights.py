@@ -44,8 +44,13 @@ def class_table(df: DataFrame, label: str) -> DataFrame:
     return counts.select(label, "n", *[F.round(v, 12).alias(name) for name, v in weights.items()])
 
 
-def with_class_weight(df: DataFrame, label: str, scheme: str = "majority", weight_col: str = "class_weight") -> DataFrame:
-    """Add ``weight_col`` for ``scheme``; rows with a NULL label get NULL."""
+def with_class_weight(df: DataFrame, label: str, scheme: str = "majority", weight_col: str = "class_weight",
+                      fit_on: DataFrame | None = None) -> DataFrame:
+    """Add ``weight_col`` for ``scheme``; rows with a NULL label get NULL.
+
+    ``fit_on``: the rows whose class counts give the weights (the training rows, when ``df`` also
+    holds evaluation rows); default: ``df`` itself. A class absent from them gets NULL.
+    """
     if scheme not in SCHEMES:
         raise ValueError(f"unknown scheme {scheme!r}; one of {SCHEMES}")
     if scheme in FIXED:
@@ -53,6 +58,6 @@ def with_class_weight(df: DataFrame, label: str, scheme: str = "majority", weigh
             weight_col,
             F.when(F.col(label) == 1, F.lit(FIXED[scheme])).when(F.col(label).isNotNull(), F.lit(1.0)),
         )
-    table = class_table(df, label).select(label, F.col(f"w_{scheme}").alias(weight_col))
+    table = class_table(df if fit_on is None else fit_on, label).select(label, F.col(f"w_{scheme}").alias(weight_col))
     # one row per class: bounded by the label's cardinality
     return df.join(F.broadcast(table), label, "left")

@@ -48,6 +48,14 @@ def positive_probability(pred: DataFrame, col: str = "p") -> DataFrame:
     return pred.withColumn(col, vector_to_array("probability")[1])
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by ``key`` over at least as many partitions as there are cores: an iterative fit visits them in every
+    round, and AQE would have coalesced a small table into one task."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, key)
+
+
 def loan_frame(spark: SparkSession, sf: str, scheme: str = "majority", assembled: bool = True) -> DataFrame:
     """Cleaned loans with complete features (FLT-3), class weight (CW) and a stable split."""
     df = catalog.clean_loans(spark, sf).dropna(subset=LOAN_FEATURES + [LABEL])
@@ -84,7 +92,7 @@ def q_weighted_logreg(spark, sf):
     """ML-2 + CW-1 + FE-1 + FE-11 + EV-1..5: majority-ratio weighted L2 logistic regression
     (regParam 0.1) as an assembler + estimator Pipeline, trained on the hash-split 80 %,
     evaluated on the 20 %."""
-    df = loan_frame(spark, sf, assembled=False).persist(StorageLevel.MEMORY_AND_DISK)  # fit + score
+    df = spread(loan_frame(spark, sf, assembled=False), KEY).persist(StorageLevel.MEMORY_AND_DISK)  # fit + score
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=LOAN_FEATURES, outputCol="features", handleInvalid="error"),
         LogisticRegression(labelCol=LABEL, featuresCol="features", weightCol="class_weight",
@@ -113,12 +121,12 @@ def q_variant_comparison(spark, sf):
     are stacked (variant, p, label) and ranked in one grouped pass for AUC and for KS.
     """
     base = catalog.clean_loans(spark, sf).dropna(subset=LOAN_FEATURES + [LABEL])
-    base = features.assemble(splits.with_hash_split(base, KEY, 80), LOAN_FEATURES, "features", "error")
+    base = spread(features.assemble(splits.with_hash_split(base, KEY, 80), LOAN_FEATURES, "features", "error"), KEY)
     # four fits and four scorings read it; released once the scored rows are checkpointed
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     stacked = None
     for name, (scheme, reg, enet, iters) in VARIANTS.items():
-        df = weights.with_class_weight(base, LABEL, scheme, "w") if scheme else base
+        df = weights.with_class_weight(base, LABEL, scheme, "w", fit_on=base.where(F.col("split") == "train")) if scheme else base
         lr = LogisticRegression(labelCol=LABEL, regParam=reg, elasticNetParam=enet, maxIter=iters,
                                 **({"weightCol": "w"} if scheme else {}))
         model = lr.fit(df.where(F.col("split") == "train"))
@@ -183,7 +191,7 @@ def bureau_design(spark: SparkSession, sf: str):
     sc = features.Standardizer(policy.NUMERIC_FEATURES).fit(train)
     inputs = enc.output_names() + [f"{c}_z" for c in policy.NUMERIC_FEATURES] + policy.PASSTHROUGH_FEATURES
     d = features.assemble(sc.transform(enc.transform_onehot(bs)), inputs, "features", "keep")
-    d = weights.with_class_weight(d, "defaulted", "balanced", "w")
+    d = weights.with_class_weight(d, "defaulted", "balanced", "w", fit_on=train)
     return d.select("customer_id", "split", "defaulted", "w", "features")
 
 
@@ -214,7 +222,7 @@ def q_model_table(spark, sf):
     """
     # used by three fits and three scorings: keep it cached (recomputed from lineage if an
     # executor and its blocks are lost)
-    d = bureau_design(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    d = spread(bureau_design(spark, sf), "customer_id").persist(StorageLevel.MEMORY_AND_DISK)
     train = d.where(F.col("split") == "train")
     n_train = train.count()
     scored = None

@@ -25,6 +25,8 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints of sorted or scored rows go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # spark.checkpoint.dir must point at the cluster's shared file system (set by the deployment)
 }
 

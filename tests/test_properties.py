@@ -72,23 +72,29 @@ def test_exact_quantiles_equal_numpy(scored):
         assert r.cuts == pytest.approx(list(np.quantile(pdf[pdf.y == r.y].score.values, probs)), abs=1e-12)
 
 
-def numpy_psi(e, a, bins=10):
-    cuts = np.quantile(e, np.linspace(0, 1, bins + 1))
-    cuts[0], cuts[-1] = -np.inf, np.inf
-    ec, ac = np.histogram(e, cuts)[0], np.histogram(a, cuts)[0]
-    ep, ap = ec / (ec.sum() + 1e-9), ac / (ac.sum() + 1e-9)
-    return float(np.sum((ap - ep) * np.log((ap + 1e-9) / (ep + 1e-9))))
-
-
-def test_psi_equals_numpy_and_zero_on_itself(spark, scored):
+def test_psi_of_known_bin_counts(spark):
+    # expected: 1..100, ten per decile bin; actual: 28 values in the first bin, 8 in each of the nine others
+    expected = spark.createDataFrame([(float(i),) for i in range(1, 101)], "score double")
+    values = [5.0] * 28 + [10.0 * k + 5.5 for k in range(1, 10) for _ in range(8)]
+    actual = spark.createDataFrame([(v,) for v in values], "score double")
+    row = drift.psi(expected, actual, "score").first()
+    # (0.28 - 0.1) ln 2.8 + 9 (0.08 - 0.1) ln 0.8, worked out by hand: 0.1853315 + 0.0401658
+    assert row.psi == pytest.approx(0.2254973, abs=1e-6)
+    assert (row.n_expected, row.n_actual) == (100, 100)
+
+
+def test_psi_is_zero_on_itself(scored):
     e = scored.where("y = 0")
-    a = scored.where("y = 1")
-    got = drift.psi(e, a, "score").first().psi
-    pdf = scored.toPandas()
-    assert got == pytest.approx(numpy_psi(pdf[pdf.y == 0].score.values, pdf[pdf.y == 1].score.values), abs=1e-8)
     assert drift.psi(e, e, "score").first().psi == pytest.approx(0.0, abs=1e-12)
 
 
+def test_weights_of_training_rows_only(spark):
+    rows = [(0, "train")] * 6 + [(1, "train")] * 2 + [(1, "valid")] * 20
+    df = spark.createDataFrame(rows, "y int, split string")
+    w = weights.with_class_weight(df, "y", "balanced", "w", fit_on=df.where("split = 'train'"))
+    assert {r.y: r.w for r in w.distinct().collect()} == {0: pytest.approx(8 / 12), 1: pytest.approx(2.0)}
+
+
 def test_ks_bounds_and_balanced_weights(scored):
     ks = metrics.ks_exact(scored, "score", "y").first()
     assert 0 <= ks.ks <= 1 and 0 <= ks.p_value <= 1
