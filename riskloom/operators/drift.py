@@ -5,9 +5,9 @@ edges replaced by -inf/+inf); both sides are binned left-closed (last bin closed
 shares use a 1e-9 guard; PSI = sum (a - e) * ln((a + 1e-9) / (e + 1e-9)).
 NULL and NaN fall in no bin. Repeated cut points leave an empty bin (term 0).
 
-All features are handled in one pass over a stacked (feature, value, period) table:
-quantiles per feature come from ``ranks.grouped_quantiles`` and the per-feature cut
-arrays (one short array per feature) are joined back to the rows.
+All features are handled in one pass over a stacked (feature, value, period) table. It is
+collapsed once to counts per (feature, value) and period; cut points and bin counts both
+read that table (``ranks.freeze_counts``), so the input is computed once.
 """
 
 from __future__ import annotations
@@ -49,41 +49,31 @@ def stack_features(df: DataFrame, features: Sequence[str], period: Column | str,
 APPROX_ACCURACY = 100_000  # percentile_approx: rank error <= n / accuracy
 
 
-def feature_cuts(base: DataFrame, probs: list[float], method: str = "exact",
-                 num_partitions: int | None = None) -> DataFrame:
-    """(feature, cuts): quantile cut points of ``value`` per feature.
-
-    ``exact`` (default, numpy/DuckDB parity) sorts the values once (``ranks``);
-    ``approx`` is one aggregate of bounded-size quantile sketches per feature (rank error
-    <= n / APPROX_ACCURACY), the cheaper choice for monitoring very large tables.
-    """
-    if method == "approx":
-        return base.groupBy("feature").agg(
-            F.percentile_approx("value", probs, APPROX_ACCURACY).alias("cuts"))
-    # the groups are feature names (bounded by the stacked table's columns)
-    return ranks.grouped_quantiles(base, ["feature"], "value", probs, "cuts", num_partitions,
-                                   schema_bounded_groups=True)
-
-
 def psi_by_feature(stacked: DataFrame, expected: str = "expected", actual: str = "actual", bins: int = 10,
                    num_partitions: int | None = None, method: str = "exact") -> DataFrame:
     """DRF-3: PSI per feature from a stacked (feature, value, period) table, one plan.
 
-    Output (feature, psi, n_expected, n_actual). ``method``: how the cut points are found
-    (see ``feature_cuts``).
+    Output (feature, psi, n_expected, n_actual). ``method``: cut points are ``exact`` order
+    statistics (numpy/DuckDB parity), or ``approx``: one bounded quantile sketch per feature over
+    the rows, without a sort (rank error <= n / APPROX_ACCURACY). A feature without expected rows is absent.
     """
     probs = [i / bins for i in range(bins + 1)]
-    base = stacked.where(F.col("period") == expected)
-    cuts = feature_cuts(base, probs, method, num_partitions)
-    both = stacked.where(F.col("period").isin(expected, actual))
+    period = F.col("period")
+    rows = stacked.where(period.isin(expected, actual))
+    if method == "approx":
+        counted = rows.select("feature", "value", (period == expected).cast("int").alias("_e"), (period == actual).cast("int").alias("_a"))
+        cuts = counted.where(F.col("_e") == 1).groupBy("feature").agg(F.percentile_approx("value", probs, APPROX_ACCURACY).alias("cuts"))
+    else:
+        counted = ranks.freeze_counts(
+            rows, ["feature"], "value", {"_e": F.count_if(period == expected), "_a": F.count_if(period == actual)}, num_partitions)
+        cuts = ranks.quantiles_of_counts(counted, ["feature"], "value", "_e", probs)
     # one row per feature (bounded by the table's columns): broadcast, never a shuffle join
-    # keyed on the few feature names, which would put each feature's rows in one task
-    binned = both.join(F.broadcast(cuts), "feature").select(
-        "feature", "period", psi_bin(F.col("value"), F.col("cuts"), bins).alias("bin")
-    )
+    # keyed on the few feature names, which would put each feature's values in one task
+    binned = counted.join(F.broadcast(cuts), "feature").select(
+        "feature", "_e", "_a", psi_bin(F.col("value"), F.col("cuts"), bins).alias("bin"))
     counts = binned.groupBy("feature").agg(
-        *[F.count_if((F.col("period") == expected) & (F.col("bin") == b)).alias(f"e{b}") for b in range(bins)],
-        *[F.count_if((F.col("period") == actual) & (F.col("bin") == b)).alias(f"a{b}") for b in range(bins)],
+        *[F.sum(F.when(F.col("bin") == b, F.col("_e")).otherwise(0)).alias(f"e{b}") for b in range(bins)],
+        *[F.sum(F.when(F.col("bin") == b, F.col("_a")).otherwise(0)).alias(f"a{b}") for b in range(bins)],
     )
     e_tot = sum((F.col(f"e{b}") for b in range(bins)), F.lit(0))
     a_tot = sum((F.col(f"a{b}") for b in range(bins)), F.lit(0))

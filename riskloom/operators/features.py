@@ -1,9 +1,8 @@
 """Feature engineering (FE-1..12) and linear attributions (GOV-6).
 
-Fit/transform follows the spark.ml pattern: ``fit`` runs one distributed aggregate and
-keeps only small parameters (means and sds, or the level lists of low-cardinality
-categories, which the contract bounds); ``transform`` is a projection with those
-parameters as literals, so fitting on train and applying to validation never refits.
+Fit/transform follows the spark.ml pattern, so fitting on train and applying to validation
+never refits. Scalers keep one mean and sd per column as literals. Encoders keep their levels
+as a table that is joined back (the planner chooses how), so the number of levels is unbounded.
 """
 
 from __future__ import annotations
@@ -16,17 +15,14 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import ranks
 
-MAX_LEVELS = 10_000  # a "category" with more levels is an identifier, not a feature
-PARAM_DIGITS = 10  # significant digits kept of fitted means / sds
 
-
-def round_param(x: float | None, digits: int = PARAM_DIGITS) -> float | None:
-    """Fitted parameter to ``digits`` significant digits.
+def round_param(x: float | None, digits: int | None) -> float | None:
+    """Fitted parameter to ``digits`` significant digits; None keeps it as it is.
 
     The last bits of a distributed mean depend on the order of addition (partitioning,
-    engine); keeping 10 significant digits makes the fitted transform reproducible.
+    engine); a caller that needs the same transform everywhere asks for fewer digits.
     """
-    if x is None or x == 0 or x != x:
+    if digits is None or x is None or x == 0 or x != x:
         return x
     return round(x, digits - 1 - math.floor(math.log10(abs(x))))
 
@@ -44,69 +40,92 @@ def frequency_index_table(df: DataFrame, col: str, index_col: str = "index") ->
 
 
 class FrequencyIndexer:
-    """FE-2/FE-3: StringIndexer order (frequency desc, label asc); unseen levels -> K ('keep')."""
+    """FE-2/FE-3: StringIndexer order (frequency desc, label asc); NULL and unseen levels -> K ('keep')."""
 
     def __init__(self, column: str, output: str | None = None):
         self.column = column
         self.output = output or f"{column}_index"
-        self.levels: list[str] = []
+        self.table: DataFrame | None = None
+        self.size = 0
 
     def fit(self, df: DataFrame) -> "FrequencyIndexer":
-        table = frequency_index_table(df.where(F.col(self.column).isNotNull()), self.column, "_i")
-        rows = table.orderBy("_i").limit(MAX_LEVELS + 1).collect()
-        if len(rows) > MAX_LEVELS:
-            raise ValueError(f"{self.column} has more than {MAX_LEVELS} levels")
-        self.levels = [r[self.column] for r in rows]
+        table = frequency_index_table(df.where(F.col(self.column).isNotNull()), self.column, "_index")
+        self.table = table.select(F.col(self.column).alias("_level"), "_index")
+        self.size = self.table.count()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
-        pos = F.array_position(F.array(*[F.lit(v) for v in self.levels]), F.col(self.column))
-        return df.withColumn(self.output, F.when(pos > 0, pos - 1).otherwise(F.lit(len(self.levels))).cast("int"))
+        joined = df.join(self.table, F.col(self.column) == F.col("_level"), "left")
+        return joined.withColumn(self.output, F.coalesce("_index", F.lit(self.size)).cast("int")).drop("_level", "_index")
 
 
 class CategoryEncoder:
-    """FE-6: alphabetical level index per column (unseen -> K), one-hot columns on demand."""
+    """FE-6: alphabetical level index per column (NULL and unseen -> K), one-hot columns or sparse vectors on demand.
+
+    ``table`` holds (feature, level, index), one row per level; ``sizes`` the number of levels K per column.
+    """
 
     def __init__(self, columns: Sequence[str]):
         self.columns = list(columns)
-        self.levels: dict[str, list[str]] = {}
+        self.table: DataFrame | None = None
+        self.sizes: dict[str, int] = {}
 
     def fit(self, df: DataFrame) -> "CategoryEncoder":
-        """Distinct levels per column (a distributed distinct); at most MAX_LEVELS + 1 reach
-        the driver, so an identifier mistaken for a category fails fast instead of OOM."""
-        for c in self.columns:
-            rows = df.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull()) \
-                .distinct().limit(MAX_LEVELS + 1).collect()
-            if len(rows) > MAX_LEVELS:
-                raise ValueError(f"{c} has more than {MAX_LEVELS} levels; not a categorical feature")
-            self.levels[c] = sorted(r.v for r in rows)
+        """One distributed distinct over all columns; indexes are positions in (feature, level) order."""
+        stacked = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in self.columns
+        ])).alias("_x")).select("_x.*").where(F.col("level").isNotNull()).distinct()
+        placed = ranks.with_positions(stacked, [F.col("feature").asc(), F.col("level").asc()], "_pos", "_n").drop("_n")
+        first = placed.groupBy("feature").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_k")).collect()  # a row per column
+        start = {r["feature"]: r["_first"] for r in first}
+        self.sizes = {c: 0 for c in self.columns} | {r["feature"]: r["_k"] for r in first}
+        before = F.coalesce(*[F.when(F.col("feature") == c, F.lit(n)) for c, n in start.items()], F.lit(0))
+        self.table = placed.select("feature", "level", (F.col("_pos") - before).cast("int").alias("index"))
         return self
 
-    def index_expr(self, c: str):
-        pos = F.array_position(F.array(*[F.lit(v) for v in self.levels[c]]), F.col(c))
-        return F.when(pos > 0, pos - 1).otherwise(F.lit(len(self.levels[c]))).cast("int")
-
     def transform_index(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({f"{c}_idx": self.index_expr(c) for c in self.columns})
+        for c in self.columns:
+            levels = self.table.where(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("index").alias("_index"))
+            df = df.join(levels, F.col(c).cast("string") == F.col("_level"), "left").withColumn(
+                f"{c}_idx", F.coalesce("_index", F.lit(self.sizes[c])).cast("int")).drop("_level", "_index")
+        return df
+
+    def transform_vector(self, df: DataFrame) -> DataFrame:
+        """The indexes of ``transform_index``, and per column that has levels a sparse vector ``<col>_vec`` of length K;
+        an unseen level is all zeros. spark.ml keeps an attribute per level in the column's metadata, which is slow for
+        tens of thousands of levels; ``transform_index`` has no such part."""
+        from pyspark.ml.feature import OneHotEncoder
+
+        cols = [c for c in self.columns if self.sizes[c]]
+        sizes = self.table.select(*[
+            F.when(F.col("feature") == c, F.col("index")).otherwise(0).alias(f"{c}_idx") for c in cols])
+        # the extra category of 'keep' holds index K and is the one dropped
+        encoder = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols], handleInvalid="keep")
+        return encoder.fit(sizes).transform(self.transform_index(df))
+
+    def level_names(self) -> dict[str, list[str]]:
+        """The levels per column on the driver: for named one-hot columns, where each level is part of the schema."""
+        rows = self.table.orderBy("feature", "index").collect()
+        return {c: [r["level"] for r in rows if r["feature"] == c] for c in self.columns}
 
     def transform_onehot(self, df: DataFrame) -> DataFrame:
-        """One 0/1 column per seen level (``<col>_<level>``); an unseen level is all zeros."""
-        cols = {}
-        for c in self.columns:
-            for v in self.levels[c]:
-                cols[f"{c}_{v}"] = (F.col(c) == F.lit(v)).cast("double")
-        return df.withColumns({k: F.coalesce(v, F.lit(0.0)) for k, v in cols.items()})
+        """One 0/1 column per seen level (``<col>_<level>``); an unseen level is all zeros.
+        The schema grows with the levels; ``transform_vector`` is the form for many of them."""
+        return df.withColumns({
+            f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0))
+            for c, levels in self.level_names().items() for v in levels})
 
     def output_names(self) -> list[str]:
-        return [f"{c}_{v}" for c in self.columns for v in self.levels[c]]
+        return [f"{c}_{v}" for c, levels in self.level_names().items() for v in levels]
 
 
 class Standardizer:
     """FE-7: (x - mean) / population sd; a zero or undefined sd becomes 1."""
 
-    def __init__(self, columns: Sequence[str], suffix: str = "_z"):
+    def __init__(self, columns: Sequence[str], suffix: str = "_z", digits: int | None = None):
         self.columns = list(columns)
         self.suffix = suffix
+        self.digits = digits
         self.mean: dict[str, float] = {}
         self.sd: dict[str, float] = {}
 
@@ -116,7 +135,7 @@ class Standardizer:
             aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
         row = df.agg(*aggs).first()
         for c in self.columns:
-            mean, sd = round_param(row[f"m_{c}"]), round_param(row[f"s_{c}"])
+            mean, sd = round_param(row[f"m_{c}"], self.digits), round_param(row[f"s_{c}"], self.digits)
             self.mean[c] = mean
             self.sd[c] = 1.0 if sd is None or sd == 0 else sd
         return self
@@ -143,13 +162,17 @@ def leakage_report(df: DataFrame, features: Sequence[str], label: str, threshold
 def feature_manifest(train: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
                      passthrough: Sequence[str]) -> DataFrame:
     """FE-9/FE-10: (position, name, source, kind): one-hot levels, then numeric, then pass-through."""
-    spark = train.sparkSession
     enc = CategoryEncoder(categorical).fit(train)
-    rows = [(f"{c}_{v}", c, "onehot") for c in categorical for v in enc.levels[c]]
-    rows += [(c, c, "numeric") for c in numeric] + [(c, c, "passthrough") for c in passthrough]
-    return spark.createDataFrame(
-        [(i, n, s, k) for i, (n, s, k) in enumerate(rows)], "position int, name string, source string, kind string"
-    )
+    start, at = {}, 0
+    for c in categorical:
+        start[c], at = at, at + enc.sizes[c]
+    before = F.coalesce(*[F.when(F.col("feature") == c, F.lit(n)) for c, n in start.items()], F.lit(0))
+    levels = enc.table.select(
+        (F.col("index") + before).cast("int").alias("position"), F.concat_ws("_", "feature", "level").alias("name"),
+        F.col("feature").alias("source"), F.lit("onehot").alias("kind"))
+    rest = [(c, c, "numeric") for c in numeric] + [(c, c, "passthrough") for c in passthrough]
+    return levels.unionByName(train.sparkSession.createDataFrame(
+        [(at + i, *r) for i, r in enumerate(rest)], "position int, name string, source string, kind string"))
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], output: str = "features", handle_invalid: str = "keep") -> DataFrame:
@@ -163,13 +186,14 @@ class LinearAttribution:
     """GOV-6: contribution of feature f = coef_f * (x_f - mean_f) (exact SHAP for a linear
     model with independent features); means from the training data."""
 
-    def __init__(self, coefficients: dict[str, float]):
+    def __init__(self, coefficients: dict[str, float], digits: int | None = None):
         self.coefficients = dict(coefficients)
+        self.digits = digits
         self.mean: dict[str, float] = {}
 
     def fit(self, df: DataFrame) -> "LinearAttribution":
         row = df.agg(*[F.avg(c).alias(c) for c in self.coefficients]).first()
-        self.mean = {c: round_param(row[c]) for c in self.coefficients}
+        self.mean = {c: round_param(row[c], self.digits) for c in self.coefficients}
         return self
 
     def contribution(self, c: str):

@@ -75,11 +75,17 @@ def decision_document(decided: DataFrame, request_col: str, key: str) -> DataFra
     """SNK-5: one response document per request: maps key -> score and key -> reasons.
 
     A request is a bounded batch of applicants (the API's unit), so collecting one
-    request's rows into maps is bounded by the request size, not by the table.
+    request's rows into maps is bounded by the request size, not by the table. Of an
+    applicant's repeated records in a request the one with the highest score stands;
+    records without a key are left out (the contract check reports them).
     """
-    return decided.groupBy(request_col, "model_version").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col("score")))).alias("scores"),
-        F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col("reason_codes")))).alias("reason_codes"),
+    entry = F.struct(F.col(key).alias("k"), F.col("score").alias("s"), F.col("reason_codes").alias("r"))
+    docs = decided.where(F.col(key).isNotNull()).groupBy(request_col, "model_version").agg(F.sort_array(F.collect_list(entry)).alias("_all"))
+    last = F.filter("_all", lambda e, i: ~e["k"].eqNullSafe(F.get("_all", i + 1)["k"]))
+    return docs.withColumn("_all", last).select(
+        request_col, "model_version",
+        F.map_from_entries(F.transform("_all", lambda e: F.struct(e["k"], e["s"]))).alias("scores"),
+        F.map_from_entries(F.transform("_all", lambda e: F.struct(e["k"], e["r"]))).alias("reason_codes"),
     )
 
 

@@ -168,7 +168,7 @@ def auc_ks_exact(df: DataFrame, score: str, label: str, num_partitions: int | No
 
 
 def decile_table(df: DataFrame, score: str, label: str, key: str, k: int = 10, descending: bool = True,
-                 method: str = "distributed", num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """EV-4 / WIN-1 / AGG-5 / WIN-2: bads and goods per score tile with cumulative shares.
 
     Tiles are NTILE(k) over (score desc, key) -- the key makes ties deterministic.
@@ -178,7 +178,7 @@ def decile_table(df: DataFrame, score: str, label: str, key: str, k: int = 10, d
     s = F.col(score)
     order = [s.desc() if descending else s.asc(), F.col(key).asc()]
     rows = df.where(s.isNotNull() & F.col(label).isNotNull()).select(score, key, label)
-    tiled = ranks.with_ntile(rows, order, k, "decile", method=method, num_partitions=num_partitions)
+    tiled = ranks.with_ntile(rows, order, k, "decile", num_partitions=num_partitions)
     per = tiled.groupBy("decile").agg(
         F.count_if(F.col(label) == 1).cast("long").alias("bads"),
         F.count_if(F.col(label) == 0).cast("long").alias("goods"),
@@ -208,26 +208,20 @@ def ks_decile(df: DataFrame, score: str, label: str, key: str, k: int = 10, **kw
     return decile_table(df, score, label, key, k, **kw).agg(F.max("ks").alias("ks_decile"))
 
 
-def quantile_edges(df: DataFrame, score: str, q: int, num_partitions: int | None = None,
-                   method: str = "exact") -> list[float]:
-    """WIN-4: ``q``-quantile edges, de-duplicated, in order.
-
-    ``exact``: linear interpolation (pandas/numpy parity) from distributed order statistics;
-    ``approx``: one ``percentile_approx`` sketch aggregate (rank error <= n / 100000).
-    """
-    probs = [i / q for i in range(q + 1)]
-    if method == "approx":
-        row = df.agg(F.percentile_approx(F.col(score).cast("double"), probs, 100_000).alias("e")).first()
-        edges = list(row["e"] or [])
-    else:
-        edges = ranks.exact_quantiles(df, score, probs, num_partitions)
+def _distinct_edges(edges: Sequence[float] | None) -> list[float]:
+    """Edges in order without NULLs and repeats."""
     out: list[float] = []
-    for e in edges:
+    for e in edges or []:
         if e is not None and (not out or e != out[-1]):
             out.append(e)
     return out
 
 
+def quantile_edges(df: DataFrame, score: str, q: int, num_partitions: int | None = None) -> list[float]:
+    """WIN-4: ``q``-quantile edges, de-duplicated, in order (linear interpolation, pandas/numpy parity)."""
+    return _distinct_edges(ranks.exact_quantiles(df, score, [i / q for i in range(q + 1)], num_partitions))
+
+
 def qcut_bucket(x: Column, edges: Sequence[float]) -> Column:
     """Right-closed bucket index (0-based) of ``x`` among de-duplicated ``edges``; the
     lowest edge is included in bucket 0 (pandas ``qcut`` semantics)."""
@@ -237,13 +231,26 @@ def qcut_bucket(x: Column, edges: Sequence[float]) -> Column:
 
 def bucket_table(df: DataFrame, score: str, label: str, q: int = 20,
                  num_partitions: int | None = None, method: str = "exact") -> DataFrame:
-    """Per quantile bucket: rows, events, mean score, event rate, running shares (EV-7, EV-11)."""
-    rows = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & F.col(label).isNotNull())
-    edges = quantile_edges(rows, score, q, num_partitions, method)
-    per = rows.groupBy(qcut_bucket(F.col(score), edges).alias("bucket")).agg(
-        F.count(F.lit(1)).cast("long").alias("n"),
-        F.sum(F.col(label)).cast("long").alias("events"),
-        F.avg(F.col(score)).alias("avg_score"),
+    """Per quantile bucket: rows, events, mean score, event rate, running shares (EV-7, EV-11).
+
+    ``exact``: rows are collapsed once to counts per score; edges and bucket totals both read
+    that table. ``approx``: edges from one ``percentile_approx`` sketch (rank error <= n / 100000).
+    """
+    rows = df.where(F.col(label).isNotNull())
+    sums = {"_n": F.count(F.lit(1)), "_events": F.sum(label)}
+    probs = [i / q for i in range(q + 1)]
+    if method == "approx":
+        rows = rows.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+        counted = rows.groupBy(F.col(score).cast("double").alias(score)).agg(*[e.alias(c) for c, e in sums.items()])
+        found = rows.agg(F.percentile_approx(F.col(score).cast("double"), probs, 100_000).alias("cuts"))
+    else:
+        counted = ranks.freeze_counts(rows, [], score, sums, num_partitions)
+        found = ranks.quantiles_of_counts(counted, [], score, "_n", probs)
+    edges = _distinct_edges(found.first()["cuts"])
+    per = counted.groupBy(qcut_bucket(F.col(score), edges).alias("bucket")).agg(
+        F.sum("_n").cast("long").alias("n"),
+        F.sum("_events").cast("long").alias("events"),
+        (F.sum(F.col(score) * F.col("_n")) / F.sum("_n")).alias("avg_score"),
     )
     run = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy()

@@ -5,10 +5,12 @@ rows are range-partitioned on the full sort key (the key is part of the order, s
 hot score value is split across partitions by key), sorted inside each partition, and
 frozen with a reliable checkpoint so partition ids and in-partition indexes are the
 same in every later job, also after an executor is lost. Per-partition counts (one row
-per partition: a size bound set by the partition count, checked before broadcasting)
-give each partition its offset; position = offset + index in partition.
+per partition, so at most as many rows as the session's shuffle partitions) give each
+partition its offset; position = offset + index in partition.
 
-The plain window versions are kept as the small-data path and as a cross-check.
+Quantiles first collapse the rows to (value, count): a value shared by a third of the rows
+is one row, the sort key is unique, and so a range shuffle run again after a lost executor
+deals the same rows to the same ranges.
 """
 
 from __future__ import annotations
@@ -20,33 +22,18 @@ from pyspark.sql import functions as F
 
 from riskloom.session import ensure_checkpoint_dir
 
-MAX_BROADCAST_PARTITIONS = 1_000_000  # offsets table rows; far below any broadcast limit
 
-
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def freeze_ordered(df: DataFrame, order: Sequence[Column], num_partitions: int | None = None,
-                   spread_ties: bool = False) -> DataFrame:
+def freeze_ordered(df: DataFrame, order: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
     """Range-partition + sort on ``order``; add ``_pid`` and ``_idx`` (index in partition); checkpoint.
 
-    ``spread_ties``: for orders that are not total (quantiles, where the order of equal
-    values does not matter), append a row id so that one value held by a third of the
-    rows is still cut into many ranges instead of landing in one partition.
+    ``order`` should be total (end it with a unique key, or collapse equal rows first): then
+    equal values are cut into many ranges, and the ranges are the same on every run.
     """
-    if spread_ties:
-        df = df.withColumn("_tb", F.monotonically_increasing_id())
-        order = [*order, F.col("_tb").asc()]
     # Without an explicit count, AQE coalesces adjacent ranges to its advisory partition
     # size (contiguous ranges, so the order is kept): few partitions for small inputs,
     # ~advisory-sized ones at scale; never more than spark.sql.shuffle.partitions.
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ordered = ranged.sortWithinPartitions(*order)
-    if spread_ties:
-        ordered = ordered.drop("_tb")
     tagged = ordered.withColumns({
         "_pid": F.spark_partition_id(),
         "_mid": F.monotonically_increasing_id(),
@@ -72,23 +59,15 @@ def _offsets(frozen: DataFrame, value_cols: Sequence[str] = ()) -> DataFrame:
     return per_part.select("_pid", *[v.alias(k) for k, v in cols.items()])
 
 
-def _broadcast_offsets(frozen: DataFrame, offsets: DataFrame, num_partitions: int) -> DataFrame:
-    """Join the per-partition table back; it has at most ``num_partitions`` rows."""
-    if num_partitions > MAX_BROADCAST_PARTITIONS:
-        return frozen.join(offsets, "_pid")
-    return frozen.join(F.broadcast(offsets), "_pid")
-
-
 def with_positions(df: DataFrame, order: Sequence[Column], pos_col: str = "pos", n_col: str = "n_total",
-                   num_partitions: int | None = None, spread_ties: bool = False) -> DataFrame:
+                   num_partitions: int | None = None) -> DataFrame:
     """Add the 0-based position of each row in ``order`` and the total row count.
 
     ``order`` must be a total order (end it with a unique key) for the result to be
-    deterministic, unless only the values at positions matter (``spread_ties``).
+    deterministic.
     """
-    n = _partitions(df, num_partitions)  # upper bound of the partition count (offsets rows)
-    frozen = freeze_ordered(df, order, num_partitions, spread_ties)
-    joined = _broadcast_offsets(frozen, _offsets(frozen), n)
+    frozen = freeze_ordered(df, order, num_partitions)
+    joined = frozen.join(F.broadcast(_offsets(frozen)), "_pid")  # a row per range: at most the shuffle partitions
     return joined.withColumn(pos_col, F.col("_off") + F.col("_idx")).withColumnRenamed("_n", n_col).drop(
         "_pid", "_idx", "_off"
     )
@@ -110,10 +89,8 @@ def ntile_from_position(pos: Column | str, n: Column | str, k: int) -> Column:
 
 
 def with_ntile(df: DataFrame, order: Sequence[Column], k: int, tile_col: str = "tile",
-               method: str = "distributed", num_partitions: int | None = None) -> DataFrame:
-    """WIN-1: NTILE(k) over a global order. ``method='window'`` is the one-task SQL form."""
-    if method == "window":
-        return df.withColumn(tile_col, F.ntile(k).over(Window.orderBy(*order)))
+               num_partitions: int | None = None) -> DataFrame:
+    """WIN-1: NTILE(k) over a global order."""
     ranked = with_positions(df, order, "_pos", "_n", num_partitions)
     return ranked.withColumn(tile_col, ntile_from_position("_pos", "_n", k)).drop("_pos", "_n")
 
@@ -126,12 +103,11 @@ def with_prefix_sums(df: DataFrame, order: Sequence[Column], value_cols: Sequenc
     Partition totals are prefixed across partitions (tiny table, broadcast); inside a
     partition the running sum is a window partitioned by the partition id.
     """
-    n = _partitions(df, num_partitions)  # upper bound of the partition count (offsets rows)
     frozen = freeze_ordered(df, order, num_partitions)
     offsets = _offsets(frozen, value_cols)
     inside = Window.partitionBy("_pid").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
     running = frozen.withColumns({f"_run_{c}": F.sum(c).over(inside) for c in value_cols})
-    joined = _broadcast_offsets(running, offsets, n)
+    joined = running.join(F.broadcast(offsets), "_pid")  # a row per range: at most the shuffle partitions
     out = joined.withColumns({
         **{f"{prefix}{c}": F.col(f"_off_{c}") + F.col(f"_run_{c}") for c in value_cols},
         **{f"{total_prefix}{c}": F.col(f"_tot_{c}") for c in value_cols},
@@ -142,106 +118,85 @@ def with_prefix_sums(df: DataFrame, order: Sequence[Column], value_cols: Sequenc
     return out.drop(*drop)
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
-                    num_partitions: int | None = None) -> list[float | None]:
-    """AGG-9: exact quantiles with linear interpolation (numpy/DuckDB ``quantile_cont``).
+def freeze_counts(df: DataFrame, group_cols: Sequence[str], value_col: str, counts: dict[str, Column],
+                  num_partitions: int | None = None) -> DataFrame:
+    """Collapse to one row per (group, ``value_col``) with the aggregates ``counts``, frozen in that order.
 
-    NULL and NaN are ignored. Only the (at most 2 per probability) order statistics
-    needed reach the driver; the sort is distributed.
-    """
-    vals = df.select(F.col(column).cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v")
-    )
-    n_parts = _partitions(df, num_partitions)  # upper bound of the partition count
-    frozen = freeze_ordered(vals, [F.col("v")], num_partitions, spread_ties=True)
-    offsets = _offsets(frozen)
-    n_row = offsets.select("_n").limit(1).collect()
-    if not n_row:
-        return [None for _ in probs]
-    n = int(n_row[0]["_n"])
-    wanted: dict[float, tuple[int, int, float]] = {}
-    for p in probs:
-        h = (n - 1) * float(p)
-        lo = int(h // 1)
-        hi = min(lo + 1, n - 1)
-        wanted[p] = (lo, hi, h - lo)
-    positions = sorted({i for lo, hi, _ in wanted.values() for i in (lo, hi)})
-    picked = (
-        _broadcast_offsets(frozen, offsets, n_parts)
-        .select((F.col("_off") + F.col("_idx")).alias("pos"), "v")
-        .where(F.col("pos").isin(positions))
-        .collect()
-    )
-    at = {int(r["pos"]): float(r["v"]) for r in picked}
-    out = []
-    for p in probs:
-        lo, hi, frac = wanted[p]
-        a, b = at[lo], at[hi]
-        out.append(a + (b - a) * frac if frac else a)
-    return out
-
-
-def with_group_positions(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                         pos_col: str = "gpos", n_col: str = "gn", num_partitions: int | None = None,
-                         spread_ties: bool = False, schema_bounded_groups: bool = False) -> DataFrame:
-    """0-based position of each row inside its group (ordered by ``order``) and the group size.
-
-    One freeze in (group, order) order. Groups are contiguous ranges of that order, so the
-    per-(partition, group) table of counts and first indexes has at most partitions + groups
-    rows; it gives every (partition, group) its offset inside the group. It is joined back
-    on (partition id, group): broadcast after a row-count check, else a shuffle join on that
-    pair (the partition id splits a hot group). Groups must be non-NULL.
-    ``schema_bounded_groups``: the groups are names from the schema (e.g. stacked feature
-    names), so the table is bounded by partitions + columns and is broadcast without a check.
+    The value becomes a double; NULL and NaN values and NULL groups are dropped. Counting
+    combines map-side, so a hot value is one row per map task, and all later steps
+    (cut points, bins, bucket totals) read this table instead of the rows.
     """
-    from riskloom.sources.tables import broadcast_if_small  # shared checked-broadcast helper
+    g = list(group_cols)
+    v = F.col(value_col).cast("double")
+    rows = df.where(v.isNotNull() & ~F.isnan(v))
+    for c in g:
+        rows = rows.where(F.col(c).isNotNull())
+    table = rows.groupBy(*g, v.alias(value_col)).agg(*[e.alias(k) for k, e in counts.items()])
+    return freeze_ordered(table, [*[F.col(c).asc() for c in g], F.col(value_col).asc()], num_partitions)
+
 
+def quantiles_of_counts(frozen: DataFrame, group_cols: Sequence[str], value_col: str, count_col: str,
+                        probs: Sequence[float], out_col: str = "cuts") -> DataFrame:
+    """Exact quantiles (linear interpolation) per group from a ``freeze_counts`` table.
+
+    Row totals per (range, group) give each its offset; only ranges that hold a wanted order
+    statistic (at most two per probability and group) go on to running counts. Output: one
+    row per group, ``out_col`` = array of len(probs) doubles. Groups without rows are absent.
+    """
     g = list(group_cols)
-    frozen = freeze_ordered(df, [*[F.col(c).asc() for c in g], *order], num_partitions, spread_ties)
-    per = frozen.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_c"), F.min("_idx").alias("_first"))
+    held = frozen.where(F.col(count_col) > 0)
+    per = held.groupBy("_pid", *g).agg(F.sum(count_col).alias("_c"))
     before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select(
-        "_pid", *g, "_first",
-        F.coalesce(F.sum("_c").over(before), F.lit(0)).cast("long").alias("_goff"),
-        F.sum("_c").over(Window.partitionBy(*g)).cast("long").alias(n_col),
+    per = per.select("_pid", *g, "_c", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+                     F.sum("_c").over(Window.partitionBy(*g)).alias("_gn"))
+
+    def wanted(n: Column) -> Column:
+        """(probability's index, lower position, upper position, fraction between them)."""
+        parts = []
+        for j, p in enumerate(probs):
+            h = (n - 1) * F.lit(float(p))
+            lo = F.floor(h)
+            parts.append(F.struct(F.lit(j).alias("j"), lo.alias("lo"), F.least(lo + 1, n - 1).alias("hi"),
+                                  (h - lo).alias("frac")))
+        return F.array(*parts)
+
+    def inside(at: Column, first: Column, size: Column) -> Column:
+        return (at >= first) & (at < first + size)
+
+    def hits(first: Column, size: Column):
+        return lambda w: inside(w["lo"], first, size) | inside(w["hi"], first, size)
+
+    off, size = F.col("_off"), F.col("_c")
+    per = per.withColumn("_w", F.filter(wanted(F.col("_gn")), hits(off, size))).where(F.size("_w") > 0).drop("_c")
+    run = Window.partitionBy("_pid", *g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+    placed = held.select("_pid", *g, value_col, F.col(count_col).alias("_k")).join(per, ["_pid", *g]).withColumn(
+        "_at", off + F.coalesce(F.sum("_k").over(run), F.lit(0)))
+    at, k = F.col("_at"), F.col("_k")
+    picked = placed.select(*g, value_col, at, k, F.explode(F.filter("_w", hits(at, k))).alias("_w"))
+    per_prob = picked.groupBy(*g, F.col("_w.j").alias("_j")).agg(
+        F.max("_w.frac").alias("_frac"),
+        F.max(F.when(inside(F.col("_w.lo"), at, k), F.col(value_col))).alias("_a"),
+        F.max(F.when(inside(F.col("_w.hi"), at, k), F.col(value_col))).alias("_b"),
     )
-    joined = frozen.join(F.broadcast(per) if schema_bounded_groups else broadcast_if_small(per), ["_pid", *g])
-    return joined.withColumn(pos_col, F.col("_goff") + F.col("_idx") - F.col("_first")).drop(
-        "_pid", "_idx", "_first", "_goff")
+    q = F.when(F.col("_frac") == 0, F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac"))
+    listed = F.array_sort(F.collect_list(F.struct("_j", q.alias("_q"))))
+    return per_prob.groupBy(*g).agg(F.transform(listed, lambda s: s["_q"]).alias(out_col))
 
 
-def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float],
-                      out_col: str = "cuts", num_partitions: int | None = None,
-                      schema_bounded_groups: bool = False) -> DataFrame:
-    """Exact quantiles (linear interpolation) of ``value_col`` per group, all in one plan.
-
-    Output: one row per group with ``out_col`` = array of len(probs) doubles. NULL/NaN
-    values (and NULL groups) are ignored. Positions inside each group come from
-    ``with_group_positions``; the (at most 2 per probability) order statistics needed are
-    picked by a filter, so only those rows leave the scan of the frozen data.
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
+                    num_partitions: int | None = None) -> list[float | None]:
+    """AGG-9: exact quantiles with linear interpolation (numpy/DuckDB ``quantile_cont``).
+
+    NULL and NaN are ignored; without any value every quantile is None. Only the result
+    reaches the driver; counting and sorting are distributed.
     """
-    g = list(group_cols)
-    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    for c in g:
-        vals = vals.where(F.col(c).isNotNull())
-    placed = with_group_positions(vals, g, [F.col("_v").asc()], "_gpos", "_gn", num_partitions, spread_ties=True,
-                                  schema_bounded_groups=schema_bounded_groups)
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    lo = lambda p: F.floor((F.col("_gn") - 1) * p)
-    hits = placed.where(F.exists(plist, lambda p: (F.col("_gpos") == lo(p)) | (F.col("_gpos") == lo(p) + 1)))
-    per_j = hits.select(*g, "_gpos", "_gn", "_v", F.posexplode(plist).alias("_j", "_p")).select(
-        *g, "_j", "_gpos", "_v",
-        F.floor((F.col("_gn") - 1) * F.col("_p")).alias("_lo"),
-        ((F.col("_gn") - 1) * F.col("_p") - F.floor((F.col("_gn") - 1) * F.col("_p"))).alias("_frac"),
-        F.least(F.floor((F.col("_gn") - 1) * F.col("_p")) + 1, F.col("_gn") - 1).alias("_hi"),
-    ).where((F.col("_gpos") == F.col("_lo")) | (F.col("_gpos") == F.col("_hi")))
-    picked = per_j.groupBy(*g, "_j").agg(
-        F.first("_frac").alias("_frac"),
-        F.max(F.when(F.col("_gpos") == F.col("_lo"), F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("_gpos") == F.col("_hi"), F.col("_v"))).alias("_b"),
-    ).withColumn(
-        "_q", F.when(F.col("_frac") == 0, F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac"))
-    )
-    return picked.groupBy(*g).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_j", "_q"))), lambda s: s["_q"]).alias(out_col)
-    )
+    frozen = freeze_counts(df, [], column, {"_n": F.count(F.lit(1))}, num_partitions)
+    cuts = quantiles_of_counts(frozen, [], column, "_n", probs).first()["cuts"]
+    return cuts or [None for _ in probs]
+
+
+def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float],
+                      out_col: str = "cuts", num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles of ``value_col`` per group, one row per group, all groups in one pass."""
+    frozen = freeze_counts(df, group_cols, value_col, {"_n": F.count(F.lit(1))}, num_partitions)
+    return quantiles_of_counts(frozen, group_cols, value_col, "_n", probs, out_col)

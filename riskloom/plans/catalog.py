@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as C
 from riskloom.operators import contract, drift, etl, features, governance, metrics, ranks, splits, weights
 from riskloom.plans import scorecards as S
+from riskloom.session import ensure_checkpoint_dir
 from riskloom.sources import policy, tables
 from riskloom.sources.tables import with_views_sql
 
@@ -25,9 +26,13 @@ REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 D = "CAST({} AS DOUBLE)".format  # DuckDB reads 0.5 as DECIMAL: cast every literal used in float math
 
 
+#: Significant digits of fitted means and sds in the queries compared with SQL: the last bits of a mean differ by engine.
+PARAM_DIGITS = 10
+
+
 def SIG(x: str) -> str:
-    """SQL twin of ``features.round_param``: 10 significant digits."""
-    return f"(CASE WHEN {x} = 0 THEN {x} ELSE ROUND({x}, CAST(9 - FLOOR(LOG10(ABS({x}))) AS INTEGER)) END)"
+    """SQL twin of ``features.round_param`` with ``PARAM_DIGITS``."""
+    return f"(CASE WHEN {x} = 0 THEN {x} ELSE ROUND({x}, CAST({PARAM_DIGITS - 1} - FLOOR(LOG10(ABS({x}))) AS INTEGER)) END)"
 
 
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
@@ -464,22 +469,25 @@ def q_best_model(spark, sf):
 def metric_record(spark: SparkSession, sf: str) -> DataFrame:
     """EV-10: best model, AUC train/valid, KS (20 buckets) and PSI of its PD, one row.
 
+    The scores of all candidates are computed once and frozen (window, label, a score per model).
     One grouped ranking pass gives the AUC of every candidate on both windows (the best is
     picked from the valid rows); KS and PSI are computed for the best one. The metrics are
     stacked as (metric, value) rows and turned into one wide row by a single aggregate (no
     join between one-row frames).
     """
-    bs = bureau_split(spark, sf).where(F.col("split").isNotNull())
+    ensure_checkpoint_dir(spark)
+    bs = bureau_split(spark, sf).where(F.col("split").isNotNull()).select(
+        "split", "defaulted", *[S.z_expr(n).alias(f"z_{n}") for n in S.SCORECARDS]).checkpoint()
     stacked = bs.select(
         "split", "defaulted",
-        F.explode(F.array(*[F.struct(F.lit(n).alias("model"), S.z_expr(n).alias("z")) for n in S.SCORECARDS])).alias("_m"),
+        F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"z_{n}").alias("z")) for n in S.SCORECARDS])).alias("_m"),
     ).select(F.col("_m.model").alias("model"), "split", F.col("_m.z").alias("z"), "defaulted")
     aucs = metrics.auc_exact_by(stacked, ["model", "split"], "z", "defaulted")
     best = governance.best_by(aucs.where(F.col("split") == "valid"), "model", "auc").first()["best_model"]
     valid = bs.where(F.col("split") == "valid").select(
-        "defaulted", F.round(C.sigmoid(S.z_expr(best)), 9).alias("pd"))
+        "defaulted", F.round(C.sigmoid(F.col(f"z_{best}")), 9).alias("pd"))
     scored = drift.stack_features(
-        bs.withColumn("pd", F.round(C.sigmoid(S.z_expr(best)), 9)), ["pd"],
+        bs.withColumn("pd", F.round(C.sigmoid(F.col(f"z_{best}")), 9)), ["pd"],
         F.when(F.col("split") == "train", "expected").otherwise("actual"))
     parts = [
         aucs.where(F.col("model") == best).select(F.concat(F.lit("auc_"), F.col("split")).alias("metric"),
@@ -602,6 +610,39 @@ def q_category_index(spark, sf):
         "customer_id", *[f"{c}_idx" for c in policy.CATEGORICAL_FEATURES])
 
 
+#: Levels that the fit does not see, so that they are new in the validation rows.
+_HELD_BACK = {"state": "NATION_3", "employment_status": sorted(tables.EMPLOYMENT)[0], "risk_segment": sorted(tables.SEGMENTS)[0]}
+
+
+@query("fe6_unseen_levels", f"""WITH {BUREAU_SPLIT_SQL},
+tr AS (SELECT * FROM bs WHERE split = 'train'),
+""" + ",\n".join(
+    f"l_{c} AS (SELECT {c} AS level, CAST(ROW_NUMBER() OVER (ORDER BY {c}) - 1 AS INT) AS idx, "
+    f"CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c}) - 1 AS INT) AS freq, CAST(COUNT(*) OVER () AS INT) AS k "
+    f"FROM tr WHERE {c} <> '{v}' GROUP BY {c})" for c, v in _HELD_BACK.items()) + """
+SELECT v.customer_id, """ + ", ".join(
+    f"COALESCE(l_{c}.idx, (SELECT MAX(k) FROM l_{c})) AS {c}_idx, "
+    f"CASE WHEN l_{c}.idx IS NULL THEN 0 ELSE 1 END AS {c}_ones" for c in _HELD_BACK) + """,
+  COALESCE(l_employment_status.freq, (SELECT MAX(k) FROM l_employment_status)) AS employment_status_index
+FROM (SELECT * FROM bs WHERE split = 'valid') v """ + " ".join(
+    f"LEFT JOIN l_{c} ON l_{c}.level = v.{c}" for c in _HELD_BACK), ("bureau",))
+def q_unseen_levels(spark, sf):
+    """FE-3/FE-5/FE-6: encoders fitted without one level of each category, applied to validation rows that have it:
+    index K, an all-zero vector (``_ones`` counts the ones of the sparse vector)."""
+    from pyspark.ml.functions import vector_to_array
+
+    bs = bureau_split(spark, sf)
+    train = bs.where(F.col("split") == "train")
+    fit = train.select(*[F.when(F.col(c) != v, F.col(c)).alias(c) for c, v in _HELD_BACK.items()])
+    enc = features.CategoryEncoder(list(_HELD_BACK)).fit(fit)
+    idx = features.FrequencyIndexer("employment_status").fit(fit)
+    valid = bs.where(F.col("split") == "valid").select("customer_id", *_HELD_BACK)
+    out = enc.transform_vector(idx.transform(valid))
+    ones = lambda c: F.aggregate(vector_to_array(f"{c}_vec"), F.lit(0.0), lambda a, x: a + x).cast("int")
+    return out.select("customer_id", *[f"{c}_idx" for c in _HELD_BACK], *[ones(c).alias(f"{c}_ones") for c in _HELD_BACK],
+                      "employment_status_index")
+
+
 @query("fe7_standardize", f"""WITH {BUREAU_SPLIT_SQL},
 st AS (SELECT {", ".join(f"{SIG(f'AVG({c})')} AS m_{c}, CASE WHEN STDDEV_POP({c}) = 0 OR STDDEV_POP({c}) IS NULL THEN {D(1)} ELSE {SIG(f'STDDEV_POP({c})')} END AS s_{c}" for c in policy.NUMERIC_FEATURES)}
        FROM bs WHERE split = 'train')
@@ -610,7 +651,7 @@ FROM bs, st WHERE split = 'valid'""", ("bureau",))
 def q_standardize(spark, sf):
     """FE-7/FE-8: z-scores with the population sd (zero sd -> 1), fitted on train, applied to valid."""
     bs = bureau_split(spark, sf)
-    sc = features.Standardizer(policy.NUMERIC_FEATURES).fit(bs.where(F.col("split") == "train"))
+    sc = features.Standardizer(policy.NUMERIC_FEATURES, digits=PARAM_DIGITS).fit(bs.where(F.col("split") == "train"))
     out = sc.transform(bs.where(F.col("split") == "valid"))
     return out.select("customer_id", *[f"{c}_z" for c in policy.NUMERIC_FEATURES])
 
@@ -686,7 +727,7 @@ c AS (SELECT {", ".join(f"{D(repr(w))} * ({c} - m_{c}) AS c_{c}" for c, w in _AT
 def q_global_importance(spark, sf):
     """GOV-6: linear attributions coef * (x - train mean); global importance = mean |contribution|."""
     bs = bureau_split(spark, sf)
-    att = features.LinearAttribution(_ATTR_COEFS).fit(bs.where(F.col("split") == "train"))
+    att = features.LinearAttribution(_ATTR_COEFS, digits=PARAM_DIGITS).fit(bs.where(F.col("split") == "train"))
     return att.global_importance(bs.where(F.col("split") == "valid"))
 
 
@@ -701,5 +742,5 @@ SELECT customer_id, CAST(rk AS INT) AS rank, feature, contribution FROM r WHERE
 def q_top_reasons(spark, sf):
     """SRT-5: the two features that push each applicant's score up the most (top-k is the feature)."""
     bs = bureau_split(spark, sf)
-    att = features.LinearAttribution(_ATTR_COEFS).fit(bs.where(F.col("split") == "train"))
+    att = features.LinearAttribution(_ATTR_COEFS, digits=PARAM_DIGITS).fit(bs.where(F.col("split") == "train"))
     return att.top_reasons(bs.where(F.col("split") == "valid"), "customer_id", 2)

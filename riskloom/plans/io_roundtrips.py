@@ -12,14 +12,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators import contract, etl, governance
+from riskloom.operators import contract, etl, governance, ranks
 from riskloom.plans import catalog
 from riskloom.plans import scorecards as S
 from riskloom.plans.catalog import REGISTRY, query
 from riskloom.session import ensure_checkpoint_dir
 from riskloom.sources import files, tables
 
-REQUEST_ROWS_PER_DOCUMENT = 500
 
 
 def _folder(spark: SparkSession, what: str) -> str:
@@ -105,20 +104,20 @@ def q_metrics_json_gate(spark, sf):
     return governance.gate(files.read_metrics_json(spark, path)).drop("all_passed")
 
 
-def request_documents(bureau: DataFrame) -> DataFrame:
-    """Group applicants into request documents of at most ``REQUEST_ROWS_PER_DOCUMENT`` rows.
+def request_documents(bureau: DataFrame, rows_per_document: int = 500) -> DataFrame:
+    """Group applicants into request documents of at most ``rows_per_document`` rows.
 
-    The document id is the row's position inside its partition cut every 500 rows
-    (``monotonically_increasing_id`` holds partition id and position), so no count pass is
-    needed and a document never exceeds the bound, whatever the keys (a duplicated key
-    cannot pile into one document).
+    The document id comes from the row's position in the order of all fields
+    (``ranks.with_positions``): the same on every run, and a repeated key cannot pile into
+    one document.
     """
     fields = [f.name for f in files.REQUEST_RECORD.fields]
     rec = bureau.select(
         *[F.col(c).cast(files.REQUEST_RECORD[c].dataType) if c != "snapshot_date"
           else F.date_format("snapshot_date", "yyyy-MM-dd'T'HH:mm:ss").alias(c) for c in fields])
-    rid = F.floor(F.monotonically_increasing_id() / F.lit(REQUEST_ROWS_PER_DOCUMENT)).cast("string")
-    return rec.withColumn("request_id", rid).groupBy("request_id").agg(
+    placed = ranks.with_positions(rec, [F.col(c) for c in fields], "_pos", "_n")
+    rid = F.floor(F.col("_pos") / F.lit(rows_per_document)).cast("string")
+    return placed.withColumn("request_id", rid).groupBy("request_id").agg(
         F.collect_list(F.struct(*fields)).alias("records"))
 
 

@@ -8,9 +8,8 @@ from orders x customer x nation plus a per-order aggregate of lineitem.
 Plan shape at scale: lineitem is pre-aggregated per order (partial + final hash
 aggregate, one shuffle on l_orderkey); orders joins it on the same key, so the
 aggregate side is already partitioned; the customer join shuffles on custkey and a
-hot customer is split by AQE's skew-join handling; nation (one row per country) is
-broadcast after a row-count check (``broadcast_if_small``), never shuffle-joined on its
-few keys.
+hot customer is split by AQE's skew-join handling; nation (one row per country) is joined
+as the planner's statistics say, which is a broadcast for a file of that size.
 """
 
 from __future__ import annotations
@@ -24,19 +23,6 @@ TABLES = (
 ).split()
 
 
-DIMENSION_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked bound: ``limit(max_rows + 1).count()`` reads at
-    most max_rows + 1 rows; a larger table is joined the normal (shuffle) way.
-
-    Used for low-cardinality dimensions (nation): a shuffle join keyed on a column with a
-    few dozen values would put each value's share of the fact rows into one task.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (parquet); Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -69,7 +55,7 @@ def _orders_customers(spark: SparkSession, sf_dir: str, orders: DataFrame | None
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"
     )
-    nation = broadcast_if_small(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )

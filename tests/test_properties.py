@@ -2,9 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskloom.operators import drift, metrics, ranks, weights
+from riskloom.operators import drift, features, governance, metrics, ranks, weights
 
 from conftest import SF_SMALL
 
@@ -51,8 +52,8 @@ def test_monotone_remap_keeps_auc_ks(scored):
 @pytest.mark.parametrize("parts", [1, 3, 8, 17])
 def test_distributed_ntile_equals_window(scored, parts):
     order = [F.col("score").desc(), F.col("id").asc()]
-    a = ranks.with_ntile(scored, order, 10, method="distributed", num_partitions=parts)
-    b = ranks.with_ntile(scored, order, 10, method="window")
+    a = ranks.with_ntile(scored, order, 10, num_partitions=parts)
+    b = scored.withColumn("tile", F.ntile(10).over(Window.orderBy(*order)))
     assert sorted(a.select("id", "tile").collect()) == sorted(b.select("id", "tile").collect())
 
 
@@ -121,14 +122,14 @@ def test_partition_count_does_not_change_results(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_hot_value_is_split_across_partitions(spark):
-    # one value holds a third of the rows: the quantile sort must still spread it
+def test_hot_value_is_one_counted_row(spark):
+    # one value holds a third of the rows: it is one row of the table that is sorted
     n = 6000
     rows = [(float(5.0 if i < n // 3 else i),) for i in range(n)]
     df = spark.createDataFrame(rows, "v double").repartition(6)
-    frozen = ranks.freeze_ordered(df, [F.col("v")], 6, spread_ties=True)
+    frozen = ranks.freeze_counts(df, [], "v", {"n": F.count(F.lit(1))}, 6)
     sizes = [r["count"] for r in frozen.groupBy("_pid").count().collect()]
-    assert max(sizes) < n / 4
+    assert max(sizes) < n / 4 and frozen.where("v = 5").first().n == n // 3
     assert ranks.exact_quantiles(df, "v", [0.1, 0.5]) == pytest.approx(list(np.quantile([r[0] for r in rows], [0.1, 0.5])))
 
 
@@ -165,3 +166,40 @@ def test_approx_qcut_close_to_exact(scored):
     exact = metrics.ks_qcut(scored, "score", "y", 20).first().ks_qcut
     approx = metrics.ks_qcut(scored, "score", "y", 20, method="approx").first().ks_qcut
     assert approx == pytest.approx(exact, abs=0.01)
+
+
+@pytest.mark.parametrize("parts", [1, 5, 16])
+def test_quantiles_do_not_depend_on_the_ranges(scored, parts):
+    probs = [0, 0.05, 0.25, 0.5, 0.77, 1]
+    pdf = scored.toPandas()
+    for r in ranks.grouped_quantiles(scored, ["y"], "score", probs, num_partitions=parts).collect():
+        assert r.cuts == pytest.approx(list(np.quantile(pdf[pdf.y == r.y].score.values, probs)), abs=1e-12)
+
+
+def test_encoders_take_many_levels_and_new_ones(spark):
+    n = 50_000
+    fit = spark.range(n).select(F.format_string("v%06d", F.col("id")).alias("c"), F.lit("a").alias("d"))
+    rows = fit.unionByName(spark.createDataFrame([("new", "b"), (None, None)], "c string, d string"))
+    enc = features.CategoryEncoder(["c", "d"]).fit(fit)
+    got = {r.c: (r.c_idx, r.d_idx) for r in enc.transform_index(rows).collect()}
+    assert len(got) == n + 2 and all(got[f"v{i:06d}"] == (i, 0) for i in range(n))
+    assert got["new"] == got[None] == (n, 1)
+    idx = features.FrequencyIndexer("c").fit(fit.unionByName(fit.where("c = 'v000500'"))).transform(rows)
+    index = {r.c: r.c_index for r in idx.collect()}
+    assert (index["v000500"], index["v000000"], index["v000501"], index["new"], index[None]) == (0, 1, 501, n, n)
+
+
+def test_encoder_vectors(spark):
+    fit = spark.range(300).select(F.format_string("v%06d", F.col("id")).alias("c"), F.lit("a").alias("d"))
+    rows = fit.unionByName(spark.createDataFrame([("new", "b"), (None, None)], "c string, d string"))
+    got = {r.c: r for r in features.CategoryEncoder(["c", "d"]).fit(fit).transform_vector(rows).collect()}
+    assert got["v000077"].c_vec.indices.tolist() == [77] and got["v000077"].d_vec.toArray().tolist() == [1.0]
+    for new in ("new", None):
+        assert got[new].c_vec.size == 300 and got[new].c_vec.numNonzeros() == got[new].d_vec.numNonzeros() == 0
+
+
+def test_response_document_of_repeated_applicants(spark):
+    rows = [("r", "m", "a", 0.2, ["X"]), ("r", "m", "a", 0.9, ["Y"]), ("r", "m", "a", 0.9, ["Y"]), ("r", "m", "b", 0.1, []), ("r", "m", None, 0.5, [])]
+    df = spark.createDataFrame(rows, "request_id string, model_version string, customer_id string, score double, reason_codes array<string>")
+    doc = governance.decision_document(df, "request_id", "customer_id").first()
+    assert doc.scores == {"a": 0.9, "b": 0.1} and doc.reason_codes == {"a": ["Y"], "b": []}
