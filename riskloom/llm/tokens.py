@@ -1,9 +1,11 @@
 """Token ids of whole texts with a public tokenizer file, by pieces between spaces.
 
 Both tokenizer kinds split a text before they merge, and never across the start of a run of ASCII white
-space; so a text's ids are those of its pieces, one after another. Pieces repeat, and a bounded
-cache per Python worker encodes each once. Texts with other white space, where a run may
-mix kinds, are encoded whole by tokenizers that keep white space.
+space; so a text's ids are those of its pieces, one after another. Pieces repeat, and a bounded cache per
+Python worker encodes most once. A piece of Latin letters and a run of ASCII punctuation behind it (after at
+most one space, where spaces are kept) splits just there, so its two units go straight to the tokenizer's
+merge model; all others take the whole tokenizer. Texts with other white space, where a run may mix kinds,
+are encoded whole by tokenizers that keep white space.
 """
 
 from __future__ import annotations
@@ -17,14 +19,33 @@ import pyarrow as pa
 
 from riskloom.llm.words import text_buffer
 
-#: Entries of a worker's cache (it starts anew beyond them), and text bytes looked up at a time.
-CACHE_ENTRIES = 900_000
+#: Entries of a worker's cache (it starts anew at the next text beyond them), and text bytes looked up at a time.
+CACHE_ENTRIES = 200_000
 STEP_BYTES = 1 << 20
 
 _PIECES = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 _OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
+#: Kept space, letters (A-Z, a-z and those of U+00C0 to U+00FF), punctuation.
+_PLAIN = re.compile(rb"( ?)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
+#: Byte-level tokenizers write a byte as the character of its number if that is printable, else as the next one from U+0100.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+class _Cache(dict):
+    """Ids of pieces; ``learn`` gives those of a new one."""
+
+    def __init__(self, learn) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self[piece] = self.learn(piece)
+        return ids
+
+
 class Encoder:
     """keeps_space: white space is part of the ids (byte-level kinds); otherwise it only separates."""
 
@@ -36,22 +57,39 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keeps_space = keeps_space
         self.end = np.array([end_id], np.uint32).tobytes()
-        self.cache: dict[bytes, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.cache = _Cache(self._learn)
+        self.merge = self.tokenizer.model.tokenize
+        normalizer = self.tokenizer.normalizer
+        self.lowers = normalizer is not None and normalizer.normalize_str("A") == "a"
+
+    def _ids(self, text: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, piece: bytes) -> bytes:
+        """Ids of a piece that the cache does not have."""
+        plain = _PLAIN.fullmatch(piece)
+        if plain is None or (plain[1] and not self.keeps_space):
+            return self._ids(piece)
+        space, letters, marks = plain.groups()
+        if marks:
+            return self.cache[space + letters] + array("I", [t.id for t in self.merge(marks.decode())]).tobytes()
+        if self.lowers:
+            letters = letters.lower() if letters.isascii() else letters.decode().lower().encode()
+        unit = letters.decode() if letters.isascii() else letters.decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.merge("\u0120" + unit if space else unit)]).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id last."""
-        pieces = [None if self.keeps_space and _OTHER_SPACE.search(t) else _PIECES.findall(t) if self.keeps_space else t.split() for t in texts]
-        new = set().union(*(p for p in pieces if p)) - self.cache.keys()
-        if len(self.cache) + len(new) > CACHE_ENTRIES:
-            self.cache = {}
-            new = set().union(*(p for p in pieces if p))
-        new = list(new)
-        self.cache.update(zip(new, self._ids([x.decode() for x in new])))
-        look = self.cache.__getitem__
-        return [(self._ids([t.decode()])[0] if p is None else b"".join(map(look, p))) + self.end for t, p in zip(texts, pieces)]
+        look, out = self.cache.__getitem__, []
+        for text in texts:
+            if len(self.cache) > CACHE_ENTRIES:
+                self.cache.clear()
+            if self.keeps_space and _OTHER_SPACE.search(text):
+                out.append(self._ids(text) + self.end)
+            else:
+                pieces = _PIECES.findall(text) if self.keeps_space else text.split()
+                out.append(b"".join(map(look, pieces)) + self.end)
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}

@@ -446,3 +446,19 @@ def test_pipeline_stages(spark, documents):
     assert set(rows_of(mixed)) <= whole
     pieces = tables["packing"].collect()
     assert Counter(r.doc_id for r in pieces if r.start == 0) == Counter(i for i, _ in rows_of(mixed))
+
+
+@pytest.mark.parametrize("name, keeps_space", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_piecewise_ids_are_the_whole_text_ids(name, keeps_space):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from riskloom.llm.tokens import Encoder
+
+    texts = ["", " ", "a", "A b,", "don't 's 'tis it's.", "Gr\u00f6\u00dfe, \u00c4RGER! \u00d7\u00f7 \u00e9t\u00e9... \u00ffy", "e\u0301 cafe\u0301, \u00c5\u030a",
+             "x<|endoftext|>, <|startoftext|>", "  two  spaces\n\nlines \t", "a1b2 33 a_b (c) [d]; \"q\" `z`~", "\u0130stanbul \u03a3\u03a3 \u4e2d\u6587,", "\u00a0nb \u2003em",
+             "w" * 3000 + "," * 50, "end\u00ad soft \u00b5\u00aa\u00ba"]
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    library.encode_special_tokens = True
+    got = Encoder(public_tokenizers.path(name), keeps_space, 1).encode([t.encode() for t in texts])
+    assert [np.frombuffer(g, np.uint32).tolist() for g in got] == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
