@@ -20,7 +20,7 @@ import pyarrow as pa
 from riskloom.llm.words import text_buffer
 
 #: Entries of a worker's cache (it starts anew at the next text beyond them), and text bytes looked up at a time.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 STEP_BYTES = 1 << 20
 
 _PIECES = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
@@ -65,18 +65,28 @@ class Encoder:
     def _ids(self, text: bytes) -> bytes:
         return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
 
+    def _merged(self, unit: str) -> bytes:
+        return array("I", [t.id for t in self.merge(unit)]).tobytes()
+
     def _learn(self, piece: bytes) -> bytes:
         """Ids of a piece that the cache does not have."""
+        spaced = self.keeps_space and piece[:1] == b" "
+        word = piece[1:] if spaced else piece
+        if word.isalpha():  # of bytes: ASCII letters
+            unit = (word.lower() if self.lowers else word).decode()
+            return self._merged("\u0120" + unit if spaced else unit)
         plain = _PLAIN.fullmatch(piece)
         if plain is None or (plain[1] and not self.keeps_space):
             return self._ids(piece)
         space, letters, marks = plain.groups()
         if marks:
-            return self.cache[space + letters] + array("I", [t.id for t in self.merge(marks.decode())]).tobytes()
-        if self.lowers:
-            letters = letters.lower() if letters.isascii() else letters.decode().lower().encode()
-        unit = letters.decode() if letters.isascii() else letters.decode("latin-1").translate(_BYTE_CHARS)
-        return array("I", [t.id for t in self.merge("\u0120" + unit if space else unit)]).tobytes()
+            return self.cache[space + letters] + self.cache[marks]
+        text = letters.decode()
+        if not text.isascii():
+            text = (text.lower() if self.lowers else text).encode().decode("latin-1").translate(_BYTE_CHARS)
+        elif self.lowers:
+            text = text.lower()
+        return self._merged("\u0120" + text if space else text)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id last."""
