@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import parts as P
-from riskloom.llm.tokens import encode_column, id_arrays
+from riskloom.llm.tokens import encode_column, forget_pieces, id_arrays
 
 LENGTH = 2048
 END_ID = 1
@@ -51,7 +51,8 @@ def pack(docs: DataFrame, tokenizer: str, keeps_space: bool = True, id_col: str
     each other in order of a hash of their text; rows with a null id come last; an empty table gives an empty
     one; further columns are ignored.
     """
-    dealt = P.gather(docs, id_col, text_col, items=partial(encode_column, tokenizer, keeps_space, end_id), part_bytes=part_bytes)
+    own = (tokenizer, keeps_space, end_id)
+    dealt = P.gather(docs, id_col, text_col, items=partial(encode_column, *own), part_bytes=part_bytes, after=partial(forget_pieces, *own))
     totals = P.running_totals(dealt.table.groupBy("part").agg(F.sum("n_items").alias("n")), "part", "n")
     return dealt.visit_with(totals, partial(_pieces, length), _PIECE).withColumnRenamed("id", id_col)
 

@@ -77,7 +77,7 @@ def unpack(blocks: pa.Table) -> pa.Table:
     return table.sort_by([("_id", "ascending"), ("_order", "ascending")])
 
 
-def _deal(items: Callable | None, id_col: str, text_col: str, bounds: list[int], n_null: int, batches: Iterator[pa.RecordBatch]):
+def _deal(items: Callable | None, after: Callable | None, id_col: str, text_col: str, bounds: list[int], n_null: int, batches: Iterator[pa.RecordBatch]):
     from riskloom.llm.words import text_buffer
 
     cuts, held, size = np.array(bounds, np.int64), {}, 0
@@ -115,15 +115,18 @@ def _deal(items: Callable | None, id_col: str, text_col: str, bounds: list[int],
             yield from flush()
             size = 0
     yield from flush()
+    if after is not None:
+        after()
 
 
 def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
-           items: Callable | None = None, part_bytes: int = PART_BYTES) -> Parts:
+           items: Callable | None = None, part_bytes: int = PART_BYTES, after: Callable | None = None) -> Parts:
     """Deal ``docs`` into parts by ranges of ``id_col``.
 
     The block of a part holds columns c0.. (``carry`` in order, default id and text), ``_id``, ``_order``
     (breaks ties of the id by the text), and what ``items`` adds in the map task, which may replace the
-    text by something derived (its row counts in ``_n`` are summed in ``n_items``). The ranges are
+    text by something derived (its row counts in ``_n`` are summed in ``n_items``); ``after`` runs at the end of a
+    map task, to free what ``items`` keeps. The ranges are
     approximate quantiles of the id, one number per part on the driver. All rows of an id share a part.
     """
     spark = docs.sparkSession
@@ -140,7 +143,7 @@ def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carr
         bounds = sorted(set(found or []))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = docs.select(*[F.col(c) for c in carry]).mapInArrow(
-        partial(_deal, items, id_col, text_col, bounds, n_null), BLOCK_SCHEMA
+        partial(_deal, items, after, id_col, text_col, bounds, n_null), BLOCK_SCHEMA
     )
     # a plan that AQE may change again does not tell its partitioning; the checkpoint is to keep it
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import parts as P
-from riskloom.llm.tokens import encode_column, id_arrays
+from riskloom.llm.tokens import encode_column, forget_pieces, id_arrays
 from riskloom.session import ensure_checkpoint_dir
 
 END_ID = 1
@@ -89,7 +89,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, keeps_space:
     Defined cases: a null or empty text is the end id alone; rows of one id stay separate, in order of a hash of their
     text; rows with a null id come last; an empty table writes empty tables; further columns are ignored.
     """
-    dealt = P.gather(docs, id_col, text_col, items=partial(encode_column, tokenizer, keeps_space, end_id), part_bytes=part_bytes)
+    own = (tokenizer, keeps_space, end_id)
+    dealt = P.gather(docs, id_col, text_col, items=partial(encode_column, *own), part_bytes=part_bytes, after=partial(forget_pieces, *own))
     found = dealt.visit(_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     order = [r["token"] for r in sorted(found, key=lambda r: (-r["n"], r["token"]))]
     spark = docs.sparkSession

@@ -112,6 +112,11 @@ def encoder(path: str, keeps_space: bool, end_id: int) -> Encoder:
     return _ENCODERS[key]
 
 
+def forget_pieces(path: str, keeps_space: bool, end_id: int) -> None:
+    """Free the cache, which would otherwise stay in the worker while it runs later stages."""
+    encoder(path, keeps_space, end_id).cache.clear()
+
+
 def encode_column(path: str, keeps_space: bool, end_id: int, table: pa.Table, text: str) -> pa.Table:
     """Replace the text column by ``ids`` (binary) and their number ``_n``; null texts are empty."""
     raw, offsets = text_buffer(table[text])
