@@ -25,6 +25,11 @@ STEP_BYTES = 1 << 20
 
 _PIECES = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 _OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_OTHER_STARTS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2", b"\xe1", b"\xe2", b"\xe3")
+
+
+def _has_other_space(text: bytes) -> bool:
+    return any(b in text for b in _OTHER_STARTS) and _OTHER_SPACE.search(text) is not None
 
 
 #: Kept space, letters (A-Z, a-z and those of U+00C0 to U+00FF), punctuation.
@@ -94,7 +99,7 @@ class Encoder:
         for text in texts:
             if len(self.cache) > CACHE_ENTRIES:
                 self.cache.clear()
-            if self.keeps_space and _OTHER_SPACE.search(text):
+            if self.keeps_space and _has_other_space(text):
                 out.append(self._ids(text) + self.end)
             else:
                 pieces = _PIECES.findall(text) if self.keeps_space else text.split()
