@@ -4,15 +4,17 @@ The tree's symbols are the bytes of a text's words, joined by one space, and an
 is a distribution over whole word sequences with no unknown words. Contexts are the up to DEPTH symbols before
 a position (before a text's start: the end symbol again).
 
-* Gathering: map tasks count (context of full depth, next symbol) exactly, Spark sums the counts over the training
-  texts; shorter contexts are sums over longer ones.
-* Growing: contexts that fill at least ``p_min`` of all positions are candidates, so no depth has more than
-  1/p_min of them whatever the corpus: this bounds the model, which goes to every task. A candidate is kept if its
-  next-symbol distribution diverges from its parent's (the context one symbol shorter): count times
-  Kullback-Leibler divergence above a threshold, or if a kept context extends it.
+* Gathering: a gram is a context of full depth and its next symbol, exact in 64 bits, the latest symbol on top, so
+  that the contexts that end alike are neighbours in sorted order. A part sends its distinct grams with their
+  training counts, cut into ranges of the last NEAR symbols; the counts of contexts up to NEAR - 1 symbols are
+  summed before and go to the ranges below them. No task and no driver holds the whole tree.
+* Growing: a range holds whole subtrees. A context that occurs at least ``min_count`` times, an absolute number, is a
+  candidate; it is kept if its next-symbol distribution diverges from its parent's (the context one symbol
+  shorter): count times Kullback-Leibler divergence above a threshold, or if a kept context extends it.
+  Candidates of fewer than NEAR symbols are all kept. So the model grows with what the corpus attests.
 * Smoothing: a context's distribution is its counts and ``weight`` counts spread as the parent predicts; the
   root mixes with the uniform distribution over all 257 symbols.
-* Scoring: a position follows the tree from its latest symbol backwards to the longest kept suffix.
+* Scoring: a range answers each gram of a part with the probability after the longest kept suffix.
 """
 
 from __future__ import annotations
@@ -21,15 +23,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import parts as P
 from riskloom.llm.words import Rolling, Words, chunks, text_buffer
 
-DEPTH = 5
-#: Least share of all positions that a context must fill.
-P_MIN = 5e-6
+DEPTH = 7
+#: Symbols of a context that choose its range; shorter contexts are counted apart.
+NEAR = 4
+#: Least count of a kept context.
+MIN_COUNT = 4
 #: Least count times divergence (in bits) of a kept context.
 MIN_DIVERGENCE = 16.0
 #: Counts that the parent's prediction is worth.
@@ -39,9 +44,12 @@ FOLDS, HELD_OUT = 7, 2
 
 _BITS = 9  # a symbol: byte + 1, or 0 for the end
 _SYMBOLS = 257
+_END = 0x0A  # in grams: a byte that no word has
 _WORD = Rolling(71)
 #: Distinct grams that a task holds before it merges them.
 _MERGE_GRAMS = 1 << 20
+#: Texts, and characters of each, whose grams balance the ranges (they steer cost only).
+SAMPLE_TEXTS, SAMPLE_CHARS = 1000, 4096
 
 
 def _held_out(ids: pa.ChunkedArray) -> np.ndarray:
@@ -98,29 +106,141 @@ def _positions(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
 
 
-def _count_grams(part, blocks):
-    table = P.unpack(blocks)
-    out, held, n_held = _held_out(table["_id"]), [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+def _grams(stream: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """Context and symbol of each position: a byte each, the symbol lowest, the symbol before it on top."""
+    codes = np.where(stream == 0, _END, stream - 1).astype(np.uint64)
+    gram = np.zeros(len(at), np.uint64)
+    for d in range(1, depth + 1):
+        gram = gram << np.uint64(8) | codes[at - d]
+    return gram << np.uint64(8) | codes[at]
+
+
+def _distinct(table: pa.Table, depth: int, train_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct grams of a part with their counts in its training texts."""
+    out, held, n_held = _held_out(table["_id"]), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
     for i, j, w in _words(table):
         stream, begin, length = _stream(w)
-        train = ~out[i:j]
-        at = _positions(begin[train], length[train])
-        gram = np.zeros(len(at), np.int64)
-        for d in range(DEPTH, -1, -1):
-            gram = gram << _BITS | stream[at - d]
-        gram.sort()
-        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, np.int64)
-        held.append((gram[first], np.diff(first, append=len(gram))))
-        n_held += len(first)
-        if n_held > _MERGE_GRAMS:
-            held = [_totals(*map(np.concatenate, zip(*held)))]
-            n_held = 0
-    gram, n = _totals(*map(np.concatenate, zip(*held)))
-    return pa.table({"gram": pa.array(gram, pa.int64()), "n": pa.array(n, pa.int64())})
+        for which, value in ((~out[i:j], 1), (out[i:j], 0)):
+            if not which.any() or (train_only and not value):
+                continue
+            gram = np.sort(_grams(stream, _positions(begin[which], length[which]), depth))
+            first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+            held.append((gram[first], np.diff(first, append=len(gram)) * value))
+            n_held += len(first)
+        if n_held > max(_MERGE_GRAMS, len(held[0][0])):
+            held, n_held = [_totals(*map(np.concatenate, zip(*held)))], 0
+    return _totals(*map(np.concatenate, zip(*held)))
+
+
+def _count_near(part, blocks):
+    gram, n = _distinct(P.unpack(blocks), NEAR - 1, True)
+    return pa.table({"gram": pa.array(gram.astype(np.int64)), "n": pa.array(n)})
+
+
+def _deal_near(bounds, batches):
+    """Counts of a short context go to all ranges that hold extensions of it."""
+    for batch in batches:
+        d, gram = (np.asarray(batch.column(k).to_numpy(), np.int64) for k in (0, 1))
+        open_bits = 8 * (NEAR - d)
+        low = gram >> 8 << open_bits
+        first = np.searchsorted(bounds, low, side="right")
+        last = np.searchsorted(bounds, low + (np.int64(1) << open_bits) - 1, side="right")
+        times = last - first + 1
+        row = np.repeat(np.arange(len(d)), times)
+        bucket = np.repeat(first - (np.cumsum(times) - times), times) + np.arange(len(row))
+        yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), *(c.take(pa.array(row)) for c in batch.columns)], names=["bucket", "d", "gram", "n"])
+
+
+_ASK = "part int, bucket int, n long, keys binary, counts binary"
+_ASK_ARROW = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+_ANSWER = "part int, bucket int, n long, log10p binary"
+_ANSWER_ARROW = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64()), ("log10p", pa.binary())])
+
+
+def _ask_grams(bounds, part, blocks):
+    gram, n = _distinct(P.unpack(blocks), DEPTH, False)
+    edges = [0, *np.searchsorted(gram, bounds.astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - NEAR))).tolist(), len(gram)]
+    rows = [{"part": part, "bucket": k, "n": j - i, "keys": P.pack_sorted(gram[i:j]), "counts": P.pack_numbers(n[i:j])}
+            for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if i < j]
+    return pa.Table.from_pylist(rows, schema=_ASK_ARROW)
+
+
+def gram_scores(keys: np.ndarray, n: np.ndarray, near: list[tuple[np.ndarray, np.ndarray]], min_count: int, weight: float, min_divergence: float) -> np.ndarray:
+    """log10 probability of each gram's symbol after the longest kept suffix of its context.
+
+    keys: ascending distinct grams, all training grams of their last NEAR symbols among them, with training counts n;
+    near[d]: ascending (context of d < NEAR symbols, symbol) and counts, of all that the grams' contexts need.
+    """
+    symbol = keys & np.uint64(0xFF)
+    pairs, rows = [], [None] * (DEPTH + 1)  # (context, symbol) of each depth; of a pair, the pair one symbol shorter
+    below = keys
+    for d in range(DEPTH, -1, -1):
+        if d < DEPTH:
+            shorter = below >> np.uint64(16) << np.uint64(8) | below & np.uint64(0xFF)
+            below, rows[d + 1] = np.unique(shorter, return_inverse=True)
+        pairs.append(below)
+    pairs.reverse()
+    counts = [None] * DEPTH + [n]
+    for d in range(DEPTH - 1, NEAR - 1, -1):
+        counts[d] = np.bincount(rows[d + 1], counts[d + 1], len(pairs[d])).astype(np.int64)
+    every = int(near[0][1].sum())
+    at = np.searchsorted(near[0][0], pairs[0])
+    at = np.minimum(at, max(len(near[0][0]) - 1, 0))
+    n_root = np.where(near[0][0][at] == pairs[0], near[0][1][at], 0) if len(near[0][0]) else np.zeros(len(pairs[0]), np.int64)
+    p = [(n_root + 0.5) / (every + 0.5 * _SYMBOLS)]
+    kept, groups = [np.ones(len(pairs[0]), bool)], [None]
+    for d in range(1, DEPTH + 1):
+        context = pairs[d] >> np.uint64(8)
+        above = p[d - 1][rows[d]]
+        new = np.append(True, context[1:] != context[:-1])
+        group = np.cumsum(new) - 1
+        if d < NEAR:
+            k, c = near[d]
+            names, sums = _totals(k >> np.uint64(8), c)
+            total, c_own = np.zeros(int(new.sum()), np.int64), np.zeros(len(context), np.int64)
+            if len(k):
+                i = np.minimum(np.searchsorted(names, context[new]), len(names) - 1)
+                total = np.where(names[i] == context[new], sums[i], 0)
+                i = np.minimum(np.searchsorted(k, pairs[d]), len(k) - 1)
+                c_own = np.where(k[i] == pairs[d], c[i], 0)
+            keep = total >= min_count
+        else:
+            c_own = counts[d]
+            total = np.bincount(group, c_own, int(new.sum())).astype(np.int64)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                bits = np.where(c_own > 0, c_own * np.log2(c_own / (total[group] * above)), 0.0)
+            keep = (total >= min_count) & (np.bincount(group, bits, len(total)) > min_divergence)
+        p.append((c_own + weight * above) / (total[group] + weight))
+        kept.append(keep), groups.append(group)
+    for d in range(DEPTH, NEAR, -1):  # a kept context keeps its suffixes
+        up = groups[d - 1][rows[d]]
+        kept[d - 1][up[kept[d][groups[d]]]] = True
+    best = p[0]
+    for d in range(1, DEPTH + 1):
+        best = np.where(kept[d][groups[d]], p[d], best[rows[d]])
+    return np.log10(best)
+
+
+def _answer_grams(min_count, weight, min_divergence, key, asks, near):
+    rows = asks.to_pylist()
+    if not rows:
+        return pa.Table.from_pylist([], schema=_ANSWER_ARROW)
+    keys = np.concatenate([P.unpack_sorted(r["keys"], r["n"]) for r in rows])
+    counts = np.concatenate([P.unpack_numbers(r["counts"], np.int64, r["n"]) for r in rows])
+    distinct, sums = _totals(keys, counts)
+    d, gram, n = (np.asarray(near[c].to_numpy(), np.int64) for c in ("d", "gram", "n"))
+    levels = [_totals(gram[d == k].astype(np.uint64), n[d == k]) for k in range(NEAR)]
+    found = gram_scores(distinct, sums, levels, min_count, weight, min_divergence).astype(np.float32)
+    out, at = [], 0
+    for r in rows:
+        mine = keys[at : at + r["n"]]
+        out.append({"part": r["part"], "bucket": r["bucket"], "n": r["n"], "log10p": P.pack_numbers(found[np.searchsorted(distinct, mine)])})
+        at += r["n"]
+    return pa.Table.from_pylist(out, schema=_ANSWER_ARROW)
 
 
 class SuffixTree:
-    """Kept contexts as nodes; child[node, class] one symbol further back (0: none), log10p[node, class]."""
+    """The model of a few counts in memory. Kept contexts as nodes; child[node, class] one symbol further back (0: none), log10p[node, class]."""
 
     def __init__(self, depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray,
                  weight: float = PARENT_WEIGHT, min_divergence: float = MIN_DIVERGENCE) -> None:
@@ -174,23 +294,40 @@ class SuffixTree:
         return self.log10p[node, symbols[at]].astype(np.float64)
 
 
-def grow_tree(grams: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, weight: float = PARENT_WEIGHT, min_divergence: float = MIN_DIVERGENCE) -> SuffixTree:
-    """The tree of (gram, n) counts. Only contexts with a share of p_min reach the driver."""
-    by = F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("d")
-    rows = grams.select("gram", "n", by).select(
-        "d", F.expr(f"shiftright(gram, {_BITS}) & (shiftleft(1L, {_BITS} * d) - 1)").alias("context"), F.expr(f"gram & {(1 << _BITS) - 1}").alias("symbol"), "n"
-    )
-    entries = rows.groupBy("d", "context", "symbol").agg(F.sum("n").alias("n")).checkpoint()
-    total = entries.where("d = 0").agg(F.sum("n").alias("n")).first()["n"] or 0
-    often = entries.groupBy("d", "context").agg(F.sum("n").alias("t")).where(F.col("t") >= F.lit(p_min * total)).select("d", "context")
-    kept = entries.join(often, ["d", "context"]).toArrow()
-    column = lambda c: np.asarray(kept[c].to_numpy(), np.int64)
-    return SuffixTree(column("d"), column("context"), column("symbol"), column("n"), weight, min_divergence)
-
-
-def _score(tree, n_train_texts, known, total, part, blocks, answers):
+def _range_bounds(docs: DataFrame, text_col: str, n_rows: int, buckets: int) -> np.ndarray:
+    """First last-NEAR-symbols of each range but the first, from the distinct grams of a bounded sample."""
+    if buckets < 2 or not n_rows:
+        return np.zeros(0, np.int64)
+    drawn = docs.select(F.substring(F.col(text_col).cast("string"), 1, SAMPLE_CHARS).alias("t")).sample(min(1.0, 2 * SAMPLE_TEXTS / n_rows), 7).limit(SAMPLE_TEXTS).toArrow()
+    raw, offsets = text_buffer(drawn["t"])
+    stream, begin, length = _stream(Words(raw, offsets, lower=True))
+    near = np.unique(_grams(stream, _positions(begin, length))) >> np.uint64(8 * (DEPTH + 1 - NEAR))
+    if not len(near):
+        return np.zeros(0, np.int64)
+    return np.unique(near[np.arange(1, buckets) * len(near) // buckets].astype(np.int64))
+
+
+def ask_model(docs: DataFrame, dealt: P.Parts, text_col: str, min_count: int = MIN_COUNT, weight: float = PARENT_WEIGHT, min_divergence: float = MIN_DIVERGENCE) -> DataFrame:
+    """The model's answers to the grams of every part, for ``visit_with``."""
+    n_rows = dealt.table.agg(F.sum("n_rows").alias("n")).first()["n"] or 0
+    bounds = _range_bounds(docs, text_col, n_rows, dealt.buckets)
+    longest = dealt.visit(_count_near, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    by = F.explode(F.sequence(F.lit(0), F.lit(NEAR - 1))).alias("d")
+    near = longest.select("gram", "n", by).select(
+        "d", F.expr(f"shiftright(gram, 8 * ({NEAR} - d)) * 256 + (gram & 255)").alias("gram"), "n"
+    ).groupBy("d", "gram").agg(F.sum("n").alias("n"))
+    near = near.mapInArrow(partial(_deal_near, bounds), "bucket int, d int, gram long, n long")
+    asked = dealt.visit(partial(_ask_grams, bounds), _ASK)
+    return asked.groupBy("bucket").cogroup(near.groupBy("bucket")).applyInArrow(partial(_answer_grams, min_count, weight, min_divergence), _ANSWER)
+
+
+def _score(n_train_texts, known, total, part, blocks, answers):
     table = P.unpack(blocks)
-    model, counts = tree.value, P.read_counts(answers)
+    of_words = pc.is_valid(answers["counts"])
+    counts = P.read_counts(answers.filter(of_words))
+    found = sorted(answers.filter(pc.invert(of_words)).select(["bucket", "n", "log10p"]).to_pylist(), key=lambda r: r["bucket"])
+    log10p = np.concatenate([P.unpack_numbers(r["log10p"], np.float32, r["n"]) for r in found])  # every text has an end
+    grams, _ = _distinct(table, DEPTH, False)
     keys, _ = _training_words(table)
     n, v = total + n_train_texts, known + (n_train_texts > 0)
     rows = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
@@ -208,7 +345,11 @@ def _score(tree, n_train_texts, known, total, part, blocks, answers):
         rows["base_score"].append(add(np.log10(c + 1.0) - log_all, np.log10(n_train_texts + 1.0) - log_all))
         stream, begin, length = _stream(w)
         at = _positions(begin, length)
-        rows["score"].append(np.add.reduceat(model.scores(stream, at), np.cumsum(length) - length))
+        gram = _grams(stream, at)
+        order = np.argsort(gram)  # ascending questions stay near each other in memory
+        x = np.zeros(len(at))
+        x[order] = log10p[np.searchsorted(grams, gram[order])]
+        rows["score"].append(np.add.reduceat(x, np.cumsum(length) - length))
     join = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
     columns = [table["_id"].combine_chunks(), pa.array(_held_out(table["_id"])), join(rows["n_tokens"], pa.int64()), join(rows["n_known"], pa.int64()),
                pa.array(np.full(len(table), n), pa.int64()), join(rows["base_score"], pa.float64()), join(rows["score"], pa.float64())]
@@ -218,7 +359,7 @@ def _score(tree, n_train_texts, known, total, part, blocks, answers):
 _SCORE = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p_min: float = P_MIN, part_bytes: int = 2 * P.PART_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = MIN_COUNT, part_bytes: int = 2 * P.PART_BYTES) -> DataFrame:
     """Per row: held_out, n_tokens, n_known, train_tokens, base_score (word unigram) and score (suffix tree), both log10.
 
     A row is held out if crc32 of its id as text leaves 2 modulo 7; all others train.
@@ -227,15 +368,15 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     train as often as they occur; without training rows the base score is 0 for every text and the tree
     predicts uniformly; an empty table gives an empty one; further columns are ignored.
     """
-    spark = docs.sparkSession
     dealt = P.gather(docs, id_col, text_col, part_bytes=part_bytes)
     answers, known, total = P.count_keys(dealt, _training_words)
-    grams = dealt.visit(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).checkpoint()
-    tree = grow_tree(grams, p_min=p_min)
+    model = ask_model(docs, dealt, text_col, min_count)
+    answers = answers.select("part", "bucket", "n", "counts", F.lit(None).cast("binary").alias("log10p")).unionAll(
+        model.select("part", "bucket", "n", F.lit(None).cast("binary").alias("counts"), "log10p")
+    )
     crc = F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS))
     n_train_texts = docs.where(F.col(id_col).isNull() | (crc != HELD_OUT)).count()
-    model = spark.sparkContext.broadcast(tree)  # at most DEPTH / p_min contexts
-    return dealt.visit_with(answers, partial(_score, model, n_train_texts, known, total), _SCORE).withColumnRenamed("id", id_col)
+    return dealt.visit_with(answers, partial(_score, n_train_texts, known, total), _SCORE).withColumnRenamed("id", id_col)
 
 
 def op7_suffix_tree(spark, sf_dir: str) -> DataFrame:

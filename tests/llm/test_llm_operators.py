@@ -380,6 +380,68 @@ def test_base_scores_equal_brute_force(documents, edge):
         assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
+def brute_tree_scores(rows, min_count, weight=4.0, divergence=16.0):
+    """Every context counted in dictionaries, no share of the corpus, no limit on contexts."""
+    depth, near, end = suffix_tree_lm.DEPTH, suffix_tree_lm.NEAR, 256
+    out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    texts = [(i, [*" ".join(words(t)).encode(), end]) for i, t in rows]
+    counts = {}
+    for i, s in texts:
+        if not out(i):
+            line = [end] * depth + s
+            for k in range(depth, len(line)):
+                for d in range(depth + 1):
+                    counts.setdefault(tuple(line[k - d : k]), Counter())[line[k]] += 1
+    total = {c: x.total() for c, x in counts.items()}
+    root = counts.get((), Counter())
+    memo = {}
+
+    def p(c, x):
+        if (c, x) not in memo:
+            if not c:
+                memo[c, x] = (root[x] + 0.5) / (total.get((), 0) + 0.5 * 257)
+            else:
+                memo[c, x] = (counts.get(c, Counter())[x] + weight * p(c[1:], x)) / (total.get(c, 0) + weight)
+        return memo[c, x]
+
+    kept = {()}
+    for c, x in counts.items():
+        if total[c] >= min_count and (len(c) < near or sum(n * math.log2(n / total[c] / p(c[1:], b)) for b, n in x.items()) > divergence):
+            kept.update(c[k:] for k in range(len(c) + 1))
+    scores = []
+    for i, s in texts:
+        line, score = [end] * depth + s, 0.0
+        for k in range(depth, len(line)):
+            c = tuple(line[k - depth : k])
+            while c not in kept:
+                c = c[1:]
+            score += math.log10(p(c, line[k]))
+        scores.append((str(i), len(s), score))
+    return sorted(scores), kept
+
+
+@pytest.mark.parametrize("part_bytes", [20_000, 1 << 24])
+def test_suffix_tree_scores_equal_brute_force(documents, edge, part_bytes):
+    for table in (documents.limit(60), edge):
+        table = table.checkpoint()
+        want, kept = brute_tree_scores(rows_of(table), suffix_tree_lm.MIN_COUNT)
+        assert table.columns == edge.columns or max(map(len, kept)) == suffix_tree_lm.DEPTH
+        got = sorted((str(r.doc_id), r.score) for r in suffix_tree_lm.score_documents(table, part_bytes=part_bytes).collect())
+        want = sorted((i, x) for i, _, x in want)
+        assert [i for i, _ in got] == [i for i, _ in want]
+        assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-5)
+
+
+def test_suffix_tree_keeps_a_context_however_large_the_corpus():
+    # "qqqqqqqz" 50 times among 10^10 positions that never have a z otherwise
+    q, z, e = (np.uint64(ord(c)) for c in "qze")
+    context = sum(int(q) << 8 * k for k in range(suffix_tree_lm.DEPTH))
+    keys = np.array([context << 8 | int(e), context << 8 | int(z)], np.uint64)
+    near = [(np.array([context & ((1 << 8 * d) - 1) if d else 0], np.uint64) << np.uint64(8) | np.array([e, z]), np.array([10**10, 50])) for d in range(suffix_tree_lm.NEAR)]
+    scores = suffix_tree_lm.gram_scores(keys, np.array([0, 50]), near, suffix_tree_lm.MIN_COUNT, 4.0, 16.0)
+    assert 10.0 ** scores[1] > 0.9 and 10.0 ** scores[0] < 0.1
+
+
 def test_suffix_tree_is_a_distribution_and_uses_the_longest_suffix():
     # "ab" repeated: after b an a, after a a b
     depth = np.array([0, 0, 1, 1])
