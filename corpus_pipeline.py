@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.mixing import MAX_REPEAT, mix
 from riskloom.llm.packing import pack
 from riskloom.llm.quality_rules import keep_good
-from riskloom.llm.simhash_dedup import simhash_components
+from riskloom.llm.simhash_dedup import one_per_component
 from riskloom.llm.substring_dedup import dedup_substrings
 from riskloom.session import ensure_checkpoint_dir
 
@@ -21,9 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document of the smallest id (of equal ids, all)."""
-    found = simhash_components(docs).where("doc_id = component_id or doc_id is null").select("doc_id").distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(found.doc_id), "left_semi")
+    """Of each SimHash component one row: the smallest id's, null ids last; equal ids by text, equal rows once."""
+    return one_per_component(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -227,6 +227,12 @@ def similar_fingerprints(fps: DataFrame, reach: int = MAX_BITS, leaf_rows: int =
     return routed.groupBy("leaf").applyInArrow(partial(_leaf_links, reach), "a long, b long")
 
 
+def linked_fingerprints(fps: DataFrame, reach: int = MAX_BITS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """``fps`` (distinct longs ``fp``, further columns) with ``root``, one fingerprint per component."""
+    linked = components(similar_fingerprints(fps.select("fp"), reach, leaf_rows)).checkpoint()
+    return fps.join(linked, fps.fp == linked.node, "left").select(*[fps[c] for c in fps.columns], F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
                        reach: int = MAX_BITS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """(``id_col``, fp, component_id) of each row: components of fingerprints linked at ``reach`` or fewer differing bits.
@@ -241,13 +247,32 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ensure_checkpoint_dir(docs.sparkSession)
     rows = fingerprints(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "text", shingle, ["id"]).checkpoint()
     distinct = rows.groupBy("fp").agg(F.min("id").alias("least")).checkpoint()
-    linked = components(similar_fingerprints(distinct.select("fp"), reach, leaf_rows)).checkpoint()
-    own = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    own = linked_fingerprints(distinct, reach, leaf_rows)
     least = own.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = own.join(least, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
+                      reach: int = MAX_BITS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """Of each component of fingerprints one row, with the columns of ``docs``.
+
+    It is the first by id (null ids last), then by hashes of the text and of the whole row; of rows equal in all
+    of these, the first of the frozen table. Rows without id, repeated ids and repeated rows are rows like any
+    other. Rows are reduced to one per fingerprint before components come in, so a group of copies, however
+    large, is one row per map task.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+    whole = F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])  # a null alone does not change the hash
+    frozen = docs.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    keys = frozen.select("_row", F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_text"), whole.alias("_whole"), F.col(text_col).alias("text"))
+    rows = fingerprints(keys)
+    first = F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_text", "_whole", "_row")).alias("first")
+    distinct = rows.groupBy("fp").agg(first).checkpoint()
+    found = linked_fingerprints(distinct, reach, leaf_rows).groupBy("root").agg(F.min("first").alias("first"))
+    return frozen.join(found.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
+
+
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (4-word shingles, 4 bits)."""
     out = simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
