@@ -340,6 +340,19 @@ def test_search_edges(edge, empty):
     assert topk_search.search(edge, empty.select("doc_id", "text")).count() == 0
 
 
+@pytest.mark.parametrize("part_bytes", [20_000, 1 << 23])
+def test_search_on_the_edge_table_equals_brute_force(spark, edge, part_bytes):
+    asked = [(100 + k, t) for k, t in enumerate(sorted({t or "" for _, t in rows_of(edge)}))]
+    got = defaultdict(list)
+    for r in topk_search.search(edge, spark.createDataFrame(asked, "doc_id long, text string"), part_bytes=part_bytes).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.doc_id, r.score))
+    want = brute_bm25(rows_of(edge), asked)
+    assert sum(map(len, want.values())) > len(asked)
+    for q, hits in want.items():
+        assert [i for i, _ in got[q]] == [i for i, _ in hits]
+        assert [s for _, s in got[q]] == pytest.approx([s for _, s in hits], rel=1e-6, abs=2e-6)
+
+
 # --- mixing -------------------------------------------------------------------------------------
 
 def test_mixture_meets_its_target(documents, edge, empty):
