@@ -9,6 +9,7 @@ from riskloom.llm.sharding import op3_rendezvous
 from riskloom.llm.simhash_dedup import op10_simhash
 from riskloom.llm.substring_dedup import OP8_SQL, op8_substring_dedup
 from riskloom.llm.suffix_tree_lm import op7_suffix_tree
+from riskloom.llm.token_alignment import op13_token_alignment
 from riskloom.llm.token_files import op1_token_files
 from riskloom.llm.topk_search import op2_bm25_topk
 from riskloom.llm.warc import OP4_SQL, op4_arc_to_warc
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_concat_and_cut": op9_concat_and_cut,
     "op10_simhash": op10_simhash,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
