@@ -4,7 +4,7 @@ A text is read by a byte-level BPE (A) and a piece BPE with byte fallback (B). W
 same byte, the text is cut into groups; within a group every A token is linked with every B token.
 
 Pairs are counted over the corpus by external spill counting. Map tasks take blocks of documents, sort the block's
-pairs A-major and spill them, radix-partitioned by A id, as zstd runs of (pair, documents of the block) into a table of
+pairs A-major and spill them, radix-partitioned by (dealt) A id, as zstd runs of (pair, documents of the block) into a table of
 the shared folder, beside the block's own pair-document records in the same order. One task per radix merges its
 runs with heaps; as runs are sorted by A first, an A id's maximum is known when its last pair has passed,
 and the counts go back run by run in the order of the run, so a block needs no keys to read them.
@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import math
-import re
 import uuid
 from collections.abc import Iterator
 from functools import partial
@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.parts import pack_numbers, pack_sorted, unpack_numbers, unpack_sorted
-from riskloom.llm.tokens import _has_other_space, encoder
-from riskloom.llm.words import mix, text_buffer
 from riskloom.session import ensure_checkpoint_dir
 
-#: Text bytes of a block, entries of the piece cache after which a block starts with an empty one, entries of a frame of a run.
-BLOCK_BYTES, CACHE_ENTRIES, FRAME = 8 << 20, 200_000, 1 << 15
+#: Characters of a block, entries of a frame of a run, links of a group beyond which its ids are counted first.
+BLOCK_BYTES, FRAME, WIDE = 4 << 20, 1 << 15, 4096
+#: Fixed value: the split pattern of the byte-level tokenizer.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Text bytes for each radix, about (more radices where the session has more shuffle partitions).
 RADIX_BYTES = 256 << 20
 
@@ -47,132 +47,121 @@ _OUT = "id long, n_a long, n_b long, n_groups long, n_links long, n_best long, c
 _OUT_ARROW = pa.schema([("id", pa.int64()), *[(c, pa.int64()) for c in [*_STATS, "n_best", "count_sum"]], ("groups_sha256", pa.string())])
 
 
-def groups_of(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> list[tuple[list[int], list[int]]]:
-    """(A ids, B ids) of each group; both sides end at the same last byte."""
-    out, i, j, i0, j0 = [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        if a_ends[i] == b_ends[j]:
-            out.append((a[i0 : i + 1], b[j0 : j + 1]))
-            i, j = i + 1, j + 1
-            i0, j0 = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    return out
-
-
-def _links(groups) -> tuple[bytes, bytes, int]:
-    """Distinct linked pairs (A id in the high half), how often each is linked, and the sum of that."""
-    if all(len(x) == 1 == len(y) for x, y in groups):
-        found = [x[0] << 32 | y[0] for x, y in groups]
-        if len(set(found)) == len(found):
-            return np.array(found, np.uint64).tobytes(), np.ones(len(found), np.int64).tobytes(), len(found)
-    sums: dict[int, int] = {}
-    for x, y in groups:
-        ys = {t: y.count(t) for t in set(y)} if len(y) < 64 else dict(zip(*(c.tolist() for c in np.unique(y, return_counts=True))))
-        xs = {t: x.count(t) for t in set(x)} if len(x) < 64 else dict(zip(*(c.tolist() for c in np.unique(x, return_counts=True))))
-        for s, n in xs.items():
-            for t, m in ys.items():
-                key = s << 32 | t
-                sums[key] = sums.get(key, 0) + n * m
-    return np.array(list(sums), np.uint64).tobytes(), np.array(list(sums.values()), np.int64).tobytes(), sum(sums.values())
-
-
-class Aligner(dict):
-    """Codes of pieces of text; what is known of a code is in the lists.
-
-    Texts are cut before runs of ASCII white space, where both tokenizers always start a new token: the
-    byte-level one by its split pattern, the other as none of its pieces holds the run's first character
-    after another one (looked up in the vocabulary). A text with other white space is one piece.
-    """
+class Sides:
+    """Both tokenizers, and the bytes of their tokens."""
 
     def __init__(self, byte_bpe: str, piece_bpe: str) -> None:
-        super().__init__()
         import sentencepiece
-
-        self.a = encoder(byte_bpe, True, 0)
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.plain = Tokenizer.from_file(byte_bpe)
+        self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        char = {chr(b): b for b in printable}
+        char.update({chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)})
+        token = {i: bytes(char[c] for c in t) for t, i in self.plain.get_vocab(with_added_tokens=False).items() if all(c in char for c in t)}
+        self.a_bytes = [token.get(i, b"") for i in range(max(token) + 1)]
+        with open(byte_bpe) as f:
+            model = json.load(f)["model"]
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        # merges in the order of the ids they make are a rank table, which the faster library reads
+        self.ranked = None
+        if merged == sorted(set(merged)) and len(merged) + 256 == len(set(token.values()) - {b""}) - (b"<|endoftext|>" in token.values()):
+            ranks = {x: i for i, x in token.items() if x != b"<|endoftext|>"}
+            self.ranked = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_bpe)
-        self.merged = self.a.cache.learn  # ids of a text on its own
-        chars = {c: b for b, c in _byte_chars().items()}
-        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes(chars[c] for c in t) for t, i in vocabulary.items() if all(c in chars for c in t)}
-        n = self.b.get_piece_size()
-        pieces = [self.b.id_to_piece(i).replace("▁", " ") for i in range(n)]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.encode() for i, p in enumerate(pieces)]
-        special = {i for i in range(n) if self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_byte(i)}
-        inside = {c for i, p in enumerate(pieces) if i not in special for c in p.lstrip(" ")[0 if p[:1] == " " else 1 :]}
-        cuts = "".join(f"\\x{ord(c):02x}" for c in " \t\n\x0b\x0c\r" if c not in inside)
-        joins = "".join(f"\\x{ord(c):02x}" for c in " \t\n\x0b\x0c\r" if c in inside) or "[^\\x00-\\xff]"
-        self.cuts_space = "\\x20" in cuts
-        more = f"(?:[{joins}][ \\t-\\r]*(?:[^ \\t-\\r]+|\\Z))*" if joins[0] == "\\" else ""
-        self.pieces = re.compile(f"[ \\t-\\r]*[^ \\t-\\r]+{more}|[ \\t-\\r]+\\Z".encode()).findall
-        self.clear()
-
-    def clear(self) -> None:
-        super().clear()
-        self.stats, self.keys, self.times, self.groups, self.equal = [], [], [], [], []
-
-    def __missing__(self, piece: bytes) -> int:
-        code = self[piece] = self.add(piece)
-        return code
-
-    def add(self, piece: bytes) -> int:
-        """A new code for ``piece``, which begins with white space if it begins the text."""
-        text = piece.decode()
-        a = np.frombuffer(self.merged(piece), np.uint32).tolist()
-        b = self.b.encode(text[1:]) if text[0] == " " else self.b.encode(text)[1:]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        n = max(len(self.a_bytes), len(self.b_bytes))
+        self.b_bits = len(self.b_bytes).bit_length()
+        #: Each id as text before another id of its group and side, and as the last one.
+        self.inner, self.last_a, self.last_b = (np.array([b"%d%c" % (i, c) for i in range(n)], object) for c in b",|;")
+        #: A fixed shuffle of the A ids, so that ranges of it hold common and rare ones alike.
+        self.dealt = np.random.default_rng(13).permutation(len(self.a_bytes)).astype(np.int64)
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of space + text on both sides; None where a side does not give back its bytes."""
+        whole = " " + text
         try:
-            a_parts = [self.a_bytes[i] for i in a]
-        except KeyError:
-            a_parts = []
-        b_parts = [self.b_bytes[i] for i in b]
-        # a blank alone: the piece tokenizer writes no prefix for an empty text
-        if text == " ":
-            b = [self.b.piece_to_id("▁")]
-            b_parts = [self.b_bytes[b[0]]]
-        equal = b"".join(a_parts) == piece == b"".join(b_parts)
-        groups = []
-        if equal:
-            ends, at = ([], []), 0
-            for side, parts in enumerate((a_parts, b_parts)):
-                at = 0
-                for p in parts:
-                    at += len(p)
-                    ends[side].append(at)
-            groups = groups_of(a, ends[0], b, ends[1])
-        keys, times, n_links = _links(groups) if groups else (b"", b"", 0)
-        self.stats.append((len(a), len(b), len(groups), n_links))
-        self.keys.append(keys)
-        self.times.append(times)
-        self.groups.append(";".join([",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups]).encode())
-        self.equal.append(equal)
-        return len(self.stats) - 1
-
-    def codes(self, text: bytes) -> list[int]:
-        """Codes of the pieces of space + text; none for the empty text."""
-        if not text:
-            return []
-        whole = b" " + text
-        if not self.cuts_space or _has_other_space(text):
-            return [self.add(whole)]
-        return list(map(self.__getitem__, self.pieces(whole)))
-
-
-def _byte_chars() -> dict[int, str]:
-    """The character that stands for each byte in byte-level vocabularies: itself if printable, else the next from U+0100."""
-    from riskloom.llm.tokens import _BYTE_CHARS
-
-    return {b: chr(_BYTE_CHARS.get(b, b)) for b in range(256)}
-
-
-_ALIGNERS: dict[tuple, Aligner] = {}
-
-
-def _aligner(*paths: str) -> Aligner:
-    if paths not in _ALIGNERS:
-        _ALIGNERS[paths] = Aligner(*paths)
-    return _ALIGNERS[paths]
+            a = self.ranked.encode_ordinary(whole) if self.ranked else None
+        except BaseException as e:  # its regex engine gives up on very long runs of one kind of character
+            if type(e).__name__ != "PanicException":
+                raise
+            a = None
+        a = self.plain.encode(whole, add_special_tokens=False).ids if a is None else a
+        b = self.b.encode(text)
+        raw = whole.encode()
+        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+            return None
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+
+_SIDES: dict[tuple, Sides] = {}
+
+
+def _sides(*paths: str) -> Sides:
+    if paths not in _SIDES:
+        _SIDES[paths] = Sides(*paths)
+    return _SIDES[paths]
+
+
+class Groups:
+    """Groups of some texts laid one after another: numbers of their tokens, groups and links per text."""
+
+    def __init__(self, own: Sides, a: list[np.ndarray], b: list[np.ndarray]) -> None:
+        self.own, self.n_texts = own, len(a)
+        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+        self.a, self.b = (np.concatenate([np.zeros(0, np.int64), *side]) for side in (a, b))
+        a_end, b_end = np.cumsum(own.a_sizes[self.a]), np.cumsum(own.b_sizes[self.b])
+        cut = a_end[np.isin(a_end, b_end, assume_unique=True)]
+        of_a, of_b = np.searchsorted(cut, a_end), np.searchsorted(cut, b_end)
+        self.of_a = of_a
+        self.size_a, self.size_b = np.bincount(of_a, minlength=len(cut)), np.bincount(of_b, minlength=len(cut))
+        self.end_a, self.end_b = np.cumsum(self.size_a), np.cumsum(self.size_b)
+        self.text_of_a = np.repeat(np.arange(self.n_texts), self.n_a)
+        self.text = self.text_of_a[self.end_a - 1]  # a text's last bytes end a group
+        self.n_groups = np.bincount(self.text, minlength=self.n_texts)
+        self.n_links = np.zeros(self.n_texts, np.int64)
+        np.add.at(self.n_links, self.text, self.size_a * self.size_b)
+
+    def digests(self) -> list[str]:
+        """SHA-256 of each text's ``a1,a2|b1;a3|b2,b3``."""
+        own, n = self.own, len(self.a) + len(self.b)
+        flat = np.empty(n, object)
+        tail_a, tail_b = np.zeros(len(self.a), bool), np.zeros(len(self.b), bool)
+        tail_a[self.end_a - 1] = tail_b[self.end_b - 1] = True
+        place = np.arange(len(self.a)) + (self.end_b - self.size_b)[self.of_a]
+        flat[place] = np.where(tail_a, own.last_a[self.a], own.inner[self.a])
+        free = np.ones(n, bool)
+        free[place] = False
+        flat[free] = np.where(tail_b, own.last_b[self.b], own.inner[self.b])
+        at = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
+        return [hashlib.sha256(b"".join(flat[i:j].tolist())[:-1]).hexdigest() for i, j in zip(at[:-1], at[1:])]
+
+    def records(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (pair, text) in ascending order, and the links of each: pairs are dealt A id << b_bits | B id."""
+        own, many = self.own, self.size_a * self.size_b > WIDE
+        n_b = self.size_b[self.of_a]
+        narrow = np.flatnonzero(~many[self.of_a])
+        n = n_b[narrow]
+        first = (self.end_b - self.size_b)[self.of_a[narrow]]
+        b = self.b[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        a, text = np.repeat(own.dealt[self.a[narrow]], n), np.repeat(self.text_of_a[narrow], n)
+        keys, times = [((a << own.b_bits) | b) * self.n_texts + text], [np.ones(len(a), np.int64)]
+        for g in np.flatnonzero(many).tolist():
+            x, n_x = np.unique(self.a[self.end_a[g] - self.size_a[g] : self.end_a[g]], return_counts=True)
+            y, n_y = np.unique(self.b[self.end_b[g] - self.size_b[g] : self.end_b[g]], return_counts=True)
+            keys.append((((own.dealt[x] << own.b_bits)[:, None] | y) * self.n_texts + self.text[g]).ravel())
+            times.append(np.outer(n_x, n_y).ravel())
+        if len(keys) == 1:
+            key, links = np.unique(keys[0], return_counts=True)
+        else:
+            key, at = np.unique(np.concatenate(keys), return_inverse=True)
+            links = np.zeros(len(key), np.int64)
+            np.add.at(links, at, np.concatenate(times))
+        return key // max(self.n_texts, 1), key % max(self.n_texts, 1), links
 
 
 def _pack_frames(keys: np.ndarray, counts: np.ndarray) -> pa.Array | bytes:
@@ -193,88 +182,50 @@ def _frames(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at += k + c
 
 
-def radix_of(a: np.ndarray, radices: int) -> np.ndarray:
-    return (mix(a.astype(np.uint64) + np.uint64(1)) % np.uint64(radices)).astype(np.int64)
-
-
-def _block_rows(own: Aligner, radices: int, block: int, ids: pa.Array, texts: list[bytes]) -> pa.RecordBatch:
+def _block_rows(own: Sides, radices: int, block: int, ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
     """The rows that a block of documents spills: its records (kind 0) and its runs (kind 1)."""
-    codes, n_pieces, shas = [], np.zeros(len(texts), np.int64), []
-    for i, text in enumerate(texts):
-        found = own.codes(text)
-        good = bool(found) and all([own.equal[c] for c in found])
-        shas.append(hashlib.sha256(b";".join([own.groups[c] for c in found])).hexdigest() if good else "")
-        if good:
-            codes.append(np.array(found, np.int64))
-            n_pieces[i] = len(found)
-    flat = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-    doc = np.repeat(np.arange(len(texts)), n_pieces)
-    stats = np.zeros((len(texts), 4), np.int64)
-    np.add.at(stats, doc, np.array(own.stats, np.int64).reshape(-1, 4)[flat])
-    # distinct (document, piece) with how often, then their pairs
-    width = np.int64(len(own.stats) + 1)
-    both, often = np.unique(doc * width + flat, return_counts=True)
-    doc, flat = both // width, both % width
-    used, at = np.unique(flat, return_inverse=True)
-    keys = [np.frombuffer(own.keys[c], np.uint64) for c in used.tolist()]
-    sizes = np.array([len(k) for k in keys], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-    times = np.frombuffer(b"".join([own.times[c] for c in used.tolist()]), np.int64)
-    # pair numbers in radix order, A-major within a radix
-    pairs = np.unique(keys)
-    radix = radix_of(pairs >> np.uint64(32), radices)
-    order = np.argsort(radix, kind="stable")
-    place = np.empty(len(pairs), np.int64)
-    place[order] = np.arange(len(pairs))
-    number = place[np.searchsorted(pairs, keys)]
-    n = sizes[at]
-    source = np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    record = number[source] * np.int64(len(texts) + 1) + np.repeat(doc, n)
-    links = times[source] * np.repeat(often, n)
-    by = np.argsort(record, kind="stable")
-    record, links = record[by], links[by]
-    first = np.flatnonzero(np.append(True, record[1:] != record[:-1])) if len(record) else np.zeros(0, np.int64)
-    record, links = record[first], (np.add.reduceat(links, first) if len(first) else links)
-    per_pair = np.bincount(record // np.int64(len(texts) + 1), minlength=len(pairs))
-    kept = pa.table({
-        "id": ids, **{c: pa.array(stats[:, k]) for k, c in enumerate(_STATS)}, "groups_sha256": pa.array(shas, pa.string()),
-    })
+    sides = [own.encode(t) if t else None for t in texts]
+    good = np.array([i for i, x in enumerate(sides) if x is not None], np.int64)
+    groups = Groups(own, [sides[i][0] for i in good], [sides[i][1] for i in good])
+    del sides
+    shas = [""] * len(texts)
+    for i, sha in zip(good.tolist(), groups.digests()):
+        shas[i] = sha
+    stats = np.zeros((4, len(texts)), np.int64)
+    stats[:, good] = groups.n_a, groups.n_b, groups.n_groups, groups.n_links
+    pair, text, links = groups.records()
+    first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
+    pairs, per_pair = pair[first], np.diff(np.append(first, len(pair)))
+    kept = pa.table({"id": ids, **{c: pa.array(stats[k]) for k, c in enumerate(_STATS)}, "groups_sha256": pa.array(shas, pa.string())})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, kept.schema) as out:
         out.write_table(kept)
-    parts = [sink.getvalue().to_pybytes(), pack_numbers(per_pair.astype(np.uint32)),
-             pack_numbers((record % np.int64(len(texts) + 1)).astype(np.uint32)), pack_numbers(links.astype(np.int64))]
-    head = np.array([len(pairs), len(record), *[len(p) for p in parts]], np.int64).tobytes()
-    rows = [{"kind": 0, "block": block, "radix": -1, "n": len(pairs),
-             "data": zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))}]
-    edges = np.searchsorted(radix[order], np.arange(radices + 1))
+    parts = [sink.getvalue().to_pybytes(), pack_numbers(per_pair.astype(np.uint32)), pack_numbers(good[text].astype(np.uint32)), pack_numbers(links)]
+    head = np.array([len(pairs), len(pair), *[len(p) for p in parts]], np.int64).tobytes()
+    rows = [{"kind": 0, "block": block, "radix": -1, "n": len(pairs), "data": zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))}]
+    side = pairs >> own.b_bits
+    radix = side * radices // len(own.dealt)  # rises with the pair
+    keys = (side << 32 | pairs & ((1 << own.b_bits) - 1)).astype(np.uint64)
+    edges = np.searchsorted(radix, np.arange(radices + 1))
     for r in np.unique(radix).tolist():
         i, j = int(edges[r]), int(edges[r + 1])
-        rows.append({"kind": 1, "block": block, "radix": r, "n": j - i, "data": _pack_frames(pairs[order[i:j]], per_pair[i:j])})
+        rows.append({"kind": 1, "block": block, "radix": r, "n": j - i, "data": _pack_frames(keys[i:j], per_pair[i:j])})
     return pa.RecordBatch.from_pylist(rows, schema=_SPILL_ARROW)
 
 
 def _spill(paths: tuple[str, str], radices: int, block_bytes: int, batches: Iterator[pa.RecordBatch]):
-    own, context = _aligner(*paths), TaskContext.get()
+    own, context = _sides(*paths), TaskContext.get()
     block, ids, texts, held = (context.partitionId() if context else 0) << 32, [], [], 0
     for batch in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
-        raw, offsets = text_buffer(batch.column(1))
-        data, at = raw.tobytes(), offsets.tolist()
-        for i, own_id in enumerate(batch.column(0).to_pylist()):
-            ids.append(own_id)
-            texts.append(data[at[i] : at[i + 1]])
-            held += at[i + 1] - at[i] + 64
+        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids.append(i)
+            texts.append(text)
+            held += len(text or "") + 64
             if held > block_bytes:
                 yield _block_rows(own, radices, block, pa.array(ids, pa.int64()), texts)
                 block, ids, texts, held = block + 1, [], [], 0
-                if len(own.stats) > CACHE_ENTRIES:
-                    own.clear()
-                    own.a.cache.clear()
     if ids:
         yield _block_rows(own, radices, block, pa.array(ids, pa.int64()), texts)
-    own.clear()
-    own.a.cache.clear()
     pa.default_memory_pool().release_unused()
 
 
@@ -384,8 +335,8 @@ def align(docs: DataFrame, byte_bpe: str, piece_bpe: str, id_col: str = "doc_id"
 
     Defined cases: null and empty texts, and texts that either side cannot give back byte for byte (the piece side
     reads U+2581 as a space), have zeros and an empty digest, and count nowhere; rows of one id, equal or not, are documents of
-    their own; null ids are kept; an empty table gives an empty one; further columns are ignored. A text is tokenized
-    piece by piece, however long; what a task holds is a block of about ``block_bytes`` of text, or one longer text.
+    their own; null ids are kept; an empty table gives an empty one; further columns are ignored. What a
+    task holds is a block of about ``block_bytes`` characters, or one longer text.
     """
     spark = docs.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/alignment-{uuid.uuid4().hex}"

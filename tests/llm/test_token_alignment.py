@@ -70,7 +70,7 @@ def edge_rows():
     long = " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in rng.integers(1, 12, 20_000))
     texts = [None, "", " ", "  ", "\n", " \r\n x", "a\tb\n  c   d  ", "x; \r\ny();\r\n}\r\n\r\n", "x▁y", "x ▁ y", "<s> hi </s> <unk> <0x41>", "say <|endoftext|> now",
              "café 中文 \U0001f600 q 　 z\x1c \x85", "é ﬁx ① \x00 end", "Hello  world", "Hello  world", "don't'll 12345 --- !!! ", "\r", "a\r", " a", long, long + " tail",
-             "​﻿ zero", "=" * 500, "ab" * 400, "\t\tint main() {\n\t\treturn 0;\n\t}\n"]
+             "​﻿ zero", "=" * 500, "ab" * 400, "\t\tint main() {\n\t\treturn 0;\n\t}\n", "a" + " " * 30_000 + "b"]
     ids = [*range(len(texts) - 3), None, None, 5]
     return [(i, t, 7, "n", "b", 1) for i, t in zip(ids, texts)] + [(14, "Hello  world", 7, "n", "b", 1)]
 
@@ -109,3 +109,12 @@ def test_runs_merge_frame_by_frame(monkeypatch, frame):
     for (keys, _), (total, top) in zip(runs, T.merge_runs([T._pack_frames(k, c) for k, c in runs])):
         assert total.tolist() == [sums[k] for k in keys.tolist()]
         assert top.tolist() == [sums[k] == best[k >> 32] for k in keys.tolist()]
+
+
+def test_wide_groups_are_counted_alike(monkeypatch):
+    own = T.Sides(A, B)
+    sides = [x for x in (own.encode(r[1]) for r in edge_rows() if r[1]) if x is not None]
+    groups = T.Groups(own, [a for a, _ in sides], [b for _, b in sides])
+    plain = [x.tolist() for x in groups.records()]
+    monkeypatch.setattr(T, "WIDE", 1)
+    assert [x.tolist() for x in groups.records()] == plain
