@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskloom.llm.collocations import OP12_SQL, op12_collocations
 from riskloom.llm.mixing import op6_temperature_mixing
 from riskloom.llm.packing import op9_concat_and_cut
 from riskloom.llm.quality_rules import op5_quality_rules
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_concat_and_cut": op9_concat_and_cut,
     "op10_simhash": op10_simhash,
+    "op12_collocations": op12_collocations,
     "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
     "op4_arc_to_warc": OP4_SQL,
     "op8_substring_dedup": OP8_SQL,
+    "op12_collocations": OP12_SQL,
 }
