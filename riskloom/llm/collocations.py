@@ -49,9 +49,9 @@ _TABLE = bytes(_TABLE)
 
 _BLOCK = "lang string, n_words long, words binary, names binary, codes binary, shard int"
 _BLOCK_ARROW = pa.schema([("lang", pa.string()), ("n_words", pa.int64()), ("words", pa.binary()), ("names", pa.binary()), ("codes", pa.binary()), ("shard", pa.int32())])
-_COUNT = "lang string, k int, phrase string, name long, start int, n long"
-_COUNT_ARROW = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("name", pa.int64()), ("start", pa.int32()), ("n", pa.int64())])
-_STATE = "lang string, k int, phrase string, name long, start int, n long, fresh boolean, done boolean"
+_COUNT = "lang string, phrase string, start int, n long"
+_COUNT_ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("start", pa.int32()), ("n", pa.int64())])
+_STATE = "lang string, phrase string, start int, n long, done boolean"
 
 
 class _Codes(dict):
@@ -74,14 +74,19 @@ def _slices(text: bytes) -> Iterator[bytes]:
     yield text[i:]
 
 
+def _word_names(lang: str, words: list[bytes]) -> np.ndarray:
+    seed = lang.encode() + b"\0"
+    return np.array([xxhash.xxh3_64_intdigest(seed + w) for w in words], np.uint64)
+
+
 def _block(lang: str, texts: list[bytes], shard: int) -> dict:
     codes, out = _Codes({b".": 0}), array("i")
     for text in texts:
         for piece in _slices(text.translate(_TABLE)):
             out.extend(map(codes.__getitem__, piece.replace(b".", b" . ").split()))
         out.append(0)
-    words, seed = list(codes)[1:], lang.encode() + b"\0"
-    names = np.array([xxhash.xxh3_64_intdigest(seed + w) for w in words], np.uint64)
+    words = list(codes)[1:]
+    names = _word_names(lang, words)
     flat = np.frombuffer(out, np.int32)
     pack = zstandard.ZstdCompressor(level=1).compress
     return {"lang": lang, "n_words": int((flat > 0).sum()), "words": pack(b" ".join(words)), "names": names.tobytes(), "codes": pack(flat.tobytes()), "shard": shard}
@@ -123,19 +128,18 @@ def _count_block(step: int, shards: int, known: np.ndarray, block: dict) -> Iter
     code = np.frombuffer(unpack(block["codes"]), np.int32)
     strings = pa.array(words[: len(names)], pa.binary())
 
-    def rows(k, at, name, start, n):
+    def rows(k, at, start, n):
         parts = [strings.take(pa.array(code[at + j])) for j in range(k)]
         phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()))
         return pa.RecordBatch.from_arrays([
-            pa.repeat(pa.scalar(block["lang"]), len(at)), pa.repeat(pa.scalar(k, pa.int32()), len(at)), phrase.cast(pa.string()),
-            pa.array(name.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64)),
+            pa.repeat(pa.scalar(block["lang"]), len(at)), phrase.cast(pa.string()), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64)),
         ], schema=_COUNT_ARROW)
 
     if step < shards:
         n = np.bincount(code, minlength=len(names))[1:]
         first = np.zeros(len(names), np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
-        yield rows(1, first[1:], names[1:], np.zeros(len(n)), n)
+        yield rows(1, first[1:], np.zeros(len(n)), n)
     hot = known[names & mask].astype(np.int64)
     hot[0] = NEVER
     at, reach, name = np.arange(len(code)), hot[code], None  # where phrases of k - 1 words start, and since when they count as reached
@@ -159,7 +163,7 @@ def _count_block(step: int, shards: int, known: np.ndarray, block: dict) -> Iter
             place = at[now]
             key = pair[place] if k == 2 else pair[place] * len(names) + code[place + 2] if k == 3 else pair[place] * n_pairs + pair[place + 2]
             _, first, n = np.unique(key, return_index=True, return_counts=True)
-            yield rows(k, place[first], name[now[first]], start[now[first]], n)
+            yield rows(k, place[first], start[now[first]], n)
         reach = known[name & mask].astype(np.int64)
 
 
@@ -170,12 +174,29 @@ def _count(step: int, shards: int, known, batches: Iterator[pa.RecordBatch]):
             yield from _count_block(step, shards, table, batch.slice(k, 1).to_pylist()[0])
 
 
-def _pack_slots(batches: Iterator[pa.RecordBatch]):
-    slots = np.sort(np.concatenate([np.zeros(0, np.int64), *[b.column(0).to_numpy() for b in batches]]))
-    data = zstandard.ZstdCompressor(level=1).compress(np.diff(slots, prepend=np.int64(0)).astype(np.uint32).tobytes())
+def _slots(slots: int, batches: Iterator[pa.RecordBatch]):
+    """The distinct slots of some phrases, packed."""
+    found = [np.zeros(0, np.uint64)]
+    for batch in batches:
+        by_kind: dict[tuple, list] = {}
+        for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words = phrase.encode().split(b" ")
+            by_kind.setdefault((lang, len(words)), []).append(words)
+        for (lang, _), phrases in by_kind.items():
+            columns = [_word_names(lang, list(x)) for x in zip(*phrases)]
+            name = columns[0]
+            for word in columns[1:]:
+                name = _join_names(name, word)
+            found.append(np.unique(name & np.uint64(slots - 1)))
+    distinct = np.unique(np.concatenate(found))
+    data = zstandard.ZstdCompressor(level=1).compress(np.diff(distinct, prepend=np.uint64(0)).astype(np.uint32).tobytes())
     yield pa.RecordBatch.from_pydict({"slots": pa.array([data], pa.binary())})
 
 
+def _words_of(phrase: str) -> Column:
+    return F.length(phrase) - F.length(F.replace(F.col(phrase), F.lit(" "), F.lit(""))) + 1
+
+
 def count_phrases(docs: DataFrame, threshold: int, lang_col: str = "lang", text_col: str = "text", shards: int = SHARDS,
                   slots: int = SLOTS, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, n) of every word and every phrase of up to LONGEST words with ``threshold`` occurrences or more
@@ -192,18 +213,15 @@ def count_phrases(docs: DataFrame, threshold: int, lang_col: str = "lang", text_
     while step < max(shards, last + shards + 1):
         sent = spark.sparkContext.broadcast(known.tobytes())  # as large as the fixed array
         shard = blocks.where(F.col("shard") == step % shards).select("lang", "words", "names", "codes")
-        counted = shard.mapInArrow(partial(_count, step, shards, sent), _COUNT).withColumn("before", F.lit(0))
-        both = state.select("lang", "k", "phrase", "name", "start", "n", F.col("n").alias("before")).unionAll(counted.select("lang", "k", "phrase", "name", "start", "n", "before"))
-        sums = both.groupBy("lang", "k", "phrase", "name", "start").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
-        done = F.col("start") + F.lit(shards - 1) <= F.lit(step)
-        sums = sums.withColumn("fresh", (F.col("n") >= threshold) & (F.col("before") < threshold) & (F.col("k") < LONGEST)).withColumn("done", done)
-        sums = sums.where((F.col("n") >= threshold) | ~F.col("done")).drop("before")
+        counted = shard.mapInArrow(partial(_count, step, shards, sent), _COUNT)
+        sums = state.select("lang", "phrase", "start", "n").unionAll(counted).groupBy("lang", "phrase").agg(F.max("start").alias("start"), F.sum("n").alias("n"))
+        sums = sums.withColumn("done", F.col("start") + F.lit(shards - 1) <= F.lit(step)).where((F.col("n") >= threshold) | ~F.col("done"))
         sums.write.partitionBy("done").parquet(f"{folder}/state/step={step}")
         sent.destroy()
         written = spark.read.schema(_STATE).parquet(f"{folder}/state/step={step}")
-        fresh = written.where("fresh").select(F.pmod("name", F.lit(slots)).alias("slot")).distinct()
-        # distinct slots of the fixed array: bounded by it
-        for r in fresh.mapInArrow(_pack_slots, "slots binary").collect():
+        fresh = written.where((F.col("n") >= threshold) & (_words_of("phrase") < LONGEST)).select("lang", "phrase")
+        # slots of the fixed array, distinct in each task: bounded by it
+        for r in fresh.mapInArrow(partial(_slots, slots), "slots binary").collect():
             found = np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(r["slots"]), np.uint32), dtype=np.int64)
             found = found[known[found] == NEVER]
             if len(found):
@@ -211,7 +229,7 @@ def count_phrases(docs: DataFrame, threshold: int, lang_col: str = "lang", text_
                 last = step
         state = written.where(~F.col("done"))
         step += 1
-    counts = spark.read.schema(f"{_STATE}, step int").parquet(f"{folder}/state").where("done").select("lang", "k", "phrase", "n")
+    counts = spark.read.schema(f"{_STATE}, step int").parquet(f"{folder}/state").where("done").select("lang", _words_of("phrase").alias("k"), "phrase", "n")
     return counts, blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
 
@@ -271,7 +289,7 @@ WITH p AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM p),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
 c AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS n
       FROM w, unnest([1, 2, 3, 4]) AS ks(k), unnest(range(1, len(w) - k + 2)) AS u(i) GROUP BY ALL),
 t AS (SELECT lang, sum(n)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
