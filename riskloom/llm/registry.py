@@ -13,6 +13,7 @@ from riskloom.llm.suffix_tree_lm import op7_suffix_tree
 from riskloom.llm.token_alignment import op13_token_alignment
 from riskloom.llm.token_files import op1_token_files
 from riskloom.llm.topk_search import op2_bm25_topk
+from riskloom.llm.url_filter import op11_url_filter
 from riskloom.llm.warc import OP4_SQL, op4_arc_to_warc
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_concat_and_cut": op9_concat_and_cut,
     "op10_simhash": op10_simhash,
+    "op11_url_filter": op11_url_filter,
     "op12_collocations": op12_collocations,
     "op13_token_alignment": op13_token_alignment,
 }
