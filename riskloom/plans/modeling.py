@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators import drift, features, governance, metrics, splits, weights
+from riskloom.operators import boosting, drift, features, governance, metrics, splits, weights
 from riskloom.plans import catalog
 from riskloom.plans.catalog import query
 from riskloom.session import ensure_checkpoint_dir
@@ -212,6 +212,39 @@ def bureau_estimators(n_train: int) -> dict:
     }
 
 
+#: Rounds that the query fits and counts again; ``boosting.LeafwiseParams`` has the reference's 500, which take five times as long.
+LEAFWISE_ROUNDS = 100
+
+_LEAFWISE_SQL = f"""WITH {catalog.BUREAU_SPLIT_SQL},
+t AS (SELECT COUNT(*) AS n FROM bs WHERE split = 'train')
+SELECT CAST(tree AS INTEGER) AS tree, n AS n_rows, CAST(0 AS BIGINT) AS n_differences, CAST(0 AS BIGINT) AS n_unsolved, TRUE AS in_limits
+FROM t, range(0, {{rounds}}) AS r(tree)"""
+
+
+@query("ml6_leafwise_trees", _LEAFWISE_SQL.format(rounds=LEAFWISE_ROUNDS), ("bureau",))
+def q_leafwise_trees(spark, sf):
+    """ML-6: leaf-wise boosting with the reference's settings (31 leaves, L2 of 5, 0.9 of the columns; the first LEAFWISE_ROUNDS of
+    its 500 rounds) on the training window. Per tree, from the training rows counted again through the fitted trees: their number, leaves whose rows, gradient or Hessian
+    sums are not those of the fit, leaves whose value does not solve the leaf's equation (to 1e-9), and whether leaves and rows per leaf
+    are within the limits."""
+    d = bureau_design(spark, sf).where(F.col("split") == "train").select(vector_to_array("features").alias("features"), "defaulted")
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    params = boosting.LeafwiseParams(rounds=LEAFWISE_ROUNDS)
+    model = boosting.fit_leafwise(d, "defaulted", params=params)
+    ensure_checkpoint_dir(spark)
+    again = model.leaf_sums(d, "features", "defaulted").checkpoint(eager=True)
+    d.unpersist()
+    fitted = model.leaf_table(spark).withColumnsRenamed({c: f"fit_{c}" for c in ("n", "gradient", "hessian")})
+    both = fitted.join(again, ["tree", "leaf"], "full")
+    same = F.coalesce((F.col("fit_n") == F.col("n")) & (F.col("fit_gradient") == F.col("gradient")) & (F.col("fit_hessian") == F.col("hessian")), F.lit(False))
+    point = F.lit(float(boosting.POINT))
+    left = F.col("value") * (F.col("hessian") / point + F.lit(params.reg_lambda)) + F.lit(params.learning_rate) * F.col("gradient") / point
+    return both.groupBy("tree").agg(
+        F.sum("n").alias("n_rows"), F.count_if(~same).alias("n_differences"),
+        F.count_if(F.abs(left) > 1e-9 * (1 + F.abs(F.col("gradient")) / point)).alias("n_unsolved"),
+        ((F.count("*") <= params.leaves) & (F.min("n") >= F.when(F.count("*") > 1, params.min_rows).otherwise(0))).alias("in_limits"))
+
+
 @query("ml8_model_table")
 def q_model_table(spark, sf):
     """ML-4/5/6/8 + EV-10 + SRT-4: train the three candidates on the training window; per model
