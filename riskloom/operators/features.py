@@ -207,17 +207,21 @@ class LinearAttribution:
             for c in self.coefficients
         ])).alias("_x")).select("_x.*")
 
-    def top_reasons(self, df: DataFrame, key: str, k: int = 2) -> DataFrame:
-        """(key, rank, feature, contribution) of the k largest contributions per row.
-
-        The ranking is a sort of a fixed-length array inside each row: no shuffle.
-        """
+    def top(self, k: int = 2):
+        """Array of (neg, feature, contribution): the k largest contributions of a row, equal ones by feature."""
         entries = F.array(*[
             F.struct((-self.contribution(c)).alias("neg"), F.lit(c).alias("feature"),
                      self.contribution(c).alias("contribution"))
             for c in self.coefficients
         ])
-        top = df.select(key, F.slice(F.sort_array(entries), 1, k).alias("_top"))
+        return F.slice(F.sort_array(entries), 1, k)
+
+    def top_reasons(self, df: DataFrame, key: str, k: int = 2) -> DataFrame:
+        """(key, rank, feature, contribution) of the k largest contributions per row.
+
+        The ranking is a sort of a fixed-length array inside each row: no shuffle.
+        """
+        top = df.select(key, self.top(k).alias("_top"))
         return top.select(key, F.posexplode("_top").alias("_r", "_e")).select(
             key, (F.col("_r") + 1).cast("int").alias("rank"), F.col("_e.feature").alias("feature"),
             F.col("_e.contribution").alias("contribution"),

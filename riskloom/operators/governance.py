@@ -16,6 +16,7 @@ from riskloom.functions.columns import sigmoid, linear_score
 from riskloom.sources.policy import GATE_AUC_MIN, GATE_KS_MIN, GATE_PSI_MAX, REASON_RULES
 
 DIGITS = 9
+EXPLANATIONS = "array<struct<feature:string,contribution:double,reason:string>>"
 
 
 def reason_codes(rules: Sequence[tuple] = REASON_RULES) -> Column:
@@ -117,10 +118,23 @@ def best_by(metric_rows: DataFrame, name_col: str = "model", metric_col: str = "
     )
 
 
+def explanations(top: Column, rules: Sequence[tuple] = REASON_RULES) -> Column:
+    """GOV-5: (feature, contribution, reason) of each entry of ``top``; the reason is the policy's candidate for the
+    feature, null where the policy has none."""
+    def reason(feature: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for name, _desc, of, _threshold in reversed(rules):
+            out = F.when(feature == of, F.lit(name)).otherwise(out)
+        return out
+
+    return F.transform(top, lambda e: F.struct(
+        e["feature"].alias("feature"), e["contribution"].alias("contribution"), reason(e["feature"]).alias("reason")))
+
+
 def audit_events(decided: DataFrame, key: str, request_cols: Sequence[str], features_used: Sequence[str],
-                 event_time: Column | None = None, latency_ms: Column | None = None) -> DataFrame:
+                 event_time: Column | None = None, latency_ms: Column | None = None, explanations: Column | None = None) -> DataFrame:
     """GOV-5: audit-log rows (event_id, timestamp, model_version, request, response, features_used,
-    reason_codes, latency_ms). The id is a hash of version, key and request time, so a replay
+    explanations, reason_codes, latency_ms). The id is a hash of version, key and request time, so a replay
     of the same decision yields the same id (idempotent sinks, de-duplication).
     """
     ts = event_time if event_time is not None else F.current_timestamp()
@@ -131,6 +145,7 @@ def audit_events(decided: DataFrame, key: str, request_cols: Sequence[str], feat
         F.struct(*[F.col(c) for c in request_cols]).alias("request"),
         F.struct(F.col(key), F.col("score"), F.col("reason_codes")).alias("response"),
         F.array(*[F.lit(f) for f in features_used]).alias("features_used"),
+        (explanations if explanations is not None else F.array().cast(EXPLANATIONS)).alias("explanations"),
         F.col("reason_codes"),
         (latency_ms if latency_ms is not None else F.lit(None).cast("double")).alias("latency_ms"),
     )

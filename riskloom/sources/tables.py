@@ -28,13 +28,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Per-order aggregate of lineitem (max quantity / 50, lines, max discount, max tax, returns)."""
-    return _order_lines(spark, sf_dir)
+    return _order_lines(spark, sf_dir, lineitem)
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+def _order_lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    li = lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")
     return li.groupBy("l_orderkey").agg(
         (F.max("l_quantity") / F.lit(50)).alias("util"),
         F.count(F.lit(1)).alias("n_lines"),
