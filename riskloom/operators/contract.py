@@ -79,3 +79,25 @@ def key_summary(df: DataFrame, key: str = CONTRACT_PRIMARY_KEY) -> DataFrame:
         F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).cast("long").alias("duplicated_keys"),
         F.sum(F.when(F.col(key).isNotNull() & (F.col("n") > 1), F.col("n")).otherwise(0)).cast("long").alias("rows_with_duplicated_key"),
     )
+
+
+def with_violations(df: DataFrame, fields: Sequence[tuple] = CONTRACT_FIELDS, col: str = "violations") -> DataFrame:
+    """GOV-1: every row with the array of (field, rule) that it breaks, empty for a clean row; one projection."""
+    hits = F.array(*[
+        F.when(F.coalesce(p, F.lit(False)), F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule"))) for f, r, p in rule_predicates(df, fields)
+    ])
+    return df.withColumn(col, F.filter(hits, lambda x: x.isNotNull()))
+
+
+def write_split(df: DataFrame, folder: str, fields: Sequence[tuple] = CONTRACT_FIELDS) -> tuple[DataFrame, DataFrame]:
+    """GOV-1: clean rows and broken rows written in one pass (``folder``/clean=true|false); returns (clean rows, violations table).
+
+    The violations table has a row per broken rule: field, rule, and the columns of the row. ``df`` should not have columns named
+    ``violations`` or ``clean``.
+    """
+    out = with_violations(df, fields).withColumn("clean", F.size("violations") == 0)
+    out.write.partitionBy("clean").parquet(folder)
+    back = df.sparkSession.read.schema(out.schema).parquet(folder)
+    clean = back.where("clean").select(*df.columns)
+    broken = back.where(~F.col("clean")).select(F.explode("violations").alias("_v"), *df.columns)
+    return clean, broken.select("_v.field", "_v.rule", *df.columns)

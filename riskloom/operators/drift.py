@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import ranks
@@ -100,3 +100,39 @@ def psi(expected: DataFrame, actual: DataFrame, column: str, bins: int = 10,
     a = actual.select(F.col(column).alias("_x"), F.lit("actual").alias("_p"))
     stacked = stack_features(e.unionByName(a).withColumnRenamed("_x", column), [column], "_p")
     return psi_by_feature(stacked, bins=bins, num_partitions=num_partitions, method=method).drop("feature")
+
+
+STORE = "feature string, value double, n long, period string"
+
+
+def add_periods(df: DataFrame, features: Sequence[str], period: Column | str, store: str) -> None:
+    """DRF-3 over time: merge the value counts of the periods in ``df`` into the table at ``store`` (a folder per period).
+
+    A period that the store has already is replaced; others are neither read nor written. Rows without a period or value do not count.
+    """
+    stacked = stack_features(df, features, period)
+    counts = stacked.groupBy("feature", "value", F.col("period").cast("string").alias("period")).agg(F.count("*").alias("n"))
+    counts.select("feature", "value", "n", "period").write.partitionBy("period").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(store)
+
+
+def psi_over_periods(spark: SparkSession, store: str, base: str, bins: int = 10, periods: Sequence[str] | None = None) -> DataFrame:
+    """PSI of each (feature, period) of the store against the period ``base``: feature, period, psi, n_base, n (full precision).
+
+    Reads counts per distinct value of the base and of ``periods`` (default: all). Cut points are the base's exact quantiles; a feature
+    without base rows is absent.
+    """
+    rows = spark.read.schema(STORE).parquet(store)
+    if periods is not None:
+        rows = rows.where(F.col("period").isin([base, *periods]))
+    frozen = ranks.freeze_counts(rows.where(F.col("period") == base), ["feature"], "value", {"_n": F.sum("n")})
+    cuts = ranks.quantiles_of_counts(frozen, ["feature"], "value", "_n", [i / bins for i in range(bins + 1)])
+    binned = rows.join(cuts, "feature").select("feature", "period", "n", psi_bin(F.col("value"), F.col("cuts"), bins).alias("bin"))
+    per = binned.groupBy("feature", "period").agg(*[F.sum(F.when(F.col("bin") == b, F.col("n")).otherwise(0)).alias(f"a{b}") for b in range(bins)])
+    first = per.where(F.col("period") == base).select("feature", *[F.col(f"a{b}").alias(f"e{b}") for b in range(bins)])
+    both = per.join(first, "feature")
+    e_tot, a_tot = (sum((F.col(f"{x}{b}") for b in range(bins)), F.lit(0)) for x in "ea")
+    total = F.lit(0.0)
+    for b in range(bins):
+        e, a = F.col(f"e{b}") / (e_tot + F.lit(EPS)), F.col(f"a{b}") / (a_tot + F.lit(EPS))
+        total = total + (a - e) * F.log((a + F.lit(EPS)) / (e + F.lit(EPS)))
+    return both.select("feature", "period", total.alias("psi"), e_tot.cast("long").alias("n_base"), a_tot.cast("long").alias("n"))

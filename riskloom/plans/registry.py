@@ -7,7 +7,7 @@ from riskloom.plans import catalog
 
 def _load() -> dict:
     # importing registers the model and streaming queries into the same registry
-    from riskloom.plans import evaluation, io_roundtrips, modeling  # noqa: F401
+    from riskloom.plans import evaluation, io_roundtrips, modeling, monitoring, saved_pipelines  # noqa: F401
     from riskloom.streaming import audit  # noqa: F401
 
     return catalog.REGISTRY

@@ -123,3 +123,23 @@ def write_sample_csv(df: DataFrame, path: str, order_by: list[str], n: int = 100
 def write_json(df: DataFrame, path: str) -> None:
     """SNK-3/SNK-4/SNK-5: JSON lines (metric records, audit events, decision documents)."""
     df.write.mode("overwrite").json(path)
+
+
+#: Bureau snapshot columns with their types; the date stays text until it is coerced.
+BUREAU_CSV = ("customer_id string, snapshot_date string, income double, utilization_rate double, num_trades int, delinq_12m int, inquiries_6m int, "
+              "dti double, cltv double, employment_status string, state string, age int, tenure_months int, risk_segment string, defaulted int")
+
+
+def read_bureau_csv_rejecting(spark: SparkSession, path: str, store: str, date_col: str = "snapshot_date",
+                              header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """SRC-4: typed bureau CSV parsed once into ``store`` (rejected=true|false) -> (rows, rejects).
+
+    A line with too few or too many cells, or with a cell that is not of its column's type, is a reject and kept as its text (column ``line``); the
+    date of the others is coerced, an unreadable one is NULL and the row stays. All columns are parsed whatever is read later, so
+    what counts as broken does not depend on the query.
+    """
+    raw = spark.read.csv(path, schema=f"{BUREAU_CSV}, line string", header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="line")
+    parsed = raw.withColumn(date_col, parse_date(date_col)).withColumn("rejected", F.col("line").isNotNull())
+    parsed.write.partitionBy("rejected").parquet(store)
+    back = spark.read.schema(parsed.schema).parquet(store)
+    return back.where(~F.col("rejected")).drop("rejected", "line"), back.where("rejected").select("line")
