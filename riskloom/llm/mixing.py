@@ -67,7 +67,7 @@ def mixture(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id",
             max_repeat: float | None = None, budget_ratio: float = 1.0, seed: int = 0, tolerance: float = 1e-6) -> tuple[DataFrame, DataFrame]:
     """(instances, weights). One of ``entropy`` (nats) and ``max_repeat`` (passes) is the target.
 
-    instances: one row per time that a document is taken: _k1, _k2 (what identifies the document: hashes of id and text),
+    instances: one row per time that a document is taken: _source, _k1, _k2 (what identifies the document: hashes of id and text),
     _epoch, _position (tokens of the source's epoch before it), _tokens. weights: _source, tokens, docs, exponent, weight,
     budget, epochs (whole passes), rest. ``budget_ratio``: total budget over total tokens.
     Defined cases: see ``mix``.
@@ -106,16 +106,16 @@ def mixture(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id",
     one = placed.join(starts, ["_source", "_block"]).withColumn("_o", F.xxhash64(F.lit(seed), "_epoch", "_k1", "_k2"))
     one = one.withColumn("_position", (F.col("_start") + before("_tokens", ["_source", "_epoch", "_block"], ["_o", "_k1", "_k2"])).cast("long"))
     taken = one.where("_epoch < epochs or _position < rest")
-    return taken.select("_k1", "_k2", "_epoch", "_position", "_tokens"), weights
+    return taken.select("_source", "_k1", "_k2", "_epoch", "_position", "_tokens"), weights
 
 
-def keyed(docs: DataFrame, source_col: str, id_col: str, text_col: str) -> DataFrame:
-    """Source (null is one of its own), two 64-bit hashes of id and text, and the words of each row."""
+def keyed(docs: DataFrame, source_col: str, id_col: str, text_col: str, carried: list[Column] = []) -> DataFrame:
+    """Source (null is one of its own), two 64-bit hashes of id and text, the words of each row, and the ``carried`` columns."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = F.size(F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+"), ""))
     source = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
     return docs.select(source.alias("_source"), F.xxhash64(F.col(id_col), text).alias("_k1"), F.xxhash64(text, F.col(id_col), F.lit(1)).alias("_k2"),
-                       words.cast("long").alias("_tokens"))
+                       words.cast("long").alias("_tokens"), *carried)
 
 
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **target) -> DataFrame:
@@ -124,15 +124,15 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     Tokens are words. Targets are those of ``mixture``.
 
     Defined cases: a null source is a source of its own; a null text has no words, and a row without words weighs nothing and
-    is taken with its block; a source without any words has no share and is not taken; rows equal in id and text
+    is taken with its block; a source without any words has no share and is not taken; rows equal in source, id and text
     are taken together; an empty table gives an empty one; further columns are carried, columns named like a
     result are replaced.
     """
     names = [c for c in docs.columns if c not in ("epoch", "position")]
     taken, _ = mixture(docs, source_col, id_col, text_col, **target)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*names, F.xxhash64(F.col(id_col), text).alias("_k1"), F.xxhash64(text, F.col(id_col), F.lit(1)).alias("_k2"))
-    return rows.join(taken, ["_k1", "_k2"]).select(*names, F.col("_epoch").alias("epoch"), F.col("_position").alias("position"))
+    own = keyed(docs, source_col, id_col, text_col, [F.col(c).alias(f"c{k}") for k, c in enumerate(names)])
+    out = own.drop("_tokens").join(taken, ["_source", "_k1", "_k2"])
+    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)], F.col("_epoch").alias("epoch"), F.col("_position").alias("position"))
 
 
 #: Passes that the smallest source may make at most, in the query and the pipeline.

@@ -195,7 +195,6 @@ def brute_ids(rows, name):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return [np.array([*t.encode(x or "", add_special_tokens=False).ids, 1], "<u4") for _, x in rows]
 
 
@@ -379,6 +378,12 @@ def test_mixture_meets_its_target(documents, edge, empty):
     assert mixing.mix(empty, max_repeat=2.0).count() == 0
 
 
+def test_a_document_of_two_sources_is_taken_in_each(spark):
+    rows = [(i, f"t{i} words here", "a", i) for i in range(120)] + [(i if i < 10 else i + 1000, f"t{i} words here" if i < 10 else f"u{i}", "b", i) for i in range(120)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, _k1 long"), max_repeat=1.0)
+    assert sorted((r.doc_id, r.text, r.source, r._k1) for r in out.collect()) == sorted(rows)
+
+
 # --- language model -----------------------------------------------------------------------------
 
 def test_base_scores_equal_brute_force(documents, edge):
@@ -564,6 +569,5 @@ def test_piecewise_ids_are_the_whole_text_ids(name, keeps_space):
              "x<|endoftext|>, <|startoftext|>", "  two  spaces\n\nlines \t", "a1b2 33 a_b (c) [d]; \"q\" `z`~", "\u0130stanbul \u03a3\u03a3 \u4e2d\u6587,", "\u00a0nb \u2003em",
              "w" * 3000 + "," * 50, "end\u00ad soft \u00b5\u00aa\u00ba"]
     library = Tokenizer.from_file(public_tokenizers.path(name))
-    library.encode_special_tokens = True
     got = Encoder(public_tokenizers.path(name), keeps_space, 1).encode([t.encode() for t in texts])
     assert [np.frombuffer(g, np.uint32).tolist() for g in got] == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
