@@ -59,7 +59,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keeps_space = keeps_space
         self.end = np.array([end_id], np.uint32).tobytes()
         self.cache = _Cache(self._learn)
