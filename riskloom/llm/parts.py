@@ -20,11 +20,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.words import Rolling
 from riskloom.session import ensure_checkpoint_dir
 
 #: Text bytes of a part; a task holds one part at a time.
@@ -32,7 +32,6 @@ PART_BYTES = 8 << 20
 #: Rows dealt at a time, and bytes that a map task holds before it packs them.
 DEAL_ROWS, HELD_BYTES = 1024, 24 << 20
 BLOCK_SCHEMA = "part int, n_rows long, n_items long, block binary"
-_TEXT_NAME = Rolling(97)
 
 
 class Parts:
@@ -95,11 +94,8 @@ def _deal(items: Callable | None, after: Callable | None, id_col: str, text_col:
     for batch in (b.slice(i, DEAL_ROWS) for b in batches for i in range(0, b.num_rows, DEAL_ROWS)):
         ids = batch.column(batch.schema.names.index(id_col)).cast(pa.int64())
         raw, offsets = text_buffer(batch.column(batch.schema.names.index(text_col)))
-        name = np.zeros(len(ids), np.uint64)
-        for i in range(0, len(ids), 256):
-            j = min(i + 256, len(ids))
-            at = offsets[i : j + 1] - offsets[i]
-            name[i:j] = _TEXT_NAME.ranges(_TEXT_NAME.table[raw[offsets[i] : offsets[j]]], at[:-1], at[1:])
+        data, at = memoryview(raw), offsets.tolist()
+        name = np.array([xxhash.xxh3_64_intdigest(data[i:j]) for i, j in zip(at[:-1], at[1:])], np.uint64)
         missing = ids.is_null().to_numpy(zero_copy_only=False)
         part = np.searchsorted(cuts, ids.fill_null(0).to_numpy(), side="left").astype(np.int64)
         part[missing] = len(cuts) + 1 + (name[missing] % np.uint64(max(n_null, 1))).astype(np.int64)
