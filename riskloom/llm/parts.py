@@ -14,6 +14,7 @@ part.
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 from functools import partial
@@ -56,11 +57,24 @@ class Parts:
 
 
 def _one(f, key, table):
-    return f(key[0].as_py(), table)
+    out = f(key[0].as_py(), table)
+    give_back()
+    return out
 
 
 def _two(f, key, left, right):
-    return f(key[0].as_py(), left, right)
+    out = f(key[0].as_py(), left, right)
+    give_back()
+    return out
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers are reused, and an idle one must not keep what its last part took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
 
 
 def _pack(table: pa.Table) -> bytes:
@@ -113,6 +127,7 @@ def _deal(items: Callable | None, after: Callable | None, id_col: str, text_col:
     yield from flush()
     if after is not None:
         after()
+    give_back()
 
 
 def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
@@ -226,6 +241,8 @@ def _answer_counts(key, table):
     for r in rows:
         out.append({"part": r["part"], "bucket": r["bucket"], "n": r["n"], "counts": pack_numbers(back[at : at + r["n"]]), "known": int((sums > 0).sum()), "total": int(sums.sum())})
         at += r["n"]
+    del keys, counts, order, back
+    give_back()
     return pa.Table.from_pylist(out, schema=_COUNT_ANSWER_ARROW)
 
 

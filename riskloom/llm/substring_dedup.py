@@ -14,13 +14,16 @@ between two occurrences of a window only within four run symbols of either end.
    interior symbols (long runs of one word) give no evidence and stay in.
 3. The candidates are verified as windows: parts send their names (96 bits of two independent
    hashes of the whole word sequence); a bucket finds which occur in a part before. Parts are ranges of
-   ascending ids, so no ids are sent. Repeats inside a part are found there.
+   ascending ids, so no ids are sent. Repeats inside a part are found there. Windows are equal by hash: of n
+   different ones, two share their 96 bits with odds of about n * n / 2^97 (1 in 10^9 for 10^10 windows, the words
+   of some 60 GB).
 
 Nothing is broadcast or collected; a window, symbol or passage of any frequency is one entry per part.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 from itertools import compress
 
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import parts as P
-from riskloom.llm.words import Rolling, Words, chunks, mix, text_buffer
+from riskloom.llm.words import Words, chunks, mix, text_buffer, window_names
 
 WINDOW = 13
 #: Salts of the pair rounds; each decides the classes of its round.
@@ -38,7 +41,8 @@ PAIR_ROUNDS = (0x51, 0xA7)
 #: Bits of a symbol's name in round 1. Equal names of different symbols only add candidates.
 SYMBOL_BITS = 48
 
-_WORD_A, _WORD_B, _WINDOW_A, _WINDOW_B = Rolling(11), Rolling(23), Rolling(37), Rolling(53)
+#: Seeds of two independent names of words, and of windows.
+_WORD_A, _WORD_B, _WINDOW_A, _WINDOW_B = 11, 23, 37, 53
 _ASK = "part int, bucket int, n long, order int, keys binary, more binary"
 _ANSWER = "part int, bucket int, round int, n long, bits binary"
 _ANSWER_ARROW = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("round", pa.int32()), ("n", pa.int64()), ("bits", pa.binary())])
@@ -112,8 +116,10 @@ class Parsed:
         return start[~some | (missing[last] == missing[lo])]
 
     def window_names(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a = _WINDOW_A.ranges(self.name_a, at, at + self.window)
-        b = _WINDOW_B.ranges(self.words.names(_WORD_B), at, at + self.window)
+        if not len(at):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        a = window_names(self.name_a, self.window, _WINDOW_A)[at]
+        b = window_names(self.words.names(_WORD_B), self.window, _WINDOW_B)[at]
         return a, (b >> np.uint64(32)).astype(np.uint32)
 
 
@@ -142,18 +148,16 @@ def _ask(part, buckets, bits, order, keys, more) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=_ASK_ARROW)
 
 
-def _symbol_keys(parsed: list[Parsed]) -> tuple[np.ndarray, np.ndarray]:
+def _symbol_keys(parsed: Iterator[Parsed]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct symbols of a part, and whether two or more of its texts have each."""
-    keys, texts, base = [], [], 0
+    keys = []
     for p in parsed:
-        text = np.searchsorted(p.words.of_text, p.begin, side="right") + base
-        base += len(p.words.of_text)
+        text = np.searchsorted(p.words.of_text, p.begin, side="right")
         order = np.argsort(p.symbols, kind="stable")
         s, t = p.symbols[order], text[order]
         first = np.ones(len(s), bool)
         first[1:] = (s[1:] != s[:-1]) | (t[1:] != t[:-1])
         keys.append(s[first])
-        texts.append(t[first])
     keys = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
     if not len(keys):
         return keys, np.zeros(0, bool)
@@ -162,7 +166,7 @@ def _symbol_keys(parsed: list[Parsed]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ask_symbols(buckets, window, part, blocks):
-    keys, many = _symbol_keys([p for _, _, p in _parsed(P.unpack(blocks), window)])
+    keys, many = _symbol_keys(p for _, _, p in _parsed(P.unpack(blocks), window))
     return _ask(part, buckets, SYMBOL_BITS, 0, keys, lambda i, j: np.packbits(many[i:j]).tobytes())
 
 
@@ -177,6 +181,8 @@ def _answer(key, table, decide, round_no) -> pa.Table:
     for r in rows:
         out.append({"part": r["part"], "bucket": r["bucket"], "round": round_no, "n": r["n"], "bits": np.packbits(found[at : at + r["n"]]).tobytes()})
         at += r["n"]
+    del keys, found
+    P.give_back()
     return pa.Table.from_pylist(out, schema=_ANSWER_ARROW)
 
 
@@ -216,21 +222,23 @@ def _read_answers(answers: pa.Table, round_no: int) -> np.ndarray:
 
 
 def _windows(table: pa.Table, answers: pa.Table, window: int):
-    """Candidate windows of a part: text chunks, (chunk, start, rank of the text, name)."""
-    parsed = list(_parsed(table, window))
-    keys, _ = _symbol_keys([p for _, _, p in parsed])
+    """Candidate windows of a part: (chunk, start, rank of the text, name). Texts are parsed twice, chunk by chunk:
+    a chunk's levels take ten times its bytes, so those of a whole part are never held."""
+    keys, _ = _symbol_keys(p for _, _, p in _parsed(table, window))
     shared = _read_answers(answers, 1)
-    rank = _ranks(table)
-    at, ranks, a, b, chunk = [], [], [], [], []
-    for c, (i, _, p) in enumerate(parsed):
+    rank = _ranks(table).astype(np.int32)
+    found = [[np.zeros(0, t)] for t in (np.int32, np.int64, np.int32, np.uint64, np.uint32)]
+    for c, (i, _, p) in enumerate(_parsed(table, window)):
         starts = p.candidates(shared[np.searchsorted(keys, p.symbols)] if len(keys) else np.zeros(0, bool))
+        if not len(starts):
+            continue
         text = np.searchsorted(p.words.of_text, starts, side="right") - 1
-        x, y = p.window_names(starts)
-        at.append(starts), ranks.append(rank[i + text]), a.append(x), b.append(y), chunk.append(np.full(len(starts), c, np.int32))
-    if not at:
-        none = np.zeros(0, np.int64)
-        return parsed, none, none, none, none.astype(np.uint64), none.astype(np.uint32)
-    return parsed, *map(np.concatenate, (chunk, at, ranks, a, b))
+        for column, x in zip(found, (np.full(len(starts), c, np.int32), starts, rank[i + text], *p.window_names(starts))):
+            column.append(x)
+    out = []
+    while found:
+        out.append(np.concatenate(found.pop(0)))
+    return out
 
 
 def _grouped(rank, a, b):
@@ -243,46 +251,53 @@ def _grouped(rank, a, b):
 
 
 def _ask_windows(buckets, window, ranges, part, blocks, answers):
-    _, _, _, rank, a, b = _windows(P.unpack(blocks), answers, window)
+    _, _, rank, a, b = _windows(P.unpack(blocks), answers, window)
     order, new = _grouped(rank, a, b)
     at = order[new]
     ka, kb = a[at], b[at]
     return _ask(part, buckets, 64, min(part, ranges), ka, lambda i, j: P.pack_numbers(kb[i:j]))
 
 
-def _remove(window, carried, text_at, part, blocks, answers):
-    table = P.unpack(blocks)
-    parsed, chunk, at, rank, a, b = _windows(table, answers, window)
+def _repeats(table: pa.Table, answers: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(chunk, start) of the windows that a document before has, ascending by chunk."""
+    chunk, at, rank, a, b = _windows(table, answers, window)
     order, new = _grouped(rank, a, b)
-    group = np.cumsum(new) - 1
-    before = _read_answers(answers, 2)
+    del a, b
     repeat = np.zeros(len(order), bool)
     if len(order):
-        first_rank = rank[order][np.flatnonzero(new)]
-        repeat[order] = before[group] | (rank[order] > first_rank[group])
+        group = np.cumsum(new) - 1
+        ranked = rank[order]
+        repeat[order] = _read_answers(answers, 2)[group] | (ranked > ranked[np.flatnonzero(new)][group])
+    return chunk[repeat], at[repeat]
+
+
+def _remove(window, carried, text_at, part, blocks, answers):
+    table = P.unpack(blocks)
+    chunk, at = _repeats(table, answers, window)
     n_words, n_removed, kept = [], [], []
     raw, offsets = text_buffer(table["c1"])
-    for c, (i, j, p) in enumerate(parsed):
-        n = len(p.words)
-        s = at[(chunk == c) & repeat]
+    for c, (i, j) in enumerate(chunks(offsets)):
+        w = Words(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        n = len(w)
+        s = at[np.searchsorted(chunk, c) : np.searchsorted(chunk, c, side="right")]
         cover = np.cumsum(np.bincount(s, minlength=n + 1) - np.bincount(s + window, minlength=n + 1)[: n + 1])[:n] > 0
-        per_text = np.add.reduceat(np.append(cover, False), p.words.of_text[:-1]) if n else np.zeros(j - i, np.int64)
-        per_text = np.where(p.words.counts() > 0, per_text, 0)
-        n_words.append(p.words.counts())
+        per_text = np.add.reduceat(np.append(cover, False), w.of_text[:-1]) if n else np.zeros(j - i, np.int64)
+        per_text = np.where(w.counts() > 0, per_text, 0)
+        n_words.append(w.counts())
         n_removed.append(per_text)
-        data = raw[offsets[i] : offsets[j]].tobytes()
+        data, texts = raw[offsets[i] : offsets[j]].tobytes(), []
         base, keep = offsets[i], (~cover)
         for k in range(i, j):
             words = data[offsets[k] - base : offsets[k + 1] - base].split()
             if per_text[k - i]:
-                w0 = p.words.of_text[k - i]
+                w0 = w.of_text[k - i]
                 words = list(compress(words, keep[w0 : w0 + len(words)].tolist()))
-            kept.append(b" ".join(words))
+            texts.append(b" ".join(words))
+        kept.append(pa.array(texts, pa.binary()).cast(pa.string()))
     columns = [table[f"c{k}"] for k in range(carried)]
     ints = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-    texts = pa.array(kept, pa.binary()).cast(pa.string())
     names = [f"c{k}" for k in range(carried)] + ["n_words", "n_removed", "kept_text"]
-    return pa.Table.from_arrays([*columns, ints(n_words), ints(n_removed), texts], names=names)
+    return pa.Table.from_arrays([*columns, ints(n_words), ints(n_removed), pa.chunked_array(kept, pa.string())], names=names)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,

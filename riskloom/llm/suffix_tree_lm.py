@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import parts as P
-from riskloom.llm.words import Rolling, Words, chunks, text_buffer
+from riskloom.llm.words import Words, chunks, text_buffer
 
 DEPTH = 7
 #: Symbols of a context that choose its range; shorter contexts are counted apart.
@@ -45,7 +45,7 @@ FOLDS, HELD_OUT = 7, 2
 _BITS = 9  # a symbol: byte + 1, or 0 for the end
 _SYMBOLS = 257
 _END = 0x0A  # in grams: a byte that no word has
-_WORD = Rolling(71)
+_WORD = 71  # seed of the names of words
 #: Distinct grams that a task holds before it merges them.
 _MERGE_GRAMS = 1 << 20
 #: Texts, and characters of each, whose grams balance the ranges (they steer cost only).

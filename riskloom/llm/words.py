@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text that are expanded into numpy arrays at a time (a longer single text is taken whole).
 CHUNK_BYTES = 1 << 20
@@ -19,6 +20,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+#: Words of more bytes are hashed one by one; shorter ones by 8 bytes at a time, all words together.
+_LONG = 128
+_FIRST_BYTES = np.append((np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)) - np.uint64(1), ~np.uint64(0))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,29 +34,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Rolling:
-    """Names of ranges of a sequence: prefix sums of value * base^i, modulo 2^64."""
+def seeded(seed: int) -> np.uint64:
+    """A 64-bit constant for a seed."""
+    return mix(np.array([seed + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15))[0]
 
-    def __init__(self, seed: int) -> None:
-        base = int(mix(np.array([seed * 2 + 1], np.uint64))[0]) | 1
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.table = mix(np.arange(256, dtype=np.uint64) + np.uint64(seed << 16))
-        self._up = self._down = np.ones(1, np.uint64)
 
-    def _powers(self, n: int) -> None:
-        if len(self._up) < n:
-            n = max(n, CHUNK_BYTES + 1)
-            for name, b in (("_up", self.base), ("_down", self.inverse)):
-                steps = np.full(n, b, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps))
+def window_names(names: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """A name for each ``width`` neighbouring names: those of 1, 2, 4 .. neighbours, the last two overlapping.
 
-    def ranges(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A name for values[starts:ends]; equal contents and lengths have equal names."""
-        self._powers(len(values) + 1)
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self._up[: len(values)], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * self._down[starts] + (ends - starts).astype(np.uint64))
+    Each step mixes its operands through a bijection that is not linear in them, so no arrangement of the
+    same names cancels out; different windows share a 64-bit name with the odds of two random numbers.
+    """
+    if len(names) < width:
+        return np.zeros(0, np.uint64)
+    factor, size = seeded(seed) | np.uint64(1), 1
+    while 2 * size <= width:
+        names, size = mix(names[:-size] * factor + names[size:]), 2 * size
+    over = width - size
+    return mix(names[: len(names) - over] * factor + names[over:]) if over else mix(names ^ factor)
 
 
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,11 +67,11 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges [i, j) of whole texts of about CHUNK_BYTES together."""
+def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges [i, j) of whole texts of about ``size`` bytes together."""
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = int(np.searchsorted(offsets, offsets[i] + CHUNK_BYTES, side="right")) - 1
+        j = int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1
         j = min(n, max(i + 1, j))
         yield i, j
         i = j
@@ -101,8 +100,23 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.of_text)
 
-    def names(self, rolling: Rolling) -> np.ndarray:
-        return rolling.ranges(rolling.table[self.raw], self.starts, self.ends)
+    def names(self, seed: int) -> np.ndarray:
+        """A 64-bit name of each word, by its bytes; names of two seeds are independent."""
+        size, key = self.ends - self.starts, seeded(seed)
+        padded = np.append(self.raw, np.zeros(8, np.uint8))
+        eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))  # the 8 bytes from each byte on
+        out = mix(mix(eight[self.starts] & _FIRST_BYTES[np.minimum(size, 8)] ^ key) + size.astype(np.uint64))
+        more, at = np.flatnonzero((size > 8) & (size <= _LONG)), 8
+        while len(more):
+            lane = eight[self.starts[more] + at] & _FIRST_BYTES[np.minimum(size[more] - at, 8)]
+            out[more] = mix(out[more] * (key | np.uint64(1)) + lane)
+            at += 8
+            more = more[size[more] > at]
+        long = np.flatnonzero(size > _LONG)
+        if len(long):
+            data, spans = memoryview(padded), zip(self.starts[long].tolist(), self.ends[long].tolist())
+            out[long] = np.array([xxhash.xxh3_64_intdigest(data[i:j], int(key)) for i, j in spans], np.uint64)
+        return out
 
     def heads(self) -> np.ndarray:
         """True at the first word of each text."""
