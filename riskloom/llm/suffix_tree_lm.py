@@ -46,8 +46,10 @@ _BITS = 9  # a symbol: byte + 1, or 0 for the end
 _SYMBOLS = 257
 _END = 0x0A  # in grams: a byte that no word has
 _WORD = 71  # seed of the names of words
-#: Distinct grams that a task holds before it merges them.
-_MERGE_GRAMS = 1 << 20
+#: Bytes of text whose symbols are expanded at a time (a longer text is taken whole).
+_STEP_BYTES = 1 << 18
+#: Ranges of contexts for each range of ids: a range's levels take some hundred bytes a gram.
+RANGES_PER_BUCKET = 2
 #: Texts, and characters of each, whose grams balance the ranges (they steer cost only).
 SAMPLE_TEXTS, SAMPLE_CHARS = 1000, 4096
 
@@ -60,7 +62,7 @@ def _held_out(ids: pa.ChunkedArray) -> np.ndarray:
 
 def _words(table: pa.Table):
     raw, offsets = text_buffer(table["c1"])
-    for i, j in chunks(offsets):
+    for i, j in chunks(offsets, _STEP_BYTES):
         yield i, j, Words(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lower=True)
 
 
@@ -115,21 +117,44 @@ def _grams(stream: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> np.ndarray
     return gram << np.uint64(8) | codes[at]
 
 
+def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of an ascending array, and how often each occurs."""
+    if not len(sorted_keys):
+        return sorted_keys, np.zeros(0, np.int64)
+    first = np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1]))
+    return sorted_keys[first], np.diff(first, append=len(sorted_keys))
+
+
 def _distinct(table: pa.Table, depth: int, train_only: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending distinct grams of a part with their counts in its training texts."""
-    out, held, n_held = _held_out(table["_id"]), [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+    """Ascending distinct grams of a part with their counts in its training texts.
+
+    All grams of the part (8 bytes a position) are sorted at once, in place: smaller than merging the distinct
+    ones of its chunks, which keep most of their number.
+    """
+    out, raw_bytes = _held_out(table["_id"]), len(text_buffer(table["c1"])[0])
+    grams = np.empty(raw_bytes + len(table), np.uint64)  # no text has more symbols than bytes and an end
+    i_train, i_rest = 0, len(grams)  # training grams from the front, the others from the back
     for i, j, w in _words(table):
         stream, begin, length = _stream(w)
-        for which, value in ((~out[i:j], 1), (out[i:j], 0)):
-            if not which.any() or (train_only and not value):
-                continue
-            gram = np.sort(_grams(stream, _positions(begin[which], length[which]), depth))
-            first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-            held.append((gram[first], np.diff(first, append=len(gram)) * value))
-            n_held += len(first)
-        if n_held > max(_MERGE_GRAMS, len(held[0][0])):
-            held, n_held = [_totals(*map(np.concatenate, zip(*held)))], 0
-    return _totals(*map(np.concatenate, zip(*held)))
+        train = ~out[i:j]
+        new = _grams(stream, _positions(begin[train], length[train]), depth)
+        grams[i_train : i_train + len(new)] = new
+        i_train += len(new)
+        if not train_only and not train.all():
+            new = _grams(stream, _positions(begin[~train], length[~train]), depth)
+            i_rest -= len(new)
+            grams[i_rest : i_rest + len(new)] = new
+    grams[:i_train].sort()
+    grams[i_rest:].sort()
+    keys, counts = _runs(grams[:i_train])
+    other, _ = _runs(grams[i_rest:])
+    del grams
+    if not len(other):
+        return keys, counts
+    at = np.searchsorted(keys, other)
+    fresh = at == len(keys)
+    fresh[~fresh] = keys[at[~fresh]] != other[~fresh]
+    return np.insert(keys, at[fresh], other[fresh]), np.insert(counts, at[fresh], 0)
 
 
 def _count_near(part, blocks):
@@ -228,6 +253,7 @@ def _answer_grams(min_count, weight, min_divergence, key, asks, near):
     keys = np.concatenate([P.unpack_sorted(r["keys"], r["n"]) for r in rows])
     counts = np.concatenate([P.unpack_numbers(r["counts"], np.int64, r["n"]) for r in rows])
     distinct, sums = _totals(keys, counts)
+    del counts
     d, gram, n = (np.asarray(near[c].to_numpy(), np.int64) for c in ("d", "gram", "n"))
     levels = [_totals(gram[d == k].astype(np.uint64), n[d == k]) for k in range(NEAR)]
     found = gram_scores(distinct, sums, levels, min_count, weight, min_divergence).astype(np.float32)
@@ -236,6 +262,8 @@ def _answer_grams(min_count, weight, min_divergence, key, asks, near):
         mine = keys[at : at + r["n"]]
         out.append({"part": r["part"], "bucket": r["bucket"], "n": r["n"], "log10p": P.pack_numbers(found[np.searchsorted(distinct, mine)])})
         at += r["n"]
+    del keys, distinct, found
+    P.give_back()
     return pa.Table.from_pylist(out, schema=_ANSWER_ARROW)
 
 
@@ -310,7 +338,7 @@ def _range_bounds(docs: DataFrame, text_col: str, n_rows: int, buckets: int) ->
 def ask_model(docs: DataFrame, dealt: P.Parts, text_col: str, min_count: int = MIN_COUNT, weight: float = PARENT_WEIGHT, min_divergence: float = MIN_DIVERGENCE) -> DataFrame:
     """The model's answers to the grams of every part, for ``visit_with``."""
     n_rows = dealt.table.agg(F.sum("n_rows").alias("n")).first()["n"] or 0
-    bounds = _range_bounds(docs, text_col, n_rows, dealt.buckets)
+    bounds = _range_bounds(docs, text_col, n_rows, RANGES_PER_BUCKET * dealt.buckets if dealt.buckets > 1 else 1)
     longest = dealt.visit(_count_near, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     by = F.explode(F.sequence(F.lit(0), F.lit(NEAR - 1))).alias("d")
     near = longest.select("gram", "n", by).select(
@@ -323,12 +351,13 @@ def ask_model(docs: DataFrame, dealt: P.Parts, text_col: str, min_count: int = M
 
 def _score(n_train_texts, known, total, part, blocks, answers):
     table = P.unpack(blocks)
+    grams, _ = _distinct(table, DEPTH, False)
+    keys, _ = _training_words(table)
     of_words = pc.is_valid(answers["counts"])
     counts = P.read_counts(answers.filter(of_words))
     found = sorted(answers.filter(pc.invert(of_words)).select(["bucket", "n", "log10p"]).to_pylist(), key=lambda r: r["bucket"])
     log10p = np.concatenate([P.unpack_numbers(r["log10p"], np.float32, r["n"]) for r in found])  # every text has an end
-    grams, _ = _distinct(table, DEPTH, False)
-    keys, _ = _training_words(table)
+    del found
     n, v = total + n_train_texts, known + (n_train_texts > 0)
     rows = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
     log_all = np.log10(n + v + 1.0)
@@ -359,7 +388,7 @@ def _score(n_train_texts, known, total, part, blocks, answers):
 _SCORE = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = MIN_COUNT, part_bytes: int = 2 * P.PART_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = MIN_COUNT, part_bytes: int = P.PART_BYTES) -> DataFrame:
     """Per row: held_out, n_tokens, n_known, train_tokens, base_score (word unigram) and score (suffix tree), both log10.
 
     A row is held out if crc32 of its id as text leaves 2 modulo 7; all others train.
