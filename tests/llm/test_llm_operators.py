@@ -86,6 +86,22 @@ def test_substrings_equal_brute_force(documents, edge, part_bytes):
         assert found == brute_substrings(rows_of(table))
 
 
+def thue_morse(n, first="a", second="b"):
+    """Two different words of n bytes that every polynomial modulo 2^64 with an odd base confuses for n >= 1024."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((first, second)[x] for x in bits), "".join((second, first)[x] for x in bits)
+
+
+@pytest.mark.parametrize("size", [8, 16, 128, 129, 1024, 4096])
+def test_words_that_polynomials_confuse_stay_apart(spark, size):
+    x, y = thue_morse(size)
+    rows = [(1, " ".join(["u"] * 6 + [x] + ["v"] * 6)), (2, " ".join(["u"] * 6 + [y] + ["v"] * 6)), (3, " ".join(["u"] * 6 + [x] + ["v"] * 6))]
+    got = substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_removed) for r in got.collect()) == [(1, 0), (2, 0), (3, 13)]
+    hits = topk_search.search(spark.createDataFrame([(1, x), (2, y)], "doc_id long, text string"), spark.createDataFrame([(7, x)], "q long, t string"))
+    assert [(r.query_id, r.doc_id) for r in hits.collect()] == [(7, 1)]
+
+
 def test_recompression_of_runs_and_pairs(spark):
     # long runs and periodic passages, whose windows have few interior symbols
     rng = np.random.default_rng(1)
@@ -339,6 +355,32 @@ def test_search_edges(edge, empty):
     assert topk_search.search(edge, empty.select("doc_id", "text")).count() == 0
 
 
+def test_every_query_row_has_its_own_ranking(spark):
+    docs = spark.createDataFrame([(1, "red"), (2, "green"), (3, "red red")], "doc_id long, text string")
+    asked = spark.createDataFrame([(None, "red"), (5, "red"), (5, "green"), (None, "green")], "q long, t string")
+    got = sorted(((r.query_id, r["rank"], r.doc_id) for r in topk_search.search(docs, asked, part_bytes=70).collect()), key=str)
+    assert got == sorted([(q, rank, i) for q in (None, 5) for rank, i in ((1, 3), (2, 1), (1, 2))], key=str)
+
+
+def test_search_starts_at_a_floor():
+    """With the k-th best score as its floor a shard returns the same documents, ties included."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, 30) % 200) for _ in range(700)] + ["w1 w2 w3"] * 200
+    table = pa.table({"c1": pa.array(texts)})
+    terms, df = topk_search._document_counts(table)
+    index = topk_search.Index(table, df, len(texts), 25.0)
+    for k in (1, 10, 50):
+        for size in (1, 3, 40):
+            query = np.sort(rng.choice(terms, size, replace=False))
+            ids, scores = index.search(query, np.ones(size), len(texts))
+            top, found = index.search(query, np.ones(size), k)
+            assert top.tolist() == ids[:k].tolist() and found.tolist() == scores[:k].tolist()
+            floor = found.min(initial=np.inf) if len(found) == k else 0.0
+            assert index.search(query, np.ones(size), k, floor)[0].tolist() == top.tolist()
+
+
 @pytest.mark.parametrize("part_bytes", [20_000, 1 << 23])
 def test_search_on_the_edge_table_equals_brute_force(spark, edge, part_bytes):
     asked = [(100 + k, t) for k, t in enumerate(sorted({t or "" for _, t in rows_of(edge)}))]
