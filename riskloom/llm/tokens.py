@@ -2,14 +2,17 @@
 
 Both tokenizer kinds split a text before they merge, and never across the start of a run of ASCII white
 space; so a text's ids are those of its pieces, one after another. Pieces repeat, and a bounded cache per
-Python worker encodes most once. A piece of Latin letters and a run of ASCII punctuation behind it (after at
+Python worker encodes most once; it has two generations, so that pieces in use outlive the many that occur once.
+A byte-level tokenizer whose merges are in the order of their ids is a rank table, by which tiktoken encodes a new piece of Latin text.
+Otherwise, a piece of Latin letters and a run of ASCII punctuation behind it (after at
 most one space, where spaces are kept) splits just there, so its two units go straight to the tokenizer's
-merge model; all others take the whole tokenizer. Texts with other white space, where a run may mix kinds,
-are encoded whole by tokenizers that keep white space.
+merge model. All other pieces, those with a special string among them, take the whole tokenizer. Texts with other white
+space, where a run may mix kinds, are encoded whole by tokenizers that keep white space.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -19,9 +22,12 @@ import pyarrow as pa
 
 from riskloom.llm.words import text_buffer
 
-#: Entries of a worker's cache (it starts anew at the next text beyond them), and text bytes looked up at a time.
-CACHE_ENTRIES = 400_000
+#: Entries of a generation of a worker's cache (the next one starts at the next text beyond them), and text bytes
+#: looked up at a time.
+CACHE_ENTRIES = 300_000
 STEP_BYTES = 1 << 20
+#: Bytes beyond which a piece takes the whole tokenizer (tiktoken's pattern matcher gives up on very long runs).
+LONG_PIECE = 1 << 12
 
 _PIECES = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 _OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
@@ -37,19 +43,56 @@ _PLAIN = re.compile(rb"( ?)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-
 #: Byte-level tokenizers write a byte as the character of its number if that is printable, else as the next one from U+0100.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+#: Beyond it the libraries may know different letters.
+_LATIN_END = "\u024f"
+#: Fixed value: the split pattern of the byte-level tokenizer.
+BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class _Cache(dict):
-    """Ids of pieces; ``learn`` gives those of a new one."""
+    """Ids of pieces, if the generation before has none, by ``learn``."""
 
     def __init__(self, learn) -> None:
         super().__init__()
-        self.learn = learn
+        self.learn, self.before = learn, {}
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = self[piece] = self.learn(piece)
+        ids = self[piece] = self.before.get(piece) or self.learn(piece)
         return ids
 
+    def age(self) -> None:
+        self.before = dict(self)
+        self.clear()
+
+    def forget(self) -> None:
+        self.before = {}
+        self.clear()
+
+
+def rank_table(path: str):
+    """The byte-level tokenizer of a file as a tiktoken rank table; None if its merges are not in the order of their ids,
+    if it does not split by BYTE_LEVEL_SPLIT, or if it changes texts before."""
+    import tiktoken
+
+    with open(path) as f:
+        spec = json.load(f)
+    split, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    if not plain or spec.get("normalizer") or model.get("type") != "BPE" or model.get("end_of_word_suffix") or model.get("ignore_merges"):
+        return None
+    byte_of = {chr(_BYTE_CHARS.get(b, b)): b for b in range(256)}
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    ranks = {}
+    for token, i in model["vocab"].items():
+        if token not in special:
+            if not all(c in byte_of for c in token):
+                return None
+            ranks[bytes(byte_of[c] for c in token)] = i
+    merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if merged != sorted(set(merged)) or len(merged) + 256 != len(ranks):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
 
 class Encoder:
     """keeps_space: white space is part of the ids (byte-level kinds); otherwise it only separates."""
@@ -65,6 +108,9 @@ class Encoder:
         self.merge = self.tokenizer.model.tokenize
         normalizer = self.tokenizer.normalizer
         self.lowers = normalizer is not None and normalizer.normalize_str("A") == "a"
+        self.ranked = rank_table(path) if keeps_space else None
+        #: Pieces with one of these strings are not for the rank table.
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, text: bytes) -> bytes:
         return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
@@ -74,6 +120,11 @@ class Encoder:
 
     def _learn(self, piece: bytes) -> bytes:
         """Ids of a piece that the cache does not have."""
+        if self.ranked is not None:
+            text = piece.decode()
+            if len(piece) > LONG_PIECE or not (text.isascii() or max(text) <= _LATIN_END) or any(x in piece for x in self.special):
+                return self._ids(piece)
+            return array("I", self.ranked.encode_ordinary(text)).tobytes()
         spaced = self.keeps_space and piece[:1] == b" "
         word = piece[1:] if spaced else piece
         if word.isalpha():  # of bytes: ASCII letters
@@ -97,7 +148,7 @@ class Encoder:
         look, out = self.cache.__getitem__, []
         for text in texts:
             if len(self.cache) > CACHE_ENTRIES:
-                self.cache.clear()
+                self.cache.age()
             if self.keeps_space and _has_other_space(text):
                 out.append(self._ids(text) + self.end)
             else:
@@ -118,7 +169,7 @@ def encoder(path: str, keeps_space: bool, end_id: int) -> Encoder:
 
 def forget_pieces(path: str, keeps_space: bool, end_id: int) -> None:
     """Free the cache, which would otherwise stay in the worker while it runs later stages."""
-    encoder(path, keeps_space, end_id).cache.clear()
+    encoder(path, keeps_space, end_id).cache.forget()
 
 
 def encode_column(path: str, keeps_space: bool, end_id: int, table: pa.Table, text: str) -> pa.Table:

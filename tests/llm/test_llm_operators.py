@@ -613,3 +613,23 @@ def test_piecewise_ids_are_the_whole_text_ids(name, keeps_space):
     library = Tokenizer.from_file(public_tokenizers.path(name))
     got = Encoder(public_tokenizers.path(name), keeps_space, 1).encode([t.encode() for t in texts])
     assert [np.frombuffer(g, np.uint32).tolist() for g in got] == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_pieces_outlive_a_generation_of_the_cache(documents, monkeypatch):
+    """Ids are those of a plain call, whatever the size of the cache and whichever library learns a piece."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from riskloom.llm import tokens
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    odd = ["", "\n\n  a", "it's we'LL don't", "é" * 3000 + " x²½", "a" * 9000, "Ωmega слово 漢字 \u0370\u2c2f", "a<|endoftext|>b", "\t\tx\r\ny  "]
+    texts = odd + [r["text"] or "" for r in documents.select("text").collect()] + odd
+    want = [np.array([*plain.encode(t, add_special_tokens=False).ids, 1], np.uint32).tobytes() for t in texts]
+    assert tokens.rank_table(path) is not None
+    assert tokens.rank_table(public_tokenizers.path("word_bpe_49k.json")) is None
+    for entries in (1, 50, 300_000):
+        monkeypatch.setattr(tokens, "CACHE_ENTRIES", entries)
+        own = tokens.Encoder(path, True, 1)
+        assert own.encode([t.encode() for t in texts]) == want
