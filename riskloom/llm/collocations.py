@@ -7,7 +7,8 @@ without the first word) have reached the threshold, whatever step that is, until
 once since. So lengths interleave: most long phrases are complete long before the last word is.
 
 What a step's tasks know of earlier steps is a fixed array: for each slot of a hash, the first step after which
-some phrase of that slot had reached the threshold. Phrases that share a slot can only start a phrase
+some phrase of that slot had reached the threshold; a phrase takes it from the step in which it starts itself, so that a longer
+one never starts before its parts are counted. Phrases that share a slot can only start a phrase
 that needs not be counted, in the same step everywhere; its count is complete like any other and it falls
 out at the end. Counts are exact, per phrase itself.
 """
@@ -164,7 +165,8 @@ def _count_block(step: int, shards: int, known: np.ndarray, block: dict) -> Iter
             key = pair[place] if k == 2 else pair[place] * len(names) + code[place + 2] if k == 3 else pair[place] * n_pairs + pair[place + 2]
             _, first, n = np.unique(key, return_index=True, return_counts=True)
             yield rows(k, place[first], start[now[first]], n)
-        reach = known[name & mask].astype(np.int64)
+        # no phrase is reached before it counts: an earlier step in its slot is that of another phrase
+        reach = np.maximum(known[name & mask].astype(np.int64), start)
 
 
 def _count(step: int, shards: int, known, batches: Iterator[pa.RecordBatch]):
@@ -175,9 +177,10 @@ def _count(step: int, shards: int, known, batches: Iterator[pa.RecordBatch]):
 
 
 def _slots(slots: int, batches: Iterator[pa.RecordBatch]):
-    """The distinct slots of some phrases, packed."""
-    found = [np.zeros(0, np.uint64)]
+    """The distinct slots of some phrases, packed, and the last step in which one of them started."""
+    found, last = [np.zeros(0, np.uint64)], 0
     for batch in batches:
+        last = max(last, pc.max(batch.column(2)).as_py() or 0)
         by_kind: dict[tuple, list] = {}
         for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = phrase.encode().split(b" ")
@@ -190,7 +193,7 @@ def _slots(slots: int, batches: Iterator[pa.RecordBatch]):
             found.append(np.unique(name & np.uint64(slots - 1)))
     distinct = np.unique(np.concatenate(found))
     data = zstandard.ZstdCompressor(level=1).compress(np.diff(distinct, prepend=np.uint64(0)).astype(np.uint32).tobytes())
-    yield pa.RecordBatch.from_pydict({"slots": pa.array([data], pa.binary())})
+    yield pa.RecordBatch.from_pydict({"slots": pa.array([data], pa.binary()), "last": pa.array([last], pa.int32())})
 
 
 def _words_of(phrase: str) -> Column:
@@ -219,9 +222,10 @@ def count_phrases(docs: DataFrame, threshold: int, lang_col: str = "lang", text_
         sums.write.partitionBy("done").parquet(f"{folder}/state/step={step}")
         sent.destroy()
         written = spark.read.schema(_STATE).parquet(f"{folder}/state/step={step}")
-        fresh = written.where((F.col("n") >= threshold) & (_words_of("phrase") < LONGEST)).select("lang", "phrase")
+        fresh = written.where((F.col("n") >= threshold) & (_words_of("phrase") < LONGEST)).select("lang", "phrase", "start")
         # slots of the fixed array, distinct in each task: bounded by it
-        for r in fresh.mapInArrow(partial(_slots, slots), "slots binary").collect():
+        for r in fresh.mapInArrow(partial(_slots, slots), "slots binary, last int").collect():
+            last = max(last, r["last"])  # of a phrase whose slot another one had taken
             found = np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(r["slots"]), np.uint32), dtype=np.int64)
             found = found[known[found] == NEVER]
             if len(found):

@@ -69,6 +69,17 @@ def test_collocations_equal_brute_force(spark, shards, slots, block_bytes, thres
     assert ours(df, threshold=threshold, top=50, shards=shards, slots=slots, block_bytes=block_bytes) == want
 
 
+@pytest.mark.parametrize("seed, n_words, shards, slots, threshold", [(5, 8, 3, 16, 4), (49, 7, 1, 8, 19)])
+def test_phrases_that_share_a_slot_lose_no_occurrence(spark, seed, n_words, shards, slots, threshold):
+    rng = np.random.default_rng(seed)
+    share = 1 / np.arange(1, n_words + 1)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(n_words)], 20, p=share / share.sum())) for _ in range(30)]
+    want = Counter(" ".join(w[i : i + k]) for w in map(str.split, texts) for k in range(1, 5) for i in range(len(w) - k + 1))
+    df = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").coalesce(1)
+    got, _ = C.count_phrases(df, threshold, shards=shards, slots=slots, block_bytes=300)
+    assert sorted((r.phrase, r.n) for r in got.collect()) == sorted((p, n) for p, n in want.items() if n >= threshold)
+
+
 def test_query_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     want = brute([(r.lang, r.text) for r in docs.select("lang", "text").collect()])
