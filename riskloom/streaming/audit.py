@@ -2,7 +2,7 @@
 
 New orders arrive as application files. A replayed order is dropped by its key and date (state kept for
 ``REPLAY_WINDOW`` of arrival time); the rest is joined to the customer, nation and line-item tables to form the bureau snapshot,
-scored, explained, given reason codes and written as audit events to a JSON-lines sink. Orders whose line items have
+scored, explained, given reason codes and written as audit events to a sink of gzipped JSON lines. Orders whose line items have
 not arrived wait in a pending table and are decided by the first step that finds the lines.
 
 A step (a micro-batch, or the settling of waiting orders when a run starts) reads pending version v, writes its
@@ -88,14 +88,16 @@ class AuditRun:
         begun = time.monotonic()
         waiting = self.spark.read.schema(ORDER_STREAM_SCHEMA).parquet(f"{self.run}/pending/step={last}")
         todo = waiting if orders is None else waiting.unionByName(orders.select(*waiting.columns))
+        todo = todo.persist(StorageLevel.MEMORY_AND_DISK)  # a micro-batch is computed anew, its state with it, by each action
         keys = self.lines.select(F.col("l_orderkey").alias("o_orderkey"))
         events = audit_rows(self.spark, self.sf_dir, todo, self.lines, self.attribution).persist(StorageLevel.MEMORY_AND_DISK)
         n = events.count()
         latency = (time.monotonic() - begun) * 1000.0 / max(n, 1)
         folder = f"{self.run}/events/step={last + 1}"
-        events.withColumn("latency_ms", F.lit(latency)).write.mode("overwrite").json(folder)
+        events.withColumn("latency_ms", F.lit(latency)).write.mode("overwrite").json(folder, compression="gzip")
         events.unpersist()
         todo.join(keys, "o_orderkey", "left_anti").select(*waiting.columns).write.mode("overwrite").parquet(f"{self.run}/pending/step={last + 1}")
+        todo.unpersist()
         self.spark.createDataFrame([(batch,)], "batch long").write.mode("overwrite").json(f"{self.run}/steps/step={last + 1}")
 
     def schema(self) -> StructType:

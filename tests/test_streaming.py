@@ -56,3 +56,9 @@ def test_a_repeated_step_writes_the_same_events(spark, tmp_path):
     n = spark.read.json(f"{tmp_path}/run/events").count()
     steps.step(half, 7)  # the micro-batch is tried again after it was logged
     assert spark.read.json(f"{tmp_path}/run/events").count() == n > 0
+
+
+def test_events_are_written_compressed(spark, tmp_path):
+    path, _ = audit.run_audit_stream(spark, SF_SMALL, str(tmp_path / "audit"))
+    files = list((tmp_path / "audit" / "events").rglob("part-*"))  # the most that a run writes
+    assert files and all(f.name.endswith(".json.gz") for f in files)
