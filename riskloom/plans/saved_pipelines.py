@@ -27,8 +27,13 @@ _SPLIT_SQL = f"""s AS (SELECT *, CASE WHEN ('0x' || substr(md5(CAST({KEY} AS VAR
 
 
 def loans_for_model(spark, sf):
+    """The columns that the pipelines name, of the cleaned loans with complete features and a stable split. Each stage's fit and
+    each scoring reads them, so the joins are done once and the rows are kept as Parquet in the shared folder."""
     df = catalog.clean_loans(spark, sf).dropna(subset=["fico_score", "tenure_months", *LOG_COLUMNS, LABEL])
-    return splits.with_hash_split(df, KEY, 80)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/loans-{uuid.uuid4().hex}"
+    columns = [KEY, "fico_score", "tenure_months", *LOG_COLUMNS, *ONEHOT_COLUMNS, LABEL, "split"]
+    splits.with_hash_split(df, KEY, 80).select(*columns).write.parquet(folder)
+    return spark.read.parquet(folder)
 
 
 def design_stages() -> list:
