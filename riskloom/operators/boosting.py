@@ -2,7 +2,8 @@
 
 Rows are binned once and kept as numpy blocks in a persisted RDD: a fit visits them thousands of times, and what
 it needs of a visit is a small sum. A visit returns, for some nodes, the histograms (gradient, Hessian, rows per feature and
-bin) of the smaller child; the sibling is the parent minus it. The driver holds histograms only: nodes of
+bin) of the smaller child; the sibling is the parent minus it. Of a feature whose rows are mostly in one bin (a one-hot column) a block
+adds up the other rows only; that bin has the rest of the node. The driver holds histograms only: nodes of
 one tree x features x bins, whatever the number of rows.
 
 The tree is the best-first one: always the leaf of highest gain splits next, until it has as many leaves as allowed. To
@@ -29,8 +30,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed point of gradients and Hessians; rows of a block; trees sent with a task before they go into a broadcast.
-POINT, BLOCK_ROWS, RECENT = 1 << 24, 1 << 16, 25
+#: Fixed point of gradients and Hessians; rows of a block, and blocks of a task, about; trees sent with a task before they go into a broadcast.
+POINT, BLOCK_ROWS, TASK_BLOCKS, RECENT = 1 << 24, 1 << 16, 8, 25
+#: Share of a block's rows in one bin of a feature, from which only the other rows are added up.
+MOSTLY = 0.75
 
 
 @dataclass(frozen=True)
@@ -86,12 +89,24 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _blocks(cuts: list[np.ndarray], batches: Iterator[pa.RecordBatch]):
+    """Blocks of BLOCK_ROWS rows, whatever the size of the batches; the last one of a partition may be smaller."""
+    held, n = [], 0
+
+    def block():
+        x, y = (np.concatenate(c) for c in zip(*held))
+        return pa.RecordBatch.from_pydict({"id": [uuid.uuid4().hex], "n": [len(y)], "x": [x.tobytes()], "y": [y.tobytes()]})
+
     for batch in batches:
-        for i in range(0, batch.num_rows, BLOCK_ROWS):
-            part = batch.slice(i, BLOCK_ROWS)
-            x = binned(_matrix(part.column(0), len(cuts)), cuts)
-            y = part.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)
-            yield pa.RecordBatch.from_pydict({"id": [uuid.uuid4().hex], "n": [len(y)], "x": [x.tobytes()], "y": [y.tobytes()]})
+        while batch.num_rows:
+            part = batch.slice(0, BLOCK_ROWS - n)
+            batch = batch.slice(part.num_rows)
+            held.append((binned(_matrix(part.column(0), len(cuts)), cuts), part.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)))
+            n += part.num_rows
+            if n == BLOCK_ROWS:
+                yield block()
+                held, n = [], 0
+    if held:
+        yield block()
 
 
 _SCORES: dict = {}
@@ -101,8 +116,15 @@ class _Block:
     """A block's rows with their scores after ``trees`` trees and their nodes in the tree that grows."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, start: float, offsets: np.ndarray) -> None:
-        self.x, self.y, self.trees = x, y.astype(np.float64), 0
-        self.at = x + offsets[:-1].astype(np.int32)  # places in a histogram over all features
+        self.x, self.y, self.trees, self.first = x, y.astype(np.float64), 0, offsets[:-1].astype(np.int32)
+        counts = [np.bincount(x[:, f]) for f in range(x.shape[1])]
+        self.mostly = np.array([f for f, c in enumerate(counts) if c.max(initial=0) >= MOSTLY * len(x)], np.int64)
+        self.usual = np.array([counts[f].argmax() for f in self.mostly], np.int64)
+        # places in a histogram over all features: of every row for the other features, of the rows out of the usual bin for these
+        dense = np.setdiff1d(np.arange(x.shape[1]), self.mostly)
+        self.at = x[:, dense] + self.first[dense]
+        self.rare_row, k = (i.astype(np.int32) for i in np.nonzero(x[:, self.mostly] != self.usual))
+        self.rare_at = x[self.rare_row, self.mostly[k]] + self.first[self.mostly[k]]
         self.score = np.full(len(y), start)
         self.node, self.expanded = None, 0
 
@@ -130,11 +152,20 @@ class _Block:
                 slot[n] = k
         of_row = slot[self.node]
         rows = np.flatnonzero(of_row >= 0)
-        key = (self.at[rows] + (of_row[rows] * bins)[:, None]).ravel()
-        weights = (np.repeat(w[rows], self.x.shape[1]) for w in (self.g, self.h))
-        sums = [np.bincount(key, weights=w, minlength=len(nodes) * bins) for w in weights]
-        sums.append(np.bincount(key, minlength=len(nodes) * bins))
-        return np.stack(sums, axis=1).astype(np.int64).reshape(len(nodes), bins, 3)
+        rare = np.flatnonzero(of_row[self.rare_row] >= 0)
+        rare_row = self.rare_row[rare]
+        key = np.concatenate([(self.at[rows] + (of_row[rows] * bins)[:, None]).ravel(), self.rare_at[rare] + of_row[rare_row] * bins])
+
+        def sums(key, places, weights):
+            parts = [*(np.bincount(key, weights=w, minlength=places) for w in weights), np.bincount(key, minlength=places)]
+            return np.stack(parts, axis=1).astype(np.int64)
+
+        weights = (np.concatenate([np.repeat(w[rows], self.at.shape[1]), w[rare_row]]) for w in (self.g, self.h))
+        out = sums(key, len(nodes) * bins, weights).reshape(len(nodes), bins, 3)
+        total = sums(of_row[rows], len(nodes), (self.g[rows], self.h[rows]))
+        rest = total[:, None, :] - np.add.reduceat(out, self.first, axis=1)[:, self.mostly]
+        out[:, self.first[self.mostly] + self.usual] += rest
+        return out
 
 
 def _visit(fit: str, offsets: np.ndarray, start: float, older, recent: list[Tree], splits, nodes, rows) -> Iterator[np.ndarray]:
@@ -266,7 +297,9 @@ def fit_leafwise(df: DataFrame, label_col: str, features_col: str = "features",
         return LeafwiseModel([np.zeros(0)] * width, float(np.log(share / (1 - share))), [], params)
     cuts = quantile_cuts(rows, "x", width, params.max_bins)
     start, offsets = float(np.log(pos / (n - pos))), np.cumsum([0, *[len(c) + 2 for c in cuts]])
-    parts = rows.repartition(max(1, -(-n // BLOCK_ROWS)))  # a visit costs a task each: no more than there are blocks
+    # a visit costs a task each: no more than there are blocks, and some blocks each when all cores have one
+    n_blocks, cores = -(-n // BLOCK_ROWS), spark.sparkContext.defaultParallelism
+    parts = rows.repartition(min(n_blocks, cores * -(-n_blocks // (cores * TASK_BLOCKS))))
     blocks = parts.mapInArrow(partial(_blocks, cuts), "id string, n long, x binary, y binary").rdd.map(lambda r: (r[0], r[1], bytes(r[2]), bytes(r[3])))
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     fit, sc = uuid.uuid4().hex, spark.sparkContext

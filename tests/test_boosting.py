@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskloom.operators import boosting as B
@@ -104,3 +105,27 @@ def test_degenerate_inputs(spark):
         assert model.trees == []
     one = B.fit_leafwise(spark.createDataFrame([(i, [1.0], i % 2) for i in range(50)], SCHEMA), "y", params=B.LeafwiseParams(column_share=1.0))
     assert [t.values for t in one.trees] == [[0.0]]
+
+
+def test_blocks_are_full_and_one_hot_columns_add_up_their_rare_rows_only(monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_ROWS", 64)
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=150), np.eye(10)[rng.integers(0, 10, 150)]])
+    y = rng.integers(0, 2, 150)
+    cuts = [np.linspace(-1, 1, 5), *[np.array([0.0])] * 10]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + 20].tolist()), pa.array(y[i : i + 20])], names=["x", "y"]) for i in range(0, 150, 20)]
+    blocks = [r for b in B._blocks(cuts, iter(batches)) for r in b.to_pylist()]
+    assert [r["n"] for r in blocks] == [64, 64, 22]
+    offsets = np.cumsum([0, *[len(c) + 2 for c in cuts]])
+    bins = np.concatenate([np.frombuffer(r["x"], np.uint8).reshape(r["n"], -1) for r in blocks])
+    assert (bins == B.binned(x, cuts)).all()
+    block = B._Block(bins, y.astype(np.uint8), 0.3, offsets)
+    block.catch_up([])
+    block.expand([(0, 0, 3, 1)])
+    assert block.at.shape[1] < 4
+    for k, hist in zip([2, 1], block.histograms([2, 1], int(offsets[-1]))):
+        rows = block.node == k
+        for f in range(x.shape[1]):
+            for b in range(len(cuts[f]) + 2):
+                at = rows & (bins[:, f] == b)
+                assert hist[offsets[f] + b].tolist() == [block.g[at].sum(), block.h[at].sum(), at.sum()]
