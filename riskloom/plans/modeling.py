@@ -8,6 +8,9 @@ an oracle; their metric code is the same code the SQL-checked queries use.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -56,6 +59,17 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(n, key)
 
 
+#: Rows of a task in a fit of many short jobs: fewer would cost more to deal out than to visit.
+ROWS_PER_TASK = 1 << 17
+
+
+def spread_by_rows(df: DataFrame, key: str, n_rows: int) -> DataFrame:
+    """Rows dealt by ``key`` over a task per core, and over as many more rounds of tasks as ROWS_PER_TASK asks for; the
+    shuffle setting, which may be hundreds of tasks for a table of any size, plays no part."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * max(1, -(-n_rows // (cores * ROWS_PER_TASK))), key)
+
+
 def loan_frame(spark: SparkSession, sf: str, scheme: str = "majority", assembled: bool = True) -> DataFrame:
     """Cleaned loans with complete features (FLT-3), class weight (CW) and a stable split."""
     df = catalog.clean_loans(spark, sf).dropna(subset=LOAN_FEATURES + [LABEL])
@@ -248,15 +262,21 @@ def q_model_table(spark, sf):
 
     Scoring happens once per model (checkpointed (model, split, label, p) rows); AUC for all
     models and both windows is one grouped ranking pass, PSI for all models one stacked pass.
+    The candidates are fitted at the same time: boosting is over a thousand short jobs in sequence, whose gaps the others fill.
     """
     # used by three fits and three scorings: keep it cached (recomputed from lineage if an
     # executor and its blocks are lost)
-    d = spread(bureau_design(spark, sf), "customer_id").persist(StorageLevel.MEMORY_AND_DISK)
+    design = bureau_design(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    d = spread_by_rows(design, "customer_id", design.count()).persist(StorageLevel.MEMORY_AND_DISK)
     train = d.where(F.col("split") == "train")
     n_train = train.count()
+    design.unpersist()
     scored = None
-    for name, est in bureau_estimators(n_train).items():
-        model = est.fit(train)
+    estimators = bureau_estimators(n_train)
+    with ThreadPoolExecutor(len(estimators)) as pool:
+        fits = {name: pool.submit(inheritable_thread_target(spark)(est.fit), train) for name, est in estimators.items()}
+        models = {name: fit.result() for name, fit in fits.items()}
+    for name, model in models.items():
         one = positive_probability(model.transform(d)).select(F.lit(name).alias("model"), "split", "defaulted", "p")
         scored = one if scored is None else scored.unionByName(one)
     ensure_checkpoint_dir(spark)
@@ -269,7 +289,7 @@ def q_model_table(spark, sf):
     psis = drift.psi_by_feature(stacked).select(F.col("feature").alias("model"), F.lit("psi_valid_vs_train").alias("metric"),
                                                 F.col("psi").alias("value"))
     long = aucs.unionByName(psis)
-    for name in bureau_estimators(n_train):
+    for name in models:
         valid = scored.where((F.col("model") == name) & (F.col("split") == "valid"))
         long = long.unionByName(metrics.ks_qcut(valid, "p", "defaulted", 20).select(
             F.lit(name).alias("model"), F.lit("ks_valid").alias("metric"), F.col("ks_qcut").alias("value")))
