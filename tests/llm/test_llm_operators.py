@@ -633,3 +633,29 @@ def test_pieces_outlive_a_generation_of_the_cache(documents, monkeypatch):
         monkeypatch.setattr(tokens, "CACHE_ENTRIES", entries)
         own = tokens.Encoder(path, True, 1)
         assert own.encode([t.encode() for t in texts]) == want
+
+
+@pytest.mark.parametrize("name, keeps_space", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_a_piece_of_a_step_is_looked_up_once(name, keeps_space):
+    """However often texts repeat it: the merge model gets a word once, the rank table all new pieces in a few calls."""
+    import public_tokenizers
+
+    from riskloom.llm.tokens import Encoder
+
+    own, calls = Encoder(public_tokenizers.path(name), keeps_space, 1), Counter()
+    words = [a + b + c for a in ("in", "er", "th", "qu") for b in ("on", "at", "ét", "x") for c in ("s", "ed", "ing", "zz")]
+    texts = [("a " + " ".join(words[k:] + words[:k]) + ".").encode() for k in range(64)]
+    want = own.encode(texts)
+    if keeps_space:
+        ranked = own.ranked.encode_ordinary
+        own.ranked.encode_ordinary = lambda text: calls.update(["call"]) or ranked(text)
+    else:
+        merge = own.merge
+        own.merge = lambda word: calls.update([word]) or merge(word)
+    own.cache.forget()
+    assert own.encode(texts) == want
+    assert calls["call"] <= 2 if keeps_space else len(calls) == len(words) + 1 and set(calls.values()) == {1}
+    own.cache.forget()
+    calls.clear()
+    own.encode([b"a b, B. " + "Bé".encode()])
+    assert calls["call"] <= 2 if keeps_space else len(calls) == 3  # lower-cased before
