@@ -659,3 +659,29 @@ def test_a_piece_of_a_step_is_looked_up_once(name, keeps_space):
     calls.clear()
     own.encode([b"a b, B. " + "Bé".encode()])
     assert calls["call"] <= 2 if keeps_space else len(calls) == 3  # lower-cased before
+
+
+def test_joined_pieces_are_the_whole_text_ids(monkeypatch):
+    """Odd characters between pieces that are learned together, in steps and calls of any size."""
+    import random
+
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from riskloom.llm import tokens
+
+    units = [" ", " ", " ", "\n", "\t", "\r\n", "  ", "a", "b", "The", "é", "É", "ß", "×", "'s", "'ll", "’s", "1", "23", ".", ",", "<|endoftext|>", "<|",
+             " ", "\u0085", " ", "\x1c", "\x00", "­", "¿", "ɏ", "ɐ", "中", "é", "İ", "_", "²", "\x0b"]
+    draw = random.Random(7)
+    texts = ["".join(draw.choices(units, k=draw.choice([0, 1, 2, 5, 12, 40]))) for _ in range(1500)]
+    for name, keeps_space in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        path = public_tokenizers.path(name)
+        library = Tokenizer.from_file(path)
+        want = [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+        for step, learn in ((1 << 24, 1 << 20), (300, 40)):
+            monkeypatch.setattr(tokens, "STEP_BYTES", step)
+            monkeypatch.setattr(tokens, "LEARN_BYTES", learn)
+            got = tokens.encode_column(path, keeps_space, 1, pa.table({"text": texts}), "text")
+            assert [np.frombuffer(x, np.uint32).tolist() for x in got["ids"].to_pylist()] == want
+            assert got["_n"].to_pylist() == [len(x) for x in want]
