@@ -381,6 +381,40 @@ def test_search_starts_at_a_floor():
             assert index.search(query, np.ones(size), k, floor)[0].tolist() == top.tolist()
 
 
+def test_search_of_many_queries_reads_few_postings_of_frequent_terms(monkeypatch):
+    """A shard answers many queries at a time, with the rankings of each alone; frequent terms' postings are read for the documents left only."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 40, 30)) + f" r{i % 97} s{i % 331}" for i in range(2000)]
+    texts += texts[:300]
+    table = pa.table({"c1": pa.array(texts)})
+    terms, df = topk_search._document_counts(table)
+    index = topk_search.Index(table, df, len(texts), 32.0)
+    asked = [np.sort(rng.choice(terms, size, replace=False)) for size in (1, 2, 40, 100, 300) * 70]
+    weights = [rng.integers(1, 4, len(q)).astype(float) for q in asked]
+    read, spans = [], topk_search._spans
+    monkeypatch.setattr(topk_search, "_spans", lambda begin, end: (read.append(int((end - begin).sum())), spans(begin, end))[1])
+    alone = [index.search(q, w, 10) for q, w in zip(asked, weights)]
+    held = dict(zip(terms.tolist(), df.tolist()))
+    assert sum(read) < 0.5 * sum(held[t] for q in asked for t in q.tolist())
+    edges = np.cumsum([0, *map(len, asked)])
+    for floors in (np.zeros(len(asked)), np.array([s[4] if len(s) > 4 else 0.0 for _, s in alone])):
+        query, docs, scores = index.search_all(index.locate(np.concatenate(asked)), np.concatenate(weights), edges, 10, floors)
+        for i, (d, s) in enumerate(alone):
+            keep = s >= floors[i]
+            assert docs[query == i].tolist() == d[keep].tolist() and scores[query == i].tolist() == s[keep].tolist()
+    postings = {t: {} for t in terms.tolist()}
+    for t, i, j in zip(index.term.tolist(), index.first[:-1], index.first[1:]):
+        postings[t] = dict(zip(index.doc[i:j].tolist(), index.impact[i:j].tolist()))
+    for (d, s), q, w in list(zip(alone, asked, weights))[::17]:
+        whole = Counter()
+        for t, c in zip(q.tolist(), w.tolist()):
+            whole.update({i: c * x for i, x in postings[t].items()})
+        best = sorted((-round(x, 9), i) for i, x in whole.items())[:10]
+        assert d.tolist() == [i for _, i in best] and s.tolist() == pytest.approx([-x for x, _ in best])
+
+
 @pytest.mark.parametrize("part_bytes", [20_000, 1 << 23])
 def test_search_on_the_edge_table_equals_brute_force(spark, edge, part_bytes):
     asked = [(100 + k, t) for k, t in enumerate(sorted({t or "" for _, t in rows_of(edge)}))]
