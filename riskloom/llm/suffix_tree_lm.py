@@ -82,39 +82,46 @@ def _training_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _totals(np.concatenate(keys), np.concatenate(counts))
 
 
-def _stream(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of the texts, each after DEPTH ends and closed by one -> (symbols, position of each text's first)."""
-    n_texts = len(w.of_text) - 1
-    length = np.where(w.counts() > 0, w.counts() - 1, 0)  # spaces between words
-    size = w.ends - w.starts
-    bytes_before = np.concatenate([[0], np.cumsum(size)])
-    text_bytes = bytes_before[w.of_text[1:]] - bytes_before[w.of_text[:-1]]
-    total = text_bytes + length + DEPTH + 1
-    begin = np.cumsum(total) - total + DEPTH
-    out = np.zeros(int(total.sum()), np.int64)
-    if len(w):
-        text = np.repeat(np.arange(n_texts), w.counts())
-        nth = np.arange(len(w)) - w.of_text[text]
-        at = begin[text] + bytes_before[:-1] - bytes_before[w.of_text[text]] + nth  # where each word begins
-        source = np.repeat(w.starts - bytes_before[:-1], size) + np.arange(int(size.sum()))
-        target = np.repeat(at - bytes_before[:-1], size) + np.arange(int(size.sum()))
-        out[target] = w.raw[source].astype(np.int64) + 1
-        out[at[nth > 0] - 1] = 0x20 + 1
-    return out, begin, text_bytes + length + 1
-
-
-def _positions(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Positions that are predicted: every symbol of every text, the end too."""
-    return np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-
-
-def _grams(stream: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """Context and symbol of each position: a byte each, the symbol lowest, the symbol before it on top."""
-    codes = np.where(stream == 0, _END, stream - 1).astype(np.uint64)
-    gram = np.zeros(len(at), np.uint64)
-    for d in range(1, depth + 1):
-        gram = gram << np.uint64(8) | codes[at - d]
-    return gram << np.uint64(8) | codes[at]
+def _codes(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the texts' words joined by one space, each text after DEPTH ends and closed by one -> (bytes, position of each text's first, symbols of each with its end)."""
+    edge = np.zeros(len(w.raw) + 1, np.int8)
+    edge[w.starts] += 1
+    edge[w.ends] -= 1
+    keep = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+    between = w.ends[:-1][~w.heads()[1:]]  # the byte after a word that its text has another after
+    raw = w.raw.copy()
+    raw[between], keep[between] = 0x20, True
+    bytes_before = np.concatenate([[0], np.cumsum(w.ends - w.starts)])
+    length = np.diff(bytes_before[w.of_text]) + np.maximum(w.counts(), 1)  # spaces between words, and the end
+    begin = np.cumsum(length + DEPTH) - length
+    out, inner = np.full(int(length.sum()) + DEPTH * len(length), _END, np.uint8), _predicted(begin, length)
+    inner[begin + length - 1] = False
+    out[inner] = raw[keep]
+    return out, begin, length
+
+
+def _predicted(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """True at positions that are predicted: every symbol of every text, the end too."""
+    out = np.ones(int(length.sum()) + DEPTH * len(length), bool)
+    out[(begin[:, None] - np.arange(1, DEPTH + 1)).ravel()] = False
+    return out
+
+
+def _grams(w: Words, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Context and symbol of each predicted position, and how many each text has.
+
+    A gram has a byte for each, the symbol lowest, the symbol before it on top: the 8 bytes up to a position, turned by one.
+    """
+    codes, begin, length = _codes(w)
+    if not len(codes):
+        return np.zeros(0, np.uint64), length
+    eight = np.ndarray(len(codes) - DEPTH, "<u8", codes, strides=(1,))[_predicted(begin, length)[DEPTH:]]
+    out = eight << np.uint64(8)
+    if depth < DEPTH:
+        out >>= np.uint64(8 * (DEPTH - depth))
+        out &= ~np.uint64(0xFF)
+    out |= eight >> np.uint64(56)
+    return out, length
 
 
 def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,23 +139,26 @@ def _distinct(table: pa.Table, depth: int, train_only: bool) -> tuple[np.ndarray
     ones of its chunks, which keep most of their number.
     """
     out, raw_bytes = _held_out(table["_id"]), len(text_buffer(table["c1"])[0])
-    grams = np.empty(raw_bytes + len(table), np.uint64)  # no text has more symbols than bytes and an end
+    # no text has more symbols than bytes and an end; short grams sort faster as 32 bits
+    grams = np.empty(raw_bytes + len(table), np.uint64 if depth > 3 else np.uint32)
     i_train, i_rest = 0, len(grams)  # training grams from the front, the others from the back
     for i, j, w in _words(table):
-        stream, begin, length = _stream(w)
-        train = ~out[i:j]
-        new = _grams(stream, _positions(begin[train], length[train]), depth)
+        new, length = _grams(w, depth)
+        rest = np.zeros(0, np.uint64)
+        if out[i:j].any():
+            held = np.repeat(out[i:j], length)
+            new, rest = new[~held], new[held]
         grams[i_train : i_train + len(new)] = new
         i_train += len(new)
-        if not train_only and not train.all():
-            new = _grams(stream, _positions(begin[~train], length[~train]), depth)
-            i_rest -= len(new)
-            grams[i_rest : i_rest + len(new)] = new
+        if not train_only and len(rest):
+            i_rest -= len(rest)
+            grams[i_rest : i_rest + len(rest)] = rest
     grams[:i_train].sort()
     grams[i_rest:].sort()
     keys, counts = _runs(grams[:i_train])
     other, _ = _runs(grams[i_rest:])
     del grams
+    keys, other = keys.astype(np.uint64, copy=False), other.astype(np.uint64, copy=False)
     if not len(other):
         return keys, counts
     at = np.searchsorted(keys, other)
@@ -328,8 +338,7 @@ def _range_bounds(docs: DataFrame, text_col: str, n_rows: int, buckets: int) ->
         return np.zeros(0, np.int64)
     drawn = docs.select(F.substring(F.col(text_col).cast("string"), 1, SAMPLE_CHARS).alias("t")).sample(min(1.0, 2 * SAMPLE_TEXTS / n_rows), 7).limit(SAMPLE_TEXTS).toArrow()
     raw, offsets = text_buffer(drawn["t"])
-    stream, begin, length = _stream(Words(raw, offsets, lower=True))
-    near = np.unique(_grams(stream, _positions(begin, length))) >> np.uint64(8 * (DEPTH + 1 - NEAR))
+    near = np.unique(_grams(Words(raw, offsets, lower=True))[0]) >> np.uint64(8 * (DEPTH + 1 - NEAR))
     if not len(near):
         return np.zeros(0, np.int64)
     return np.unique(near[np.arange(1, buckets) * len(near) // buckets].astype(np.int64))
@@ -351,8 +360,19 @@ def ask_model(docs: DataFrame, dealt: P.Parts, text_col: str, min_count: int = M
 
 def _score(n_train_texts, known, total, part, blocks, answers):
     table = P.unpack(blocks)
-    grams, _ = _distinct(table, DEPTH, False)
-    keys, _ = _training_words(table)
+    grams, at = np.empty(len(text_buffer(table["c1"])[0]) + len(table), np.uint64), 0
+    names, sizes = [np.zeros(0, np.uint64)], []  # sizes of a step's texts: words, and symbols
+    for _, _, w in _words(table):
+        new, length = _grams(w)
+        grams[at : at + len(new)] = new
+        at += len(new)
+        names.append(w.names(_WORD)), sizes.append((w.counts(), length))
+    grams = grams[:at]
+    distinct = grams.copy()
+    distinct.sort()
+    distinct, _ = _runs(distinct)
+    _, word = np.unique(np.concatenate(names), return_inverse=True)
+    del names
     of_words = pc.is_valid(answers["counts"])
     counts = P.read_counts(answers.filter(of_words))
     found = sorted(answers.filter(pc.invert(of_words)).select(["bucket", "n", "log10p"]).to_pylist(), key=lambda r: r["bucket"])
@@ -361,23 +381,25 @@ def _score(n_train_texts, known, total, part, blocks, answers):
     n, v = total + n_train_texts, known + (n_train_texts > 0)
     rows = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
     log_all = np.log10(n + v + 1.0)
-    for _, _, w in _words(table):
-        c = counts[np.searchsorted(keys, w.names(_WORD))] if len(w) else np.zeros(0, np.int64)
-        texts = w.of_text[:-1]
+    at_word = at_gram = 0
+    for n_words, length in sizes:
+        c = counts[word[at_word : at_word + int(n_words.sum())]]
+        at_word += len(c)
+        texts = np.cumsum(n_words) - n_words
 
         def add(x, end):
             sums = np.add.reduceat(np.append(x, 0), texts) if len(texts) else np.zeros(0)
-            return np.where(w.counts() > 0, sums, 0) + end
+            return np.where(n_words > 0, sums, 0) + end
 
-        rows["n_tokens"].append(w.counts() + 1)
+        rows["n_tokens"].append(n_words + 1)
         rows["n_known"].append(add((c > 0).astype(np.int64), int(n_train_texts > 0)))
         rows["base_score"].append(add(np.log10(c + 1.0) - log_all, np.log10(n_train_texts + 1.0) - log_all))
-        stream, begin, length = _stream(w)
-        at = _positions(begin, length)
-        gram = _grams(stream, at)
-        order = np.argsort(gram)  # ascending questions stay near each other in memory
-        x = np.zeros(len(at))
-        x[order] = log10p[np.searchsorted(grams, gram[order])]
+        gram = grams[at_gram : at_gram + int(length.sum())]
+        at_gram += len(gram)
+        order = np.argsort(gram)  # each gram is looked up once, and ascending ones stay near each other in memory
+        asked, times = _runs(gram[order])
+        x = np.empty(len(gram))
+        x[order] = np.repeat(log10p[np.searchsorted(distinct, asked)], times)
         rows["score"].append(np.add.reduceat(x, np.cumsum(length) - length))
     join = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
     columns = [table["_id"].combine_chunks(), pa.array(_held_out(table["_id"])), join(rows["n_tokens"], pa.int64()), join(rows["n_known"], pa.int64()),

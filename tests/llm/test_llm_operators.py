@@ -526,6 +526,34 @@ def test_suffix_tree_scores_equal_brute_force(documents, edge, part_bytes):
         assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-5)
 
 
+@pytest.mark.parametrize("step", [1, 1 << 18])
+def test_suffix_tree_scores_a_part_in_one_pass_over_its_texts(monkeypatch, step):
+    import pyarrow as pa
+    from riskloom.llm import parts
+
+    texts = [None, "", " \t\n", "a", " b ", "ab ab ab", "A B  C\r\nD", "\x0bcc\x0c", "é ü", "q\x00r \x01", "ab", "x" * 5000] * 2
+    ids = pa.array([None if i == 5 else i for i in range(len(texts))], pa.int64())
+    table = pa.table({"_id": ids, "c1": pa.array(texts), "_order": pa.array(range(len(texts)))})
+    table = table.sort_by([("_id", "ascending"), ("_order", "ascending")])
+    block = pa.table({"block": pa.array([parts._pack(table)], pa.binary())})
+    grams, _ = suffix_tree_lm._distinct(table, suffix_tree_lm.DEPTH, False)
+    words_, counts = suffix_tree_lm._training_words(table)
+    log10p = -np.arange(1, len(grams) + 1, dtype=np.float32)
+    answers = pa.table({"bucket": pa.array([0, 0]), "n": pa.array([len(counts), len(grams)]), "counts": pa.array([parts.pack_numbers(counts), None], pa.binary()),
+                        "log10p": pa.array([None, parts.pack_numbers(log10p)], pa.binary())})
+    monkeypatch.setattr(suffix_tree_lm, "_STEP_BYTES", step)
+    parsed, plain = [], suffix_tree_lm._words
+    monkeypatch.setattr(suffix_tree_lm, "_words", lambda t: (parsed.append(x[1] - x[0]) or x for x in plain(t)))
+    got = suffix_tree_lm._score(3, len(counts), int(counts.sum()), 0, block, answers).to_pylist()
+    assert sum(parsed) == len(texts)
+    value = dict(zip(grams.tolist(), log10p.tolist()))
+    for r, text in zip(got, table["c1"].to_pylist()):
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode()
+        symbols = b"\n" * 7 + b" ".join(re.findall(rb"[^\x20\x09-\x0D]+", low)) + b"\n"
+        mine = [int.from_bytes(symbols[i - 7 : i][::-1] + symbols[i : i + 1], "big") for i in range(7, len(symbols))]
+        assert r["score"] == pytest.approx(sum(value[g] for g in mine)) and r["n_tokens"] == len(words(text)) + 1
+
+
 def test_suffix_tree_keeps_a_context_however_large_the_corpus():
     # "qqqqqqqz" 50 times among 10^10 positions that never have a z otherwise
     q, z, e = (np.uint64(ord(c)) for c in "qze")
