@@ -8,11 +8,13 @@ an oracle; their metric code is the same code the SQL-checked queries use.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,7 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators import boosting, drift, features, governance, metrics, splits, weights
+from riskloom.operators import boosting, drift, features, forests, governance, metrics, splits, weights
 from riskloom.plans import catalog
 from riskloom.plans.catalog import query
 from riskloom.session import ensure_checkpoint_dir
@@ -191,37 +193,53 @@ def q_sample(spark, sf):
 
 # ----------------------------------------------------------------------------- bureau models
 
-def bureau_design(spark: SparkSession, sf: str):
-    """FE-6/7/8/10 fitted on the training window, applied to both windows; balanced weights (CW-8)."""
+def bureau_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of both windows that the models name. The fits of encoder, scaler, weights and models read them many times, so the
+    joins are done once and the rows are kept as Parquet in the shared folder: some 20 bytes each, where the assembled row has hundreds."""
     bs = catalog.bureau_split(spark, sf).where(F.col("split").isNotNull())
     # rows without a complete set of numbers are left out, in both windows and before anything is fitted
-    bs = bs.dropna(subset=policy.NUMERIC_FEATURES + policy.PASSTHROUGH_FEATURES + ["defaulted"])
+    numbers = policy.NUMERIC_FEATURES + policy.PASSTHROUGH_FEATURES
+    bs = bs.dropna(subset=numbers + ["defaulted"]).select("customer_id", "split", "defaulted", *policy.CATEGORICAL_FEATURES, *numbers)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bureau-{uuid.uuid4().hex}"
+    bs.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def bureau_design(bs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """FE-6/7/8/10 fitted on the training window of ``bs``, applied to both windows (of ``rows``, the same rows dealt otherwise);
+    balanced weights (CW-8)."""
     train = bs.where(F.col("split") == "train")
     enc = features.CategoryEncoder(policy.CATEGORICAL_FEATURES).fit(train)
     sc = features.Standardizer(policy.NUMERIC_FEATURES).fit(train)
     inputs = enc.output_names() + [f"{c}_z" for c in policy.NUMERIC_FEATURES] + policy.PASSTHROUGH_FEATURES
-    d = features.assemble(sc.transform(enc.transform_onehot(bs)), inputs, "features", "error")
+    d = features.assemble(sc.transform(enc.transform_onehot(bs if rows is None else rows)), inputs, "features", "error")
     d = weights.with_class_weight(d, "defaulted", "balanced", "w", fit_on=train)
     return d.select("customer_id", "split", "defaulted", "w", "features")
 
 
 def bureau_estimators(n_train: int) -> dict:
-    """ML-4/5/6 with the reference's settings where Spark has them.
+    """ML-4/5/6 with the reference's settings where Spark has them: a spark.ml estimator, and the trees of ``forests`` with the settings
+    and the rules of spark.ml's GBTClassifier and RandomForestClassifier.
 
     sklearn's C=1 L2 sums the loss over rows; Spark averages it over the weights, so
-    regParam = 1 / n. Spark has no leaf-wise boosting; the second ensemble is a random
-    forest of 500 trees with the same row and column sampling.
+    regParam = 1 / n. The second ensemble is a random forest of 500 trees with the same row and column sampling; leaf-wise boosting
+    is ``ml6_leafwise_trees``.
     """
     return {
         "logistic_regression": LogisticRegression(labelCol="defaulted", weightCol="w", regParam=1.0 / max(n_train, 1),
                                                   standardization=False, maxIter=2000),
-        "gradient_boosted_trees": GBTClassifier(labelCol="defaulted", maxIter=300, maxDepth=4, subsamplingRate=0.9,
-                                                featureSubsetStrategy="0.9", seed=SEED),
-        "random_forest": RandomForestClassifier(labelCol="defaulted", numTrees=500, maxDepth=5, subsamplingRate=0.9,
-                                                featureSubsetStrategy="0.9", seed=SEED),
+        "gradient_boosted_trees": forests.TreeParams(trees=300, depth=4, forest=False, row_share=0.9, column_share=0.9, seed=SEED),
+        "random_forest": forests.TreeParams(trees=500, depth=5, forest=True, row_share=0.9, column_share=0.9, seed=SEED),
     }
 
 
+def candidate_scores(model, df: DataFrame) -> DataFrame:
+    """``df`` with the model's probability of label 1 as ``p``."""
+    if isinstance(model, forests.TreeModel):
+        return model.transform(df.withColumn("features", vector_to_array("features")))
+    return positive_probability(model.transform(df))
+
+
 #: Rounds that the query fits and counts again; ``boosting.LeafwiseParams`` has the reference's 500, which take five times as long.
 LEAFWISE_ROUNDS = 100
 
@@ -237,7 +255,7 @@ def q_leafwise_trees(spark, sf):
     its 500 rounds) on the training window. Per tree, from the training rows counted again through the fitted trees: their number, leaves whose rows, gradient or Hessian
     sums are not those of the fit, leaves whose value does not solve the leaf's equation (to 1e-9), and whether leaves and rows per leaf
     are within the limits."""
-    d = bureau_design(spark, sf).where(F.col("split") == "train").select(vector_to_array("features").alias("features"), "defaulted")
+    d = bureau_design(bureau_rows(spark, sf)).where(F.col("split") == "train").select(vector_to_array("features").alias("features"), "defaulted")
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
     params = boosting.LeafwiseParams(rounds=LEAFWISE_ROUNDS)
     model = boosting.fit_leafwise(d, "defaulted", params=params)
@@ -263,36 +281,48 @@ def q_model_table(spark, sf):
     Scoring happens once per model (checkpointed (model, split, label, p) rows); AUC for all
     models and both windows is one grouped ranking pass, PSI for all models one stacked pass.
     The candidates are fitted at the same time: boosting is over a thousand short jobs in sequence, whose gaps the others fill.
+    Both ensembles grow on one set of binned rows.
     """
-    # used by three fits and three scorings: keep it cached (recomputed from lineage if an
+    bs = bureau_rows(spark, sf)
+    # used by three fits and three scorings: keep it cached (recomputed from the written rows if an
     # executor and its blocks are lost)
-    design = bureau_design(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    d = spread_by_rows(design, "customer_id", design.count()).persist(StorageLevel.MEMORY_AND_DISK)
+    d = bureau_design(bs, spread_by_rows(bs, "customer_id", bs.count())).persist(StorageLevel.MEMORY_AND_DISK)
     train = d.where(F.col("split") == "train")
-    n_train = train.count()
-    design.unpersist()
+    binned = forests.bin_rows(train.withColumn("features", vector_to_array("features")), "defaulted", "customer_id")  # for both ensembles
     scored = None
-    estimators = bureau_estimators(n_train)
+    estimators = bureau_estimators(train.count())
+
+    def fitted(estimator):
+        return forests.fit_trees(binned, estimator) if isinstance(estimator, forests.TreeParams) else estimator.fit(train)
+
     with ThreadPoolExecutor(len(estimators)) as pool:
-        fits = {name: pool.submit(inheritable_thread_target(spark)(est.fit), train) for name, est in estimators.items()}
+        fits = {name: pool.submit(inheritable_thread_target(spark)(fitted), est) for name, est in estimators.items()}
         models = {name: fit.result() for name, fit in fits.items()}
+    binned.release()
     for name, model in models.items():
-        one = positive_probability(model.transform(d)).select(F.lit(name).alias("model"), "split", "defaulted", "p")
+        one = candidate_scores(model, d).select(F.lit(name).alias("model"), "split", "defaulted", "p")
         scored = one if scored is None else scored.unionByName(one)
-    ensure_checkpoint_dir(spark)
     scored = scored.checkpoint(eager=True)  # every model applied once; the metrics read this
     d.unpersist()
-    aucs = metrics.auc_exact_by(scored, ["model", "split"], "p", "defaulted").select(
-        "model", F.concat(F.lit("auc_"), F.col("split")).alias("metric"), F.col("auc").alias("value"))
-    stacked = scored.select(F.when(F.col("split") == "train", "expected").otherwise("actual").alias("period"),
-                            F.col("model").alias("feature"), F.col("p").alias("value"))
-    psis = drift.psi_by_feature(stacked).select(F.col("feature").alias("model"), F.lit("psi_valid_vs_train").alias("metric"),
-                                                F.col("psi").alias("value"))
-    long = aucs.unionByName(psis)
-    for name in models:
+    def aucs():
+        return metrics.auc_exact_by(scored, ["model", "split"], "p", "defaulted").select(
+            "model", F.concat(F.lit("auc_"), F.col("split")).alias("metric"), F.col("auc").alias("value"))
+
+    def psis():
+        stacked = scored.select(F.when(F.col("split") == "train", "expected").otherwise("actual").alias("period"),
+                                F.col("model").alias("feature"), F.col("p").alias("value"))
+        return drift.psi_by_feature(stacked).select(F.col("feature").alias("model"), F.lit("psi_valid_vs_train").alias("metric"),
+                                                    F.col("psi").alias("value"))
+
+    def ks(name):
         valid = scored.where((F.col("model") == name) & (F.col("split") == "valid"))
-        long = long.unionByName(metrics.ks_qcut(valid, "p", "defaulted", 20).select(
-            F.lit(name).alias("model"), F.lit("ks_valid").alias("metric"), F.col("ks_qcut").alias("value")))
+        return metrics.ks_qcut(valid, "p", "defaulted", 20).select(
+            F.lit(name).alias("model"), F.lit("ks_valid").alias("metric"), F.col("ks_qcut").alias("value"))
+
+    # each metric sorts the scores in some short jobs in sequence
+    with ThreadPoolExecutor(2 + len(models)) as pool:
+        parts = [pool.submit(inheritable_thread_target(spark)(f), *args) for f, *args in ((aucs,), (psis,), *((ks, name) for name in models))]
+        long = reduce(DataFrame.unionByName, [part.result() for part in parts])
     names = ["auc_train", "auc_valid", "ks_valid", "psi_valid_vs_train"]
     rows = long.groupBy("model").agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
     best = governance.best_by(rows, "model", "auc_valid").select(F.col("best_model").alias("_best"))
