@@ -1,9 +1,8 @@
 """ML-6: boosted trees grown leaf by leaf on binned gradient histograms.
 
-Rows are binned once and kept as numpy blocks in a persisted RDD: a fit visits them thousands of times, and what
-it needs of a visit is a small sum. A visit returns, for some nodes, the histograms (gradient, Hessian, rows per feature and
-bin) of the smaller child; the sibling is the parent minus it. Of a feature whose rows are mostly in one bin (a one-hot column) a block
-adds up the other rows only; that bin has the rest of the node. The driver holds histograms only: nodes of
+Rows are binned once and kept as numpy blocks of joint codes in a persisted RDD (``histograms``): a fit visits them thousands of times,
+and what it needs of a visit is a small sum. A visit returns, for some nodes, the histograms (gradient, Hessian, rows per feature and
+bin) of the smaller child; the sibling is the parent minus it. The driver holds histograms only: nodes of
 one tree x features x bins, whatever the number of rows.
 
 The tree is the best-first one: always the leaf of highest gain splits next, until it has as many leaves as allowed. To
@@ -11,8 +10,8 @@ spare visits, one visit expands every leaf that the order known so far would spl
 vain is folded back, so the tree is that of one split at a time.
 
 Gradients and Hessians are summed as whole numbers (fixed point), so a fit does not depend on partitions or on
-the order of additions, given the cuts (approximate quantiles). A block's running scores are kept by the Python worker
-between visits; a worker that does not have them (a lost executor, another worker) computes them anew from
+the order of additions, given the cuts (approximate quantiles). A block's running scores, gradients and nodes are kept by the Python
+worker between visits, 18 bytes a row; a worker that does not have them (a lost executor, another worker) computes them anew from
 the trees so far.
 """
 
@@ -26,14 +25,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed point of gradients and Hessians; rows of a block, and blocks of a task, about; trees sent with a task before they go into a broadcast.
-POINT, BLOCK_ROWS, TASK_BLOCKS, RECENT = 1 << 24, 1 << 16, 8, 25
-#: Share of a block's rows in one bin of a feature, from which only the other rows are added up.
-MOSTLY = 0.75
+from riskloom.operators import histograms as H
+from riskloom.operators.histograms import binned, quantile_cuts
+from riskloom.operators.histograms import matrix as _matrix
+
+#: Fixed point of gradients and Hessians; rows of a block, about; trees sent with a task before they go into a broadcast.
+POINT, BLOCK_ROWS, RECENT = 1 << 24, H.BLOCK_ROWS, 25
 
 
 @dataclass(frozen=True)
@@ -61,10 +61,11 @@ class Tree:
     gradients: list[int] = field(default_factory=list)
     hessians: list[int] = field(default_factory=list)
 
-    def assign(self, x: np.ndarray) -> np.ndarray:
+    def assign(self, x: np.ndarray | H.Columns) -> np.ndarray:
         out = np.zeros(len(x), np.int16)
         for k, (leaf, f, b) in enumerate(zip(self.leaf, self.feature, self.bin)):
-            out[(out == leaf) & (x[:, f] > b)] = k + 1
+            rows = np.flatnonzero(out == leaf)
+            out[rows[x.above(f, b, rows) if isinstance(x, H.Columns) else x[rows, f] > b]] = k + 1
         return out
 
 
@@ -74,39 +75,9 @@ def gradients(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.rint((p - y) * POINT), np.rint(p * (1.0 - p) * POINT)
 
 
-def binned(values: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
-    """Bin of each value: the number of cuts below it, plus one; missing values are bin 0."""
-    out = np.zeros(values.shape, np.uint8)
-    for f, c in enumerate(cuts):
-        v = values[:, f]
-        out[:, f] = np.where(np.isnan(v), 0, np.searchsorted(c, v, side="left") + 1)
-    return out
-
-
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), width)
-
-
 def _blocks(cuts: list[np.ndarray], batches: Iterator[pa.RecordBatch]):
     """Blocks of BLOCK_ROWS rows, whatever the size of the batches; the last one of a partition may be smaller."""
-    held, n = [], 0
-
-    def block():
-        x, y = (np.concatenate(c) for c in zip(*held))
-        return pa.RecordBatch.from_pydict({"id": [uuid.uuid4().hex], "n": [len(y)], "x": [x.tobytes()], "y": [y.tobytes()]})
-
-    for batch in batches:
-        while batch.num_rows:
-            part = batch.slice(0, BLOCK_ROWS - n)
-            batch = batch.slice(part.num_rows)
-            held.append((binned(_matrix(part.column(0), len(cuts)), cuts), part.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)))
-            n += part.num_rows
-            if n == BLOCK_ROWS:
-                yield block()
-                held, n = [], 0
-    if held:
-        yield block()
+    return H.pieces(cuts, batches, BLOCK_ROWS)
 
 
 _SCORES: dict = {}
@@ -115,33 +86,32 @@ _SCORES: dict = {}
 class _Block:
     """A block's rows with their scores after ``trees`` trees and their nodes in the tree that grows."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, start: float, offsets: np.ndarray) -> None:
-        self.x, self.y, self.trees, self.first = x, y.astype(np.float64), 0, offsets[:-1].astype(np.int32)
-        counts = [np.bincount(x[:, f]) for f in range(x.shape[1])]
-        self.mostly = np.array([f for f, c in enumerate(counts) if c.max(initial=0) >= MOSTLY * len(x)], np.int64)
-        self.usual = np.array([counts[f].argmax() for f in self.mostly], np.int64)
-        # places in a histogram over all features: of every row for the other features, of the rows out of the usual bin for these
-        dense = np.setdiff1d(np.arange(x.shape[1]), self.mostly)
-        self.at = x[:, dense] + self.first[dense]
-        self.rare_row, k = (i.astype(np.int32) for i in np.nonzero(x[:, self.mostly] != self.usual))
-        self.rare_at = x[self.rare_row, self.mostly[k]] + self.first[self.mostly[k]]
-        self.score = np.full(len(y), start)
-        self.node, self.expanded = None, 0
+    def __init__(self, x: np.ndarray | H.Columns, y: np.ndarray, start: float, offsets: np.ndarray) -> None:
+        self.offsets, self.trees, self.score, self.node, self.expanded = offsets, 0, np.full(len(y), start), None, 0
+        self.hold(x if isinstance(x, H.Columns) else H.Columns(x), y)
+
+    def hold(self, columns: H.Columns | None, y: np.ndarray | None) -> None:
+        """The rows, for a visit: they come with it, so that a worker keeps the scores only."""
+        self.columns, self.y = columns, y
+
+    @property
+    def at(self) -> np.ndarray:
+        return self.columns.at
 
     def catch_up(self, done: list[Tree]) -> None:
         for tree in done[self.trees :]:
-            self.score += np.array(tree.values)[tree.assign(self.x)]
+            self.score += np.array(tree.values)[tree.assign(self.columns)]
             self.node = None
         self.trees = len(done)
         if self.node is None:
-            self.node, self.expanded = np.zeros(len(self.x), np.int32), 0
-            self.g, self.h = gradients(self.score, self.y)
+            self.node, self.expanded = np.zeros(len(self.y), np.int16), 0
+            self.g, self.h = (x.astype(np.int32) for x in gradients(self.score, self.y))
 
     def expand(self, splits: list[tuple[int, int, int, int]]) -> None:
         """Apply the splits (node, feature, bin, left child; the right one is the next number) not applied yet."""
         for node, f, b, left in splits[self.expanded :]:
             rows = np.flatnonzero(self.node == node)
-            self.node[rows] = left + (self.x[rows, f] > b)
+            self.node[rows] = left + self.columns.above(f, b, rows)
         self.expanded = len(splits)
 
     def histograms(self, nodes: list[int], bins: int) -> np.ndarray:
@@ -152,20 +122,10 @@ class _Block:
                 slot[n] = k
         of_row = slot[self.node]
         rows = np.flatnonzero(of_row >= 0)
-        rare = np.flatnonzero(of_row[self.rare_row] >= 0)
-        rare_row = self.rare_row[rare]
-        key = np.concatenate([(self.at[rows] + (of_row[rows] * bins)[:, None]).ravel(), self.rare_at[rare] + of_row[rare_row] * bins])
-
-        def sums(key, places, weights):
-            parts = [*(np.bincount(key, weights=w, minlength=places) for w in weights), np.bincount(key, minlength=places)]
-            return np.stack(parts, axis=1).astype(np.int64)
-
-        weights = (np.concatenate([np.repeat(w[rows], self.at.shape[1]), w[rare_row]]) for w in (self.g, self.h))
-        out = sums(key, len(nodes) * bins, weights).reshape(len(nodes), bins, 3)
-        total = sums(of_row[rows], len(nodes), (self.g[rows], self.h[rows]))
-        rest = total[:, None, :] - np.add.reduceat(out, self.first, axis=1)[:, self.mostly]
-        out[:, self.first[self.mostly] + self.usual] += rest
-        return out
+        rows, of_row = (None, of_row) if len(rows) == len(of_row) else (rows, of_row[rows])
+        weights = [(w if rows is None else w[rows]).astype(np.float64) for w in (self.g, self.h)]
+        out = self.columns.sums(rows, of_row, len(nodes), [*weights, None], bins, self.columns.by_bin(self.offsets))
+        return out.transpose(0, 2, 1).astype(np.int64)
 
 
 def _visit(fit: str, offsets: np.ndarray, start: float, older, recent: list[Tree], splits, nodes, rows) -> Iterator[np.ndarray]:
@@ -173,13 +133,15 @@ def _visit(fit: str, offsets: np.ndarray, start: float, older, recent: list[Tree
         _SCORES.clear()
         _SCORES["fit"] = fit
     done, total = older.value + recent, None
-    for name, n, x, y in rows:
+    for name, columns, y, _ in rows:
         block = _SCORES.get(name)
         if block is None or block.trees > len(done) or block.expanded > len(splits) and block.trees == len(done):
-            block = _SCORES[name] = _Block(np.frombuffer(x, np.uint8).reshape(n, len(offsets) - 1), np.frombuffer(y, np.uint8), start, offsets)
+            block = _SCORES[name] = _Block(columns, y, start, offsets)
+        block.hold(columns, y)
         block.catch_up(done)
         block.expand(splits)
         part = block.histograms(nodes, int(offsets[-1]))
+        block.hold(None, None)
         total = part if total is None else total + part
     if total is not None:
         yield total
@@ -271,14 +233,6 @@ def _sums(model: LeafwiseModel, batches: Iterator[pa.RecordBatch]):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def quantile_cuts(df: DataFrame, features_col: str, width: int, bins: int) -> list[np.ndarray]:
-    """At most ``bins`` - 1 ascending cuts per feature (quantiles; all values where they are as few): features x bins numbers."""
-    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    values = [F.col(features_col)[f] for f in range(width)]
-    got = df.agg(*[F.percentile_approx(F.when(~F.isnan(v), v), probs, F.lit(max(10_000, 20 * bins))).alias(f"q{f}") for f, v in enumerate(values)]).first()
-    return [np.unique(np.array(got[f] or [], np.float64))[: bins - 1] for f in range(width)]
-
-
 def fit_leafwise(df: DataFrame, label_col: str, features_col: str = "features", params: LeafwiseParams = LeafwiseParams()) -> LeafwiseModel:
     """Fit on the array<double> column ``features_col`` (equal lengths) and the 0/1 column ``label_col``.
 
@@ -296,22 +250,15 @@ def fit_leafwise(df: DataFrame, label_col: str, features_col: str = "features",
         share = min(max(pos / n if n else 0.5, edge), 1 - edge)
         return LeafwiseModel([np.zeros(0)] * width, float(np.log(share / (1 - share))), [], params)
     cuts = quantile_cuts(rows, "x", width, params.max_bins)
-    start, offsets = float(np.log(pos / (n - pos))), np.cumsum([0, *[len(c) + 2 for c in cuts]])
-    # a visit costs a task each: no more than there are blocks, and some blocks each when all cores have one
-    n_blocks, cores = -(-n // BLOCK_ROWS), spark.sparkContext.defaultParallelism
-    parts = rows.repartition(min(n_blocks, cores * -(-n_blocks // (cores * TASK_BLOCKS))))
-    blocks = parts.mapInArrow(partial(_blocks, cuts), "id string, n long, x binary, y binary").rdd.map(lambda r: (r[0], r[1], bytes(r[2]), bytes(r[3])))
-    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    start, offsets = float(np.log(pos / (n - pos))), H.offsets_of(cuts)
+    blocks = H.kept_blocks(rows, cuts, n)
     fit, sc = uuid.uuid4().hex, spark.sparkContext
     trees: list[Tree] = []
     older, n_older = sc.broadcast([]), 0
     rng = np.random.default_rng(params.seed)
 
     def visit(splits, nodes):
-        sums = blocks.mapPartitions(partial(_visit, fit, offsets, start, older, trees[n_older:], splits, nodes))
-        if blocks.getNumPartitions() > 64:
-            return sums.treeReduce(lambda a, b: a + b)
-        return sum(sums.collect())
+        return H.added_up(blocks.mapPartitions(partial(_visit, fit, offsets, start, older, trees[n_older:], splits, nodes)))
 
     try:
         while len(trees) < params.rounds:

@@ -291,28 +291,6 @@ class _Growing:
         return self.trees
 
 
-def few_or_quantile_cuts(df: DataFrame, features_col: str, width: int, bins: int) -> list[np.ndarray]:
-    """Per feature: halfway between its values where these are at most ``bins``, else ``bins`` - 1 quantiles."""
-    seen = df.select(features_col).mapInArrow(partial(_few, width, bins), "feature int, value double").distinct()
-    few = seen.groupBy("feature").agg(F.slice(F.sort_array(F.collect_set("value")), 1, bins + 1).alias("values")).collect()  # features x bins at most
-    values = {r["feature"]: np.array(r["values"]) for r in few}
-    many = [f for f, v in values.items() if len(v) > bins]
-    quantiles = H.quantile_cuts(df.select(F.array(*[F.col(features_col)[f] for f in many]).alias("x")), "x", len(many), bins) if many else []
-    return [quantiles[many.index(f)] if f in many else (values[f][1:] + values[f][:-1]) / 2 if f in values else np.zeros(0) for f in range(width)]
-
-
-def _few(width: int, bins: int, batches: Iterator[pa.RecordBatch]):
-    """The values of each feature in a partition, as far as they are few; one more says that they are not."""
-    seen: list = [np.zeros(0)] * width
-    for batch in batches:
-        x = H.matrix(batch.column(0), width)
-        for f in range(width):
-            if len(seen[f]) <= bins:
-                v = x[:, f]
-                seen[f] = np.unique(np.concatenate([seen[f], v[~np.isnan(v)]]))[: bins + 1]
-    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(width, dtype=np.int32), [len(s) for s in seen])), pa.array(np.concatenate([*seen, np.zeros(0)]))], names=["feature", "value"])
-
-
 @dataclass
 class TreeModel:
     cuts: list[np.ndarray]
@@ -373,7 +351,7 @@ def bin_rows(df: DataFrame, label_col: str, key_col: str, max_bins: int = 32, fe
     n, width = head["n"], head["width"] or 0
     if n == 0 or width == 0:
         return BinnedRows([np.zeros(0)] * width, None, features_col)
-    cuts = few_or_quantile_cuts(rows, "x", width, max_bins)
+    cuts = H.halfway_cuts(rows, "x", width, max_bins)
     out = BinnedRows(cuts, H.kept_blocks(rows, cuts, n), features_col)
     out.blocks.count()
     return out

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a block, and of the pieces that blocks are dealt in, about; codes of a joint column at most; tasks a core in a visit.
-BLOCK_ROWS, PIECE_ROWS, CODES, TASKS_A_CORE = 1 << 17, 1 << 10, 1 << 10, 4
+BLOCK_ROWS, PIECE_ROWS, CODES, TASKS_A_CORE = 1 << 17, 1 << 10, 1 << 10, 2
 #: Joint values tried at most for a joint column.
 TRIED = 1 << 16
 #: Partial sums that the driver adds up itself; more of them are added up by tasks.
@@ -168,9 +168,45 @@ def added_up(sums: RDD) -> np.ndarray:
     return sums.treeReduce(lambda a, b: a + b) if sums.getNumPartitions() > COLLECTED else sum(sums.collect())
 
 
+def _few(width: int, most: int, batches: Iterator[pa.RecordBatch]):
+    """The values of each feature in a partition, as far as they are few; one more says that they are not."""
+    seen: list = [np.zeros(0)] * width
+    for batch in batches:
+        x = matrix(batch.column(0), width)
+        for f in range(width):
+            if len(seen[f]) <= most:
+                v = x[:, f]
+                seen[f] = np.unique(np.concatenate([seen[f], v[~np.isnan(v)]]))[: most + 1]
+    feature = np.repeat(np.arange(width, dtype=np.int32), [len(s) for s in seen])
+    yield pa.RecordBatch.from_arrays([pa.array(feature), pa.array(np.concatenate([*seen, np.zeros(0)]))], names=["feature", "value"])
+
+
+def few_values(df: DataFrame, features_col: str, width: int, most: int) -> list[np.ndarray | None]:
+    """Per feature its values in order if they are ``most`` at most, else nothing."""
+    seen = df.select(features_col).mapInArrow(partial(_few, width, most), "feature int, value double").distinct()
+    rows = seen.groupBy("feature").agg(F.slice(F.sort_array(F.collect_set("value")), 1, most + 1).alias("values")).collect()  # features x most numbers
+    values = {r["feature"]: np.array(r["values"]) for r in rows}
+    return [v if len(v := values.get(f, np.zeros(0))) <= most else None for f in range(width)]
+
+
+def quantiles(df: DataFrame, features_col: str, wanted: list[int], bins: int) -> dict[int, np.ndarray]:
+    """``bins`` - 1 quantiles (approximate) of each wanted feature, equal ones once."""
+    if not wanted:
+        return {}
+    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    got = df.agg(*[F.percentile_approx(F.when(~F.isnan(v := F.col(features_col)[f]), v), probs, F.lit(max(10_000, 20 * bins))).alias(f"q{f}") for f in wanted]).first()
+    return {f: np.unique(np.array(got[f"q{f}"] or [], np.float64)) for f in wanted}
+
+
 def quantile_cuts(df: DataFrame, features_col: str, width: int, bins: int) -> list[np.ndarray]:
     """At most ``bins`` - 1 ascending cuts per feature (quantiles; all values where they are as few): features x bins numbers."""
-    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    values = [F.col(features_col)[f] for f in range(width)]
-    got = df.agg(*[F.percentile_approx(F.when(~F.isnan(v), v), probs, F.lit(max(10_000, 20 * bins))).alias(f"q{f}") for f, v in enumerate(values)]).first()
-    return [np.unique(np.array(got[f] or [], np.float64))[: bins - 1] for f in range(width)]
+    few = few_values(df, features_col, width, bins - 1)
+    many = quantiles(df, features_col, [f for f, v in enumerate(few) if v is None], bins)
+    return [many[f][: bins - 1] if v is None else v for f, v in enumerate(few)]
+
+
+def halfway_cuts(df: DataFrame, features_col: str, width: int, bins: int) -> list[np.ndarray]:
+    """Cuts halfway between the values of a feature that has at most ``bins`` of them, else ``bins`` - 1 quantiles."""
+    few = few_values(df, features_col, width, bins)
+    many = quantiles(df, features_col, [f for f, v in enumerate(few) if v is None], bins)
+    return [many[f] if v is None else (v[1:] + v[:-1]) / 2 for f, v in enumerate(few)]

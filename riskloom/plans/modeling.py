@@ -256,12 +256,10 @@ def q_leafwise_trees(spark, sf):
     sums are not those of the fit, leaves whose value does not solve the leaf's equation (to 1e-9), and whether leaves and rows per leaf
     are within the limits."""
     d = bureau_design(bureau_rows(spark, sf)).where(F.col("split") == "train").select(vector_to_array("features").alias("features"), "defaulted")
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)
     params = boosting.LeafwiseParams(rounds=LEAFWISE_ROUNDS)
+    # the assembled rows are read a few times only, and made anew from the written ones each time: hundreds of bytes a row are kept nowhere
     model = boosting.fit_leafwise(d, "defaulted", params=params)
-    ensure_checkpoint_dir(spark)
     again = model.leaf_sums(d, "features", "defaulted").checkpoint(eager=True)
-    d.unpersist()
     fitted = model.leaf_table(spark).withColumnsRenamed({c: f"fit_{c}" for c in ("n", "gradient", "hessian")})
     both = fitted.join(again, ["tree", "leaf"], "full")
     same = F.coalesce((F.col("fit_n") == F.col("n")) & (F.col("fit_gradient") == F.col("gradient")) & (F.col("fit_hessian") == F.col("hessian")), F.lit(False))
